@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_THRESHOLD, DetectorConfig
 from roadpulse.functions import json_fields as jf
+from roadpulse.operators.parse import keep_where
 
 HASH_SPACE = 1 << 32
 
@@ -75,4 +76,5 @@ def normal_sample(
     draw = hash_fraction(F.col(key)) if key else F.rand(seed)
     drawn = messages.where(draw < F.lit(config.sample_rate))
     marked = detected(drawn, config.threshold, value)
-    return marked.where(F.col("is_valid") & ~F.col("is_accident")).select(*messages.columns)
+    normal = keep_where(marked, F.col("is_valid") & ~F.col("is_accident"))
+    return normal.select(*messages.columns)

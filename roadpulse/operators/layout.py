@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadpulse.config import UNKNOWN
 from roadpulse.functions import json_fields as jf
 from roadpulse.functions.text import strip_driver_prefix
+from roadpulse.functions.times import file_time_label
 
 # The words of a partition-path template.
 TODAY = "T(java.time.LocalDate).now().toString()"
@@ -56,6 +57,8 @@ def with_partition_columns(
     value: str = "value",
 ) -> DataFrame:
     """Adds ``date`` and the wanted message fields as partition columns."""
+    if not fields:
+        return messages.select("*", F.to_date(ts).alias("date"))
     parsed = messages.withColumn("_message", jf.parse_message(F.col(value)))
     columns = [field_or_unknown(F.col("_message"), name).alias(name) for name in fields]
     return parsed.select("*", F.to_date(ts).alias("date"), *columns).drop("_message")
@@ -68,3 +71,10 @@ def balanced(rows: DataFrame, *columns: str) -> DataFrame:
     where a plain repartition would send all of it to one task.
     """
     return rows.hint("rebalance", *columns)
+
+
+def file_label(first_ts: Column, instance: Column, writer: Column, suffix: str = "parquet"):
+    """The archive's own name for a file: opening time, instance, writer and milliseconds."""
+    millis = F.unix_millis(first_ts.cast("timestamp")).cast("string")
+    stem = F.concat_ws("-", F.lit("telemetry"), file_time_label(first_ts), instance, writer, millis)
+    return F.concat(stem, F.lit(f".{suffix}"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +121,12 @@ def is_missing(expression: str) -> Column:
     return ~found
 
 
+def missing_count(columns: str | dict[str, str]) -> Column:
+    """How many of a message's parameters no expression has a value for."""
+    pairs = column_map(columns) if isinstance(columns, str) else columns
+    return reduce(add, [is_missing(text).cast("bigint") for text in pairs.values()])
+
+
 def mapped_expressions(
     messages: DataFrame,
     columns: str | dict[str, str],

@@ -86,6 +86,21 @@ def rate(
     )
 
 
+def total_rate(
+    rows: DataFrame,
+    ts: str,
+    amount: str,
+    by: tuple[str, ...] = (),
+    seconds: int = RATE_WINDOW_SECONDS,
+) -> DataFrame:
+    """The per-second increase of a counter to which every row adds its amount."""
+    return (
+        rows.groupBy(_bucket(ts, seconds).alias("window_start"), *by)
+        .agg(F.sum(amount).alias("increase"))
+        .withColumn("rate", F.col("increase") / F.lit(float(seconds)))
+    )
+
+
 def sliding_rate(
     rows: DataFrame,
     ts: str,

@@ -40,12 +40,22 @@ def with_validity(
     )
 
 
+def keep_where(rows: DataFrame, condition: Column) -> DataFrame:
+    """Filters on parsed columns without parsing again.
+
+    Spark moves a filter below the projection that made its columns, and so evaluates that
+    projection's parse a second time. A column that depends on the task holds the filter above.
+    """
+    held = rows.withColumn("_task", F.spark_partition_id())
+    return held.where(condition & (F.col("_task") >= 0)).drop("_task")
+
+
 def split_valid(
     messages: DataFrame, consumer: str, value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted messages with their parsed form, rejected messages as they came)."""
     marked = with_validity(messages, consumer, value)
-    accepted = marked.where("is_valid").drop("is_valid")
+    accepted = keep_where(marked, F.col("is_valid")).drop("is_valid")
     rejected = marked.where(~F.col("is_valid")).drop("is_valid", "message")
     return accepted, rejected
 
@@ -55,11 +65,13 @@ def lenient_record(
     fields: dict[str, str],
     value: str = "value",
     keep: tuple[str, ...] = (),
+    valid: str | None = None,
 ) -> DataFrame:
     """The wanted fields of each message, with the lenient rules of ``json_fields``.
 
     Well-formed messages are read in one pass against the declared types. Only a message that
-    this pass finds anything odd in is parsed again, field by field.
+    this pass finds anything odd in is parsed again, field by field. ``valid`` names an optional
+    flag for messages the archive accepts.
     """
     record = jf.strict_record(F.col(value), fields)
     first_pass = messages.select("*", record.alias("_record"))
@@ -67,8 +79,10 @@ def lenient_record(
     second_pass = first_pass.select("*", clean.alias("_clean")).select(
         "*", F.when(~F.col("_clean"), jf.parse_message(F.col(value))).alias("_message")
     )
+    accepted = F.col("_clean") | is_valid(F.col(value), F.col("_message"), "archive")
     return second_pass.select(
         *keep,
+        *([accepted.alias(valid)] if valid else []),
         *[
             F.when(F.col("_clean"), F.col("_record").getField(name))
             .otherwise(jf.read_field(F.col("_message"), name, kind))

@@ -60,9 +60,19 @@ ARCHIVE_TYPES = {name: kind for name, kind, _ in TELEMETRY_FIELDS}
 TABLE_TYPES = {name: kind for name, _, kind in TELEMETRY_FIELDS}
 
 
+SPARK_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _struct(types: dict[str, str]) -> T.StructType:
     return T.StructType(
-        [T.StructField(name, T.DataType.fromDDL(kind), True) for name, kind in types.items()]
+        [T.StructField(name, SPARK_TYPES[kind], True) for name, kind in types.items()]
     )
 
 

@@ -2,34 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.config import TableSinkConfig
 from roadpulse.functions.times import epoch_seconds
 from roadpulse.operators.mapping import column_map
-from roadpulse.schema import TABLE_TEXT_LENGTH, TABLE_TYPES
+from roadpulse.operators.parse import keep_where
+from roadpulse.schema import ARCHIVE_TYPES, TABLE_TEXT_LENGTH, TABLE_TYPES
+
+# The columns whose archive value can be out of the table column's reach.
+NARROWED = [
+    name
+    for name, kind in TABLE_TYPES.items()
+    if kind == "string" or (kind != ARCHIVE_TYPES[name] and kind != "float")
+]
 
 # Fixed value: type of every column in a table made from the mapping alone.
 INITIAL_COLUMN_TYPE = "VARCHAR(2000)"
 
 
 def as_events_table(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Archive records with the events table's types; ISO event times become epoch seconds.
+    """Archive records with the events table's types; event times become epoch seconds.
 
-    A value that does not fit its column is NULL, as is a text over the column's length.
+    A value its column cannot hold is NULL; ``split_fitting`` sets such records aside first.
     """
-    columns = []
-    for name, kind in TABLE_TYPES.items():
-        column = F.col(name)
-        if name == "event_time":
-            column = epoch_seconds(column)
-        elif kind == "string":
-            column = F.when(F.length(column) <= TABLE_TEXT_LENGTH, column)
-        else:
-            column = column.try_cast(kind)
-        columns.append(column.alias(name))
-    return records.select(*keep, *columns)
+    return records.select(*keep, *[_table_value(name).alias(name) for name in TABLE_TYPES])
+
+
+def _table_value(name: str) -> Column:
+    column = F.col(name)
+    if name == "event_time":
+        return epoch_seconds(column)
+    kind = TABLE_TYPES[name]
+    if kind == "string":
+        return F.when(F.length(column) <= TABLE_TEXT_LENGTH, column)
+    return column.try_cast(kind)
+
+
+def split_fitting(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records whose every value fits its table column, records to quarantine)."""
+    fits = F.lit(True)
+    for name in NARROWED:
+        fits = fits & (F.col(name).isNull() | _table_value(name).isNotNull())
+    marked = records.withColumn("_fits", fits)
+    fitting = keep_where(marked, F.col("_fits")).drop("_fits")
+    return fitting, keep_where(marked, ~F.col("_fits")).drop("_fits")
 
 
 def initial_column_types(columns: str | dict[str, str]) -> str:
