@@ -73,17 +73,16 @@ def has_field(message: Column, name: str) -> Column:
     return node(message, name).isNotNull()
 
 
-def has_value(message: Column, name: str) -> Column:
-    found = node(message, name)
+def has_value(found: Column) -> Column:
     return found.isNotNull() & ~F.is_variant_null(found)
 
 
-def _kind(message: Column, name: str) -> Column:
-    return F.schema_of_variant(node(message, name))
+def _as(found: Column, kind: str) -> Column:
+    return F.try_variant_get(found, "$", kind)
 
 
-def _is_nested(kind: Column) -> Column:
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+def _kind(found: Column) -> Column:
+    return F.schema_of_variant(found)
 
 
 def _truncate(number: Column, low: int, high: int, kind: str) -> Column:
@@ -102,80 +101,66 @@ def _low_32_bits(number: Column) -> Column:
     return F.when(low > INT_MAX, low - F.lit(1 << 32)).otherwise(low).cast("int")
 
 
-def number(message: Column, name: str) -> Column:
+def _is_whole_text(found: Column) -> Column:
+    return (_kind(found) == "STRING") & _as(found, "string").rlike(WHOLE_NUMBER)
+
+
+def number(found: Column) -> Column:
     """The field as a double; NULL when absent, null or not readable as a number."""
-    found = F.try_variant_get(message, path(name), "double")
-    text = F.try_variant_get(message, path(name), "string")
-    special = F.isnan(found) | (F.abs(found) == F.lit(float("inf")))
-    foreign = special & (_kind(message, name) == "STRING") & ~text.rlike(NUMBER_WORDS)
-    return F.when(~F.coalesce(foreign, F.lit(False)), found)
+    typed = _as(found, "double")
+    special = F.isnan(typed) | (F.abs(typed) == F.lit(float("inf")))
+    foreign = special & (_kind(found) == "STRING") & ~_as(found, "string").rlike(NUMBER_WORDS)
+    return F.when(~F.coalesce(foreign, F.lit(False)), typed)
 
 
-def read_double(message: Column, name: str) -> Column:
-    return F.coalesce(
-        number(message, name),
-        F.when(has_value(message, name), F.lit(0.0)),
-    )
+def read_double(found: Column) -> Column:
+    return F.coalesce(number(found), F.when(has_value(found), F.lit(0.0)))
 
 
-def read_int(message: Column, name: str) -> Column:
-    found, kind = node(message, name), _kind(message, name)
-    whole_text = (kind == "STRING") & F.try_variant_get(found, "$", "string").rlike(WHOLE_NUMBER)
+def read_int(found: Column) -> Column:
     coerced = (
-        F.when(kind == "BIGINT", _low_32_bits(F.try_variant_get(found, "$", "bigint")))
-        .when(whole_text, F.lit(0))
-        .otherwise(_truncate(number(message, name), INT_MIN, INT_MAX, "int"))
-    )
-    return F.coalesce(
-        F.try_variant_get(message, path(name), "int"), F.when(has_value(message, name), coerced)
+        F.when(_kind(found) == "BIGINT", _low_32_bits(_as(found, "bigint")))
+        .when(_is_whole_text(found), F.lit(0))
+        .otherwise(_truncate(number(found), INT_MIN, INT_MAX, "int"))
     )
+    return F.coalesce(_as(found, "int"), F.when(has_value(found), coerced))
 
 
-def read_long(message: Column, name: str) -> Column:
-    found, kind = node(message, name), _kind(message, name)
-    whole_text = (kind == "STRING") & F.try_variant_get(found, "$", "string").rlike(WHOLE_NUMBER)
-    coerced = F.when(whole_text, F.lit(0).cast("bigint")).otherwise(
-        _truncate(number(message, name), LONG_MIN, LONG_MAX, "bigint")
-    )
-    return F.coalesce(
-        F.try_variant_get(message, path(name), "bigint"),
-        F.when(has_value(message, name), coerced),
+def read_long(found: Column) -> Column:
+    coerced = F.when(_is_whole_text(found), F.lit(0).cast("bigint")).otherwise(
+        _truncate(number(found), LONG_MIN, LONG_MAX, "bigint")
     )
+    return F.coalesce(_as(found, "bigint"), F.when(has_value(found), coerced))
 
 
-def read_text(message: Column, name: str) -> Column:
+def read_text(found: Column) -> Column:
     """Text of a scalar; a nested object or array has none and reads as ''."""
-    found, kind = node(message, name), _kind(message, name)
-    text = F.try_variant_get(found, "$", "string")
-    return F.when(
-        has_value(message, name),
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), text)
-        .when(_is_nested(kind), F.lit(""))
-        .when(kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$"), text)
-        .otherwise(F.try_variant_get(found, "$", "double").cast("string")),
-    )
+    kind = _kind(found)
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    return F.when(has_value(found), F.when(nested, F.lit("")).otherwise(json_text(found)))
 
 
-def read_boolean(message: Column, name: str) -> Column:
-    found, kind = node(message, name), _kind(message, name)
+def read_boolean(found: Column) -> Column:
+    kind = _kind(found)
     return F.when(
-        has_value(message, name),
-        F.when(kind == "BOOLEAN", F.try_variant_get(found, "$", "boolean"))
-        .when(kind == "BIGINT", F.try_variant_get(found, "$", "bigint") != 0)
-        .when(kind == "STRING", F.trim(F.try_variant_get(found, "$", "string")) == "true")
+        has_value(found),
+        F.when(kind == "BOOLEAN", _as(found, "boolean"))
+        .when(kind == "BIGINT", _as(found, "bigint") != 0)
+        .when(kind == "STRING", F.trim(_as(found, "string")) == "true")
         .otherwise(F.lit(False)),
     )
 
 
-def json_text(message: Column, name: str) -> Column:
-    """Text fields as they are, any other field as its JSON text; NULL if absent or null."""
-    found, kind = node(message, name), _kind(message, name)
+def json_text(found: Column) -> Column:
+    """Text fields as they are, any other field as its JSON text; NULL if absent or null.
+
+    A number with a fraction is written as a double, so that 100.0 stays '100.0'.
+    """
+    kind = _kind(found)
+    fractional = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\(([0-9]|1[0-8]),")
     return F.when(
-        has_value(message, name),
-        F.when(
-            (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\(([0-9]|1[0-8]),"),
-            F.try_variant_get(found, "$", "double").cast("string"),
-        ).otherwise(F.try_variant_get(found, "$", "string")),
+        has_value(found),
+        F.when(fractional, _as(found, "double").cast("string")).otherwise(_as(found, "string")),
     )
 
 
@@ -184,15 +169,27 @@ LENIENT_READERS = {
     "int": read_int,
     "bigint": read_long,
     "double": read_double,
-    "float": lambda message, name: read_double(message, name).cast("float"),
     "boolean": read_boolean,
 }
 
 
+def read_fields(message: Column, fields: dict[str, str]) -> dict[str, Column]:
+    """Lenient reads of many fields of a message: an array per type, to be indexed by field.
+
+    One rule per type, applied to the array of that type's fields, keeps the plan small.
+    """
+    arrays = {}
+    for kind in dict.fromkeys(fields.values()):
+        names = [name for name, wanted in fields.items() if wanted == kind]
+        found = F.array(*[node(message, name) for name in names])
+        arrays[kind] = F.transform(found, LENIENT_READERS[kind])
+    return arrays
+
+
 def read_field(message: Column, name: str, kind: str, mode: str = "lenient") -> Column:
     """One typed field: ``lenient`` replaces unreadable values, ``strict`` gives NULL."""
     if mode == "lenient":
-        return LENIENT_READERS[kind](message, name)
+        return LENIENT_READERS[kind](node(message, name))
     if mode == "strict":
         return F.try_variant_get(message, path(name), kind)
     raise ValueError(f"mode must be 'lenient' or 'strict', not {mode!r}")

@@ -66,8 +66,14 @@ def duration_summary(rows: DataFrame, duration: str, by: tuple[str, ...]) -> Dat
     )
 
 
-def _bucket(ts: str, seconds: int) -> Column:
-    return F.window(F.col(ts), f"{seconds} seconds").getField("start")
+def _windowed(rows: DataFrame, ts: str, seconds: int, by: tuple[str, ...], *totals: Column):
+    """Aggregates per time window, under ``window_start``.
+
+    Grouping by the window itself, not by its start, lets a stream's watermark close it.
+    """
+    grouped = rows.groupBy(F.window(F.col(ts), f"{seconds} seconds").alias("_window"), *by)
+    start = F.col("_window").getField("start").alias("window_start")
+    return grouped.agg(*totals).select("*", start).drop("_window")
 
 
 def rate(
@@ -80,8 +86,7 @@ def rate(
     """Rows (or rows for which ``when`` holds) per second in each time window."""
     n = _count() if when is None else F.count_if(when)
     return (
-        rows.groupBy(_bucket(ts, seconds).alias("window_start"), *by)
-        .agg(n.alias("events"))
+        _windowed(rows, ts, seconds, by, n.alias("events"))
         .withColumn("rate", F.col("events") / F.lit(float(seconds)))
     )
 
@@ -95,8 +100,7 @@ def total_rate(
 ) -> DataFrame:
     """The per-second increase of a counter to which every row adds its amount."""
     return (
-        rows.groupBy(_bucket(ts, seconds).alias("window_start"), *by)
-        .agg(F.sum(amount).alias("increase"))
+        _windowed(rows, ts, seconds, by, F.sum(amount).alias("increase"))
         .withColumn("rate", F.col("increase") / F.lit(float(seconds)))
     )
 
@@ -115,13 +119,11 @@ def sliding_rate(
     """
     if seconds % step_seconds:
         raise ValueError("the window must be a whole number of steps")
-    per_step = rows.groupBy(_bucket(ts, step_seconds).alias("_step"), *by).agg(
-        _count().alias("_events")
-    )
+    per_step = _windowed(rows, ts, step_seconds, by, _count().alias("_events"))
     covering = F.explode(
         F.array(
             *[
-                F.col("_step") - F.expr(f"INTERVAL {back * step_seconds} SECONDS")
+                F.col("window_start") - F.expr(f"INTERVAL {back * step_seconds} SECONDS")
                 for back in range(seconds // step_seconds)
             ]
         )
@@ -144,8 +146,14 @@ def share_pct(
 ) -> DataFrame:
     """Percentage of a window's rows for which the condition holds."""
     return (
-        rows.groupBy(_bucket(ts, seconds).alias("window_start"), *by)
-        .agg(_count().alias("total"), F.count_if(condition).alias("matching"))
+        _windowed(
+            rows,
+            ts,
+            seconds,
+            by,
+            _count().alias("total"),
+            F.count_if(condition).alias("matching"),
+        )
         .withColumn(name, F.lit(100.0) * F.col("matching") / F.col("total"))
     )
 

@@ -79,17 +79,20 @@ def lenient_record(
     second_pass = first_pass.select("*", clean.alias("_clean")).select(
         "*", F.when(~F.col("_clean"), jf.parse_message(F.col(value))).alias("_message")
     )
-    accepted = F.col("_clean") | is_valid(F.col(value), F.col("_message"), "archive")
-    return second_pass.select(
-        *keep,
-        *([accepted.alias(valid)] if valid else []),
-        *[
-            F.when(F.col("_clean"), F.col("_record").getField(name))
-            .otherwise(jf.read_field(F.col("_message"), name, kind))
-            .alias(name)
-            for name, kind in fields.items()
-        ],
+    arrays = jf.read_fields(F.col("_message"), fields)
+    third_pass = second_pass.select(
+        "*",
+        *[F.when(~F.col("_clean"), odd).alias(f"_odd_{kind}") for kind, odd in arrays.items()],
     )
+    accepted = F.col("_clean") | is_valid(F.col(value), F.col("_message"), "archive")
+    place: dict[str, int] = {}
+    columns = []
+    for name, kind in fields.items():
+        odd = F.get(F.col(f"_odd_{kind}"), F.lit(place.setdefault(kind, 0)))
+        place[kind] += 1
+        quick = F.col("_record").getField(name)
+        columns.append(F.when(F.col("_clean"), quick).otherwise(odd).alias(name))
+    return third_pass.select(*keep, *([accepted.alias(valid)] if valid else []), *columns)
 
 
 def typed_record(

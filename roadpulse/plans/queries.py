@@ -178,10 +178,10 @@ def column_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.mapped(messages(spark, sf_dir), S.MAPPING, keep=("event_id",))
 
 
-def simple_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short messages that keep ``props`` nested, with message headers."""
+def simple_text() -> Column:
+    """A short message that keeps ``props`` nested."""
     user = F.col("user_id").cast("string")
-    value = F.concat(
+    return F.concat(
         F.lit('{"policy_id":'),
         user,
         F.lit(',"vin":"VIN-'),
@@ -190,6 +190,10 @@ def simple_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "props",
         F.lit("}"),
     )
+
+
+def simple_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short messages with message headers; every other header map holds a null ``vin``."""
     headers = F.when(
         F.col("event_id") % 2 == 0,
         F.create_map(
@@ -197,7 +201,11 @@ def simple_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ).otherwise(F.create_map(F.lit("source"), F.col("event_type")))
     return events(spark, sf_dir).select(
-        "event_id", "event_type", "ts", value.alias("value"), headers.alias("message_headers")
+        "event_id",
+        "event_type",
+        "ts",
+        simple_text().alias("value"),
+        headers.alias("message_headers"),
     )
 
 

@@ -28,3 +28,6 @@ EXPRESSIONS = {
     "absent": "speed_ms",
     "message": "payload.toString()",
 }
+# A gap longer than the idle limit: the session window's own gap is exclusive.
+IDLE_GAP = "300 seconds 1 microsecond"
+LOAD_COLUMNS = "policy:policy_id,vin,speed_ms"
