@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from roadpulse.config import DEFAULT_THRESHOLD, RATE_WINDOW_SECONDS
 from roadpulse.operators.detect import detected
 from roadpulse.operators.ordered import ordered, with_row_number
+from roadpulse.operators.parse import with_validity
 
 
 def _count() -> Column:
@@ -36,6 +37,16 @@ def detector_aggregates() -> list[Column]:
     ]
 
 
+def archive_counters(messages: DataFrame, value: str = "value", by: tuple = ()) -> DataFrame:
+    """Messages the archive received, wrote and set aside as unparsable."""
+    marked = with_validity(messages, "archive", value)
+    return marked.groupBy(*by).agg(
+        _count().alias("received"),
+        F.count_if("is_valid").alias("written"),
+        F.count_if(~F.col("is_valid")).alias("quarantined"),
+    )
+
+
 def outcome_counters(
     rows: DataFrame, failed: Column, by: tuple[str, ...] = ("table_name",)
 ) -> DataFrame:

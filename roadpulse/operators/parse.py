@@ -40,13 +40,20 @@ def with_validity(
     )
 
 
-def keep_where(rows: DataFrame, condition: Column) -> DataFrame:
-    """Filters on parsed columns without parsing again.
+def computed_once(rows: DataFrame) -> DataFrame:
+    """The same rows, with their computed columns evaluated once however they are used later.
 
-    Spark moves a filter below the projection that made its columns, and so evaluates that
-    projection's parse a second time. A column that depends on the task holds the filter above.
+    Spark moves a filter below the projection that made its columns and copies their
+    expressions into it, so an expensive one (a parse) runs twice. A column that depends on the
+    task, and a filter that needs it, hold the projection in place.
     """
     held = rows.withColumn("_task", F.spark_partition_id())
+    return held.where(F.col("_task") >= 0).drop("_task")
+
+
+def keep_where(rows: DataFrame, condition: Column) -> DataFrame:
+    """Filters on parsed columns without parsing again."""
+    held = rows.withColumn("_task", F.spark_partition_id())
     return held.where(condition & (F.col("_task") >= 0)).drop("_task")
 
 

@@ -196,6 +196,11 @@ WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < 0.
 """,
     "pipeline_counters": f"SELECT {COUNTERS} FROM events",
     "pipeline_counters_by_type": f"SELECT event_type, {COUNTERS} FROM events GROUP BY event_type",
+    "archive_counters": """
+SELECT event_type, count(*) AS received, count(*) FILTER (WHERE event_id % 97 <> 0) AS written,
+       count(*) FILTER (WHERE event_id % 97 = 0) AS quarantined
+FROM events GROUP BY event_type
+""",
     "metric_series": f"""
 WITH counters AS (SELECT event_type, {COUNTERS} FROM events GROUP BY event_type)
 SELECT event_type, 'telemetry_messages_total' AS name, messages_total::DOUBLE AS value
@@ -450,6 +455,10 @@ FROM loaded WHERE error_class IS NOT NULL GROUP BY ALL
     "recent_events": """
 SELECT count(*) AS events FROM events
 WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+""",
+    "recent_events_millis": """
+SELECT count(*) AS events FROM events
+WHERE epoch_us(ts) // 1000 > (SELECT max(epoch_us(ts) // 1000) FROM events) - 7 * 86400000
 """,
     "scalar_functions": r"""
 SELECT event_id, ts::DATE::VARCHAR AS iso_date, strftime(ts, '%Y%m%d_%H%M%S') AS file_time,
@@ -484,9 +493,13 @@ FROM events WHERE event_id % 97 <> 0
 UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
 """,
     "stream_rate_5m": f"""
-SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate
-FROM events GROUP BY ALL
-HAVING {_window(300)} + INTERVAL 5 MINUTES <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)
+WITH rates AS (
+  SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate
+  FROM events GROUP BY ALL
+)
+SELECT * FROM rates
+WHERE window_start + INTERVAL 5 MINUTES
+      <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)
 """,
     "stream_session_batches": f"""
 WITH {SESSIONS},

@@ -118,6 +118,11 @@ def pipeline_counters_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def archive_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.archive_counters(broken_messages(spark, sf_dir), by=("event_type",))
+
+
 @query
 def metric_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = pipeline_counters_by_type(spark, sf_dir)
@@ -538,7 +543,7 @@ def duration_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def duration_percentiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.approximate_quantiles(
-        events(spark, sf_dir), "value", S.QUANTILES, ("event_type",), accuracy=1_000_000
+        events(spark, sf_dir), "value", S.QUANTILES, ("event_type",), accuracy=100_000
     )
 
 
@@ -586,6 +591,17 @@ def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times.recent(rows, "ts", "1 day", newest).agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def recent_events_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select(
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("event_time")
+    )
+    newest = F.timestamp_millis(rows.agg(F.max("event_time")).scalar())
+    return times.recent_millis(rows, "event_time", "7 days", newest).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
 @query
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.col("ts").cast("timestamp")

@@ -11,6 +11,7 @@ from roadpulse.operators import detect, mapping, metrics, parse
 from roadpulse.plans import settings as S
 from roadpulse.plans.queries import query, simple_text
 from roadpulse.session import prepare, scratch_path
+from roadpulse.sinks.dead_letter import PARSE_ERROR, dead_letters
 from roadpulse.sources.messages import stream_rows
 from roadpulse.sources.tables import events, telemetry_messages
 from roadpulse.streaming import batching, pipeline
@@ -101,25 +102,27 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in ("archive", "accidents", "log", "quarantine")
     }
     stores = {name: pipeline.repeatable_parquet(path) for name, path in paths.items()}
-    config = DetectorConfig(S.THRESHOLD)
 
     def archive(batch: DataFrame, batch_id: int) -> None:
-        accepted, _ = parse.split_valid(batch, "archive")
+        accepted = batch.where("is_valid")
         stores["archive"](parse.typed_record(accepted, keep=("event_id",)), batch_id)
 
     def accidents(batch: DataFrame, batch_id: int) -> None:
-        stores["accidents"](detect.accident_filter(batch, config), batch_id)
+        stores["accidents"](batch.where("is_accident").select("event_id", "value"), batch_id)
 
     def log(batch: DataFrame, batch_id: int) -> None:
-        stores["log"](detect.accident_filter(batch, config).select("event_id"), batch_id)
+        stores["log"](batch.where("is_accident").select("event_id"), batch_id)
 
     def quarantine(batch: DataFrame, batch_id: int) -> None:
-        stores["quarantine"](pipeline.unparsable(batch), batch_id)
+        rejected = batch.where(~F.col("is_valid"))
+        stores["quarantine"](dead_letters(rejected, F.lit(PARSE_ERROR)), batch_id)
 
     routes = {"archive": archive, "accidents": accidents, "log": log, "quarantine": quarantine}
     checkpoint = scratch_path(spark, "fanout-checkpoint")
     started = pipeline.each_batch(
-        broken_stream(spark, sf_dir), pipeline.fan_out(routes), checkpoint
+        broken_stream(spark, sf_dir),
+        pipeline.fan_out(routes, lambda batch: detect.detected(batch, S.THRESHOLD)),
+        checkpoint,
     ).start()
     drained(started)
     counts = [

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.operators.parse import computed_once
 from roadpulse.session import prepare
 
 # Which events stand for broken messages.
@@ -20,6 +21,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def spread_small(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when their source has fewer splits than that.
+
+    Only a small source is shuffled: one with a split or more per core stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def telemetry_fields() -> dict[str, Column]:
     """The 33 record fields, each an expression over the events table."""
     event_id, user_id, value = F.col("event_id"), F.col("user_id"), F.col("value")
@@ -76,9 +88,10 @@ def telemetry_messages(
 
     With ``broken`` some events become an unparsable text and some lose their g-force.
     """
+    rows = spread_small(rows)
     fields = telemetry_fields()
     if not broken:
-        return rows.select(*keep, message_text(fields).alias("value"))
+        return computed_once(rows.select(*keep, message_text(fields).alias("value")))
     fields["g_force"] = F.when(F.col("event_id") % NO_G_FORCE_EVERY != 0, F.col("value"))
     text = F.when(F.col("event_id") % UNPARSABLE_EVERY == 0, F.lit("not-json"))
-    return rows.select(*keep, text.otherwise(message_text(fields)).alias("value"))
+    return computed_once(rows.select(*keep, text.otherwise(message_text(fields)).alias("value")))

@@ -17,7 +17,7 @@ from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
 from roadpulse.operators.detect import accident_filter, detected
 from roadpulse.operators.layout import with_partition_columns
 from roadpulse.operators.metrics import detector_aggregates
-from roadpulse.operators.parse import keep_where, lenient_record, split_valid, with_validity
+from roadpulse.operators.parse import keep_where, lenient_record, with_validity
 from roadpulse.schema import ARCHIVE_TYPES
 from roadpulse.sinks.archive import COMPRESSION
 from roadpulse.sinks.dead_letter import dead_letters, deliver, error_class
@@ -85,6 +85,17 @@ def start_detector(
     )
 
 
+def start_log(events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Shows events on the console for debugging, beside any other consumer of the stream."""
+    return (
+        events.writeStream.format("console")
+        .option("truncate", "false")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or every(1)))
+        .start()
+    )
+
+
 def observed_detector(
     messages: DataFrame, config: DetectorConfig = DetectorConfig(), name: str = "detector"
 ) -> DataFrame:
@@ -103,11 +114,17 @@ def observed_totals(query: StreamingQuery, name: str = "detector") -> dict[str,
     return totals
 
 
-def fan_out(routes: dict[str, BatchWriter]) -> BatchWriter:
-    """One batch to several writers, read from the source once. An empty batch is skipped."""
+def fan_out(
+    routes: dict[str, BatchWriter], prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> BatchWriter:
+    """One batch to several writers, read from the source once.
+
+    ``prepare`` does the work the routes share (such as parsing) before the batch is kept for
+    them. An empty batch is skipped.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = (prepare(batch) if prepare else batch).persist()
         try:
             if not kept.isEmpty():
                 for route in routes.values():
@@ -133,12 +150,11 @@ def repeatable_parquet(path: str, *partition_columns: str) -> BatchWriter:
     return write
 
 
-def unparsable(
-    batch: DataFrame, config: TableSinkConfig = TableSinkConfig(), value: str = "value"
-) -> DataFrame:
-    """The quarantine rows of messages the table loader cannot read."""
-    marked = keep_where(with_validity(batch, "map", value), ~F.col("is_valid"))
-    return dead_letters(marked, error_class(F.col("message")), value, config.max_attempts)
+def marked_for_table(batch: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``error_class``: NULL for messages the table loader can read."""
+    marked = with_validity(batch, "map", value)
+    reason = F.when(~F.col("is_valid"), error_class(F.col("message")))
+    return marked.withColumn("error_class", reason).drop("message", "is_valid")
 
 
 def table_loader(
@@ -151,18 +167,22 @@ def table_loader(
     """Loads a batch's valid messages; what cannot be parsed or written is quarantined."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        accepted, _ = split_valid(batch, "map", value)
-        letters = [unparsable(batch, config, value)]
-
-        def give_up(rows: DataFrame, reason: str, attempts: int) -> None:
-            letters.append(dead_letters(accepted, F.lit(reason), value, attempts))
-
-        deliver(
-            transform(accepted), lambda rows: write(rows, batch_id), give_up, config.max_attempts
-        )
-        quarantine(reduce(DataFrame.unionByName, letters), batch_id)
+        kept = marked_for_table(batch, value).persist()
+        try:
+            if kept.isEmpty():
+                return
+            readable = F.col("error_class").isNull()
+            accepted = kept.where(readable).drop("error_class")
+            reason, tries = F.col("error_class"), config.max_attempts
+            letters = [dead_letters(kept.where(~readable), reason, value, tries)]
+
+            def give_up(rows: DataFrame, failure: str, attempts: int) -> None:
+                letters.append(dead_letters(accepted, F.lit(failure), value, attempts))
+
+            deliver(transform(accepted), lambda rows: write(rows, batch_id), give_up, tries)
+            quarantine(reduce(DataFrame.unionByName, letters), batch_id)
+        finally:
+            kept.unpersist()
 
     return load
 
