@@ -81,7 +81,8 @@ def _as(found: Column, kind: str) -> Column:
     return F.try_variant_get(found, "$", kind)
 
 
-def _kind(found: Column) -> Column:
+def kind_of(found: Column) -> Column:
+    """The field's JSON type as Spark names it: BIGINT, DECIMAL(2,1), STRING, OBJECT<…>, …"""
     return F.schema_of_variant(found)
 
 
@@ -101,47 +102,45 @@ def _low_32_bits(number: Column) -> Column:
     return F.when(low > INT_MAX, low - F.lit(1 << 32)).otherwise(low).cast("int")
 
 
-def _is_whole_text(found: Column) -> Column:
-    return (_kind(found) == "STRING") & _as(found, "string").rlike(WHOLE_NUMBER)
+def _is_whole_text(found: Column, kind: Column) -> Column:
+    return (kind == "STRING") & _as(found, "string").rlike(WHOLE_NUMBER)
 
 
-def number(found: Column) -> Column:
+def number(found: Column, kind: Column) -> Column:
     """The field as a double; NULL when absent, null or not readable as a number."""
     typed = _as(found, "double")
     special = F.isnan(typed) | (F.abs(typed) == F.lit(float("inf")))
-    foreign = special & (_kind(found) == "STRING") & ~_as(found, "string").rlike(NUMBER_WORDS)
+    foreign = special & (kind == "STRING") & ~_as(found, "string").rlike(NUMBER_WORDS)
     return F.when(~F.coalesce(foreign, F.lit(False)), typed)
 
 
-def read_double(found: Column) -> Column:
-    return F.coalesce(number(found), F.when(has_value(found), F.lit(0.0)))
+def read_double(found: Column, kind: Column) -> Column:
+    return F.coalesce(number(found, kind), F.when(has_value(found), F.lit(0.0)))
 
 
-def read_int(found: Column) -> Column:
+def read_int(found: Column, kind: Column) -> Column:
     coerced = (
-        F.when(_kind(found) == "BIGINT", _low_32_bits(_as(found, "bigint")))
-        .when(_is_whole_text(found), F.lit(0))
-        .otherwise(_truncate(number(found), INT_MIN, INT_MAX, "int"))
+        F.when(kind == "BIGINT", _low_32_bits(_as(found, "bigint")))
+        .when(_is_whole_text(found, kind), F.lit(0))
+        .otherwise(_truncate(number(found, kind), INT_MIN, INT_MAX, "int"))
     )
     return F.coalesce(_as(found, "int"), F.when(has_value(found), coerced))
 
 
-def read_long(found: Column) -> Column:
-    coerced = F.when(_is_whole_text(found), F.lit(0).cast("bigint")).otherwise(
-        _truncate(number(found), LONG_MIN, LONG_MAX, "bigint")
+def read_long(found: Column, kind: Column) -> Column:
+    coerced = F.when(_is_whole_text(found, kind), F.lit(0).cast("bigint")).otherwise(
+        _truncate(number(found, kind), LONG_MIN, LONG_MAX, "bigint")
     )
     return F.coalesce(_as(found, "bigint"), F.when(has_value(found), coerced))
 
 
-def read_text(found: Column) -> Column:
+def read_text(found: Column, kind: Column) -> Column:
     """Text of a scalar; a nested object or array has none and reads as ''."""
-    kind = _kind(found)
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(has_value(found), F.when(nested, F.lit("")).otherwise(json_text(found)))
+    return F.when(has_value(found), F.when(nested, F.lit("")).otherwise(json_text(found, kind)))
 
 
-def read_boolean(found: Column) -> Column:
-    kind = _kind(found)
+def read_boolean(found: Column, kind: Column) -> Column:
     return F.when(
         has_value(found),
         F.when(kind == "BOOLEAN", _as(found, "boolean"))
@@ -151,12 +150,11 @@ def read_boolean(found: Column) -> Column:
     )
 
 
-def json_text(found: Column) -> Column:
+def json_text(found: Column, kind: Column) -> Column:
     """Text fields as they are, any other field as its JSON text; NULL if absent or null.
 
     A number with a fraction is written as a double, so that 100.0 stays '100.0'.
     """
-    kind = _kind(found)
     fractional = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\(([0-9]|1[0-8]),")
     return F.when(
         has_value(found),
@@ -173,6 +171,10 @@ LENIENT_READERS = {
 }
 
 
+def _pair_reader(reader):
+    return lambda pair: reader(pair["node"], pair["kind"])
+
+
 def read_fields(message: Column, fields: dict[str, str]) -> dict[str, Column]:
     """Lenient reads of many fields of a message: an array per type, to be indexed by field.
 
@@ -181,15 +183,28 @@ def read_fields(message: Column, fields: dict[str, str]) -> dict[str, Column]:
     arrays = {}
     for kind in dict.fromkeys(fields.values()):
         names = [name for name, wanted in fields.items() if wanted == kind]
-        found = F.array(*[node(message, name) for name in names])
-        arrays[kind] = F.transform(found, LENIENT_READERS[kind])
+        found = [node(message, name) for name in names]
+        pairs = F.array(*[F.struct(f.alias("node"), kind_of(f).alias("kind")) for f in found])
+        arrays[kind] = F.transform(pairs, _pair_reader(LENIENT_READERS[kind]))
     return arrays
 
 
+def field_number(message: Column, name: str) -> Column:
+    found = node(message, name)
+    return number(found, kind_of(found))
+
+
+def field_text(message: Column, name: str) -> Column:
+    """The field's JSON text; NULL if absent or null."""
+    found = node(message, name)
+    return json_text(found, kind_of(found))
+
+
 def read_field(message: Column, name: str, kind: str, mode: str = "lenient") -> Column:
     """One typed field: ``lenient`` replaces unreadable values, ``strict`` gives NULL."""
     if mode == "lenient":
-        return LENIENT_READERS[kind](node(message, name))
+        found = node(message, name)
+        return LENIENT_READERS[kind](found, kind_of(found))
     if mode == "strict":
         return F.try_variant_get(message, path(name), kind)
     raise ValueError(f"mode must be 'lenient' or 'strict', not {mode!r}")

@@ -14,7 +14,7 @@ HASH_SPACE = 1 << 32
 
 def g_force(value: Column) -> Column:
     """The message's g-force; missing, unreadable or unparsable counts as 0."""
-    slow = jf.number(jf.node(jf.parse_message(value), "g_force"))
+    slow = jf.field_number(jf.parse_message(value), "g_force")
     return F.coalesce(jf.quick_number(value, "g_force"), slow, F.lit(0.0))
 
 
@@ -46,7 +46,7 @@ def detected(
     valid = F.col("_number").isNotNull() | F.col("_message").isNotNull() | empty
     number = F.coalesce(
         F.col("_number"),
-        jf.number(jf.node(F.col("_message"), "g_force")),
+        jf.field_number(F.col("_message"), "g_force"),
         F.lit(0.0),
     )
     return second_pass.select(

@@ -24,7 +24,7 @@ TEMPLATE_PIECE = re.compile(
 
 def field_or_unknown(message: Column, name: str) -> Column:
     """A message field as path text, 'unknown' when absent, null or unparsable."""
-    text = jf.json_text(jf.node(message, name))
+    text = jf.field_text(message, name)
     if name == "driver_id":
         text = strip_driver_prefix(text)
     return F.coalesce(text, F.lit(UNKNOWN))

@@ -45,7 +45,7 @@ def mapped(
     pairs = column_map(columns) if isinstance(columns, str) else columns
     parsed = messages.withColumn("_message", jf.parse_message(F.col(value)))
     return parsed.select(
-        *keep, *[jf.json_text(jf.node(F.col("_message"), key)).alias(name) for name, key in pairs.items()]
+        *keep, *[jf.field_text(F.col("_message"), key).alias(name) for name, key in pairs.items()]
     )
 
 
@@ -86,7 +86,7 @@ def _found(place: str, key: str) -> Column:
 
 def _value(place: str, key: str) -> Column:
     if place == "payload":
-        return jf.json_text(jf.node(F.col("message"), key))
+        return jf.field_text(F.col("message"), key)
     return F.col("headers").getItem(key)
 
 
