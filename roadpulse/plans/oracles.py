@@ -414,7 +414,9 @@ SELECT {_window(300)} AS window_start, count(*) AS increase, count(*) / 300.0 AS
 FROM events GROUP BY ALL
 """,
     "duration_percentiles": "SELECT event_type, "
-    + ", ".join(f"quantile_cont(value, {q}) AS {name}" for q, name in QUANTILE_NAMES.items())
+    + ", ".join(
+        f"round(quantile_cont(value, {q}), 6) AS {name}" for q, name in QUANTILE_NAMES.items()
+    )
     + " FROM events GROUP BY event_type",
     "duration_percentiles_approx": "SELECT event_type, "
     + ", ".join(f"quantile_disc(value, {q}) AS {name}" for q, name in QUANTILE_NAMES.items())
