@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_INTAKE_BATCH, DEFAULT_WRITERS, RollConfig
 from roadpulse.functions.text import writer_label
-from roadpulse.operators.ordered import Ordered, ordered, with_index, with_row_number, with_running
+from roadpulse.operators.ordered import ordered, with_index, with_row_number, with_running
 
 # Why a file is closed.
 AGE, ROWS, SIZE = "age", "message count", "file size"
@@ -80,19 +80,15 @@ def count_idle_rows(
         return numbered.select(
             *needed.columns, "session", _whole(place / F.lit(batch_size)).alias("batch_no")
         )
-    steps = with_running(data, previous={"_previous": ts}, count="_number", keep_slices=True)
+    steps = with_running(data, previous="_previous", count="_number")
     gap = _micros(ts) - _micros("_previous")
     opens = F.col("_previous").isNull() | (gap > F.lit(idle_micros))
-    marked = steps.withColumn("_opens", opens.cast("bigint")).withColumn(
-        "_opened_at", F.when(opens, F.col("_number"))
-    )
-    sessions = with_running(
-        Ordered(marked, data.keys, data.order),
-        sums={"session": "_opens"},
-        maxes={"_start": "_opened_at"},
+    marked = steps.with_columns(
+        {"_opens": opens.cast("bigint"), "_opened_at": F.when(opens, F.col("_number"))}
     )
+    sessions = with_running(marked, sums={"session": "_opens"}, maxes={"_start": "_opened_at"})
     place = F.col("_number") - F.col("_start")
-    return sessions.select(
+    return sessions.rows.select(
         *needed.columns, "session", _whole(place / F.lit(batch_size)).alias("batch_no")
     )
 
@@ -168,7 +164,8 @@ def roll_by_size(
     """Files cut where the bytes written before a row reach a multiple of the size limit."""
     keys = ("date", writer)
     keyed = rows.select(F.to_date(ts).alias("date"), writer, ts, tie_breaker, size)
-    running = with_running(ordered(keyed, (ts, tie_breaker), keys), sums={"_bytes": size})
+    data = ordered(keyed, (ts, tie_breaker), keys)
+    running = with_running(data, sums={"_bytes": size}).result()
     file_no = _whole((F.col("_bytes") - F.col(size)) / F.lit(max_bytes))
     return running.groupBy(*keys, file_no.alias("file_no")).agg(
         F.count(F.lit(1)).alias("file_rows"), F.sum(size).alias("file_bytes")
@@ -199,10 +196,10 @@ def open_file_state(
         ordered(keyed, (ts, tie_breaker), keys),
         sums={"open_bytes": size},
         count="open_rows",
-        first={"_opened": ts},
+        first="_opened_at",
     )
-    age = _micros(ts) - _micros("_opened")
-    return running.select(
+    age = _micros(ts) - _micros("_opened_at")
+    return running.rows.select(
         *keys,
         ts,
         tie_breaker,

@@ -1,18 +1,22 @@
 """Row numbers, running sums and previous rows over ordered data of any size.
 
 A plain window over the data would put a whole group in one task; here a group may hold a
-third of all rows. So the data is range-partitioned by (keys, order) into even slices, written
-once to the shared folder (which also fixes the slices, whatever tasks are lost later), and
-each (slice, key) part is numbered on its own. One small table, a row per (slice, key), carries
-counts, sums and edge rows from slice to slice. Since a key's rows are contiguous, that table has
-at most one row per key plus one per slice, and a key's part of it at most one row per slice.
+third of all rows. So the data is range-partitioned by (keys, order) into even slices and written
+once to the shared folder, which also fixes the slices, whatever tasks are lost later. Each
+(slice, key) part is then numbered on its own, and what a key brings along from earlier slices
+is added from a small carry table.
+
+A key's rows are contiguous, so only a slice's first and last key can reach into another slice.
+The carry table holds just those: at most two rows per slice, however many rows and keys there
+are. That bound is what allows it to be broadcast.
 
 The order columns must make each row's place unique.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,12 +30,35 @@ _POSITION_BITS = (1 << 33) - 1
 
 @dataclass(frozen=True)
 class Ordered:
-    """Sliced rows on the shared folder: ``rows`` has ``_slice`` and ``_position``."""
+    """Sliced rows. ``edge_rows`` are those of the keys that may reach into another slice."""
 
     rows: DataFrame
+    edge_rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
 
+    def with_columns(self, columns: dict[str, Column]) -> Ordered:
+        return self.each(lambda rows: rows.withColumns(columns))
+
+    def each(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
+        """The same row-wise change to all rows and to the edge rows."""
+        return replace(self, rows=change(self.rows), edge_rows=change(self.edge_rows))
+
+    def result(self) -> DataFrame:
+        return self.rows.drop(SLICE, POSITION)
+
+
+def _with_edges(rows: DataFrame, edges: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
+    """Joins a table of at most two rows per slice on (slice, key); NULL keys match."""
+    names = (SLICE, *keys)
+    renamed = edges.withColumnsRenamed({name: f"_edge{name}" for name in names})
+    condition = reduce(
+        lambda a, b: a & b,
+        [F.col(name).eqNullSafe(F.col(f"_edge{name}")) for name in keys],
+        F.col(SLICE) == F.col(f"_edge{SLICE}"),
+    )
+    return rows.join(F.broadcast(renamed), condition, how).drop(*[f"_edge{n}" for n in names])
+
 
 def ordered(
     rows: DataFrame, order: tuple[str, ...], keys: tuple[str, ...] = (), slices: int | None = None
@@ -50,122 +77,121 @@ def ordered(
     )
     path = scratch_path(spark, "ordered")
     placed.write.parquet(path)
-    return Ordered(spark.read.schema(placed.schema).parquet(path), tuple(keys), tuple(order))
-
-
-def _join(rows: DataFrame, carry: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    names = (SLICE, *keys)
-    renamed = carry.select(
-        *[F.col(name).alias(f"_c{name}") for name in names],
-        *[name for name in carry.columns if name not in names],
-    )
-    condition = reduce(
-        lambda a, b: a & b,
-        [F.col(name).eqNullSafe(F.col(f"_c{name}")) for name in keys],
-        F.col(SLICE) == F.col(f"_c{SLICE}"),
-    )
-    return rows.join(renamed, condition, "left").drop(*[f"_c{name}" for name in names])
+    sliced = spark.read.schema(placed.schema).parquet(path)
+    return Ordered(sliced, _edge_rows(sliced, tuple(keys)), tuple(keys), tuple(order))
 
 
-def _by_key(data: Ordered):
-    """The carry table's window: a key's slices in order, at most one row per slice."""
-    return Window.partitionBy(*data.keys).orderBy(SLICE)
+def _edge_rows(sliced: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The rows of every slice's first and last key; those keys are looked up and kept once."""
+    if not keys:
+        return sliced
+    ends = sliced.groupBy(SLICE).agg(F.max(POSITION).alias("_end"))
+    at_edge = (F.col(POSITION) == 0) | (F.col(POSITION) == F.col("_end"))
+    found = sliced.join(F.broadcast(ends), SLICE).where(at_edge).select(SLICE, *keys).distinct()
+    path = scratch_path(sliced.sparkSession, "edges")
+    found.write.parquet(path)
+    edges = sliced.sparkSession.read.schema(found.schema).parquet(path)
+    return _with_edges(sliced, edges, keys, "left_semi")
 
 
-def _before(data: Ordered):
-    return _by_key(data).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def with_row_number(data: Ordered, name: str = "row_number", total: str | None = None) -> DataFrame:
-    """Numbers each key's rows from 1 without a second shuffle of the rows.
+def with_index(
+    rows: DataFrame, order: tuple[str, ...], name: str = "index", slices: int | None = None
+) -> DataFrame:
+    """Adds the row's place (from 0) in the order of the whole data.
 
-    ``total`` names an optional column with the key's row count.
+    Without keys the place inside the slice is already written; only counts are carried.
     """
-    parts = data.rows.groupBy(SLICE, *data.keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(POSITION).alias("_start")
-    )
-    carry = parts.select(
-        SLICE,
-        *data.keys,
-        "_start",
-        F.coalesce(F.sum("_n").over(_before(data)), F.lit(0)).alias("_earlier"),
-        F.sum("_n").over(Window.partitionBy(*data.keys)).alias("_total"),
-    )
-    numbered = _join(data.rows, carry, data.keys).withColumn(
-        name, F.col(POSITION) - F.col("_start") + F.col("_earlier") + F.lit(1)
-    )
-    extra = [F.col("_total").alias(total)] if total else []
-    return numbered.select(*data.rows.columns, name, *extra)
+    data = ordered(rows, order, slices=slices)
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = data.rows.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = counts.select(SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
+    numbered = data.rows.join(F.broadcast(earlier), SLICE)
+    return numbered.select(*rows.columns, (F.col(POSITION) + F.col("_earlier")).alias(name))
 
 
-def with_index(rows: DataFrame, order: tuple[str, ...], name: str = "index", slices=None):
-    """Adds the row's place (from 0) in the order of the whole data."""
-    data = ordered(rows, order, slices=slices)
-    numbered = with_row_number(data, "_number")
-    return numbered.withColumn(name, F.col("_number") - F.lit(1)).drop("_number", SLICE, POSITION)
+def with_row_number(data: Ordered, name: str = "row_number", total: str | None = None) -> DataFrame:
+    """Numbers each key's rows from 1; ``total`` names an optional column with their count."""
+    return with_running(data, count=name, total=total).result()
 
 
 def with_running(
     data: Ordered,
     sums: dict[str, str] | None = None,
     maxes: dict[str, str] | None = None,
-    previous: dict[str, str] | None = None,
-    first: dict[str, str] | None = None,
+    previous: str | None = None,
+    first: str | None = None,
     count: str | None = None,
-    keep_slices: bool = False,
-) -> DataFrame:
+    total: str | None = None,
+) -> Ordered:
     """Running values of each key in order, the current row included.
 
-    ``sums`` and ``maxes`` map an output to the column it runs over, ``previous`` and
-    ``first`` map an output to the column taken from the key's row before and from its first
-    row, ``count`` names a running count. The rows shuffle once, by (slice, key), so that a hot
-    key's work stays spread over its slices.
+    ``sums`` and ``maxes`` map an output to the column it runs over; ``count`` names a running
+    count and ``total`` the key's row count; ``previous`` and ``first`` name outputs with the
+    leading order column of the key's row before and of its first row.
+
+    The rows shuffle once, by (slice, key), so a hot key's work stays spread over its slices. More
+    steps on the result need no further shuffle.
     """
-    sums, maxes, previous, first = sums or {}, maxes or {}, previous or {}, first or {}
-    edge = F.struct(POSITION, *sorted(set(previous.values()) | set(first.values())))
-    parts = data.rows.groupBy(SLICE, *data.keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(column).alias(f"_part_{out}") for out, column in sums.items()],
-        *[F.max(column).alias(f"_part_{out}") for out, column in maxes.items()],
-        F.min_by(edge, F.col(POSITION)).alias("_first"),
-        F.max_by(edge, F.col(POSITION)).alias("_last"),
-    )
-    before, steps = _before(data), _by_key(data)
-    carry = parts.select(
-        SLICE,
-        *data.keys,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"),
-        *[F.sum(f"_part_{out}").over(before).alias(f"_before_{out}") for out in sums],
-        *[F.max(f"_part_{out}").over(before).alias(f"_before_{out}") for out in maxes],
-        F.lag("_last").over(steps).alias("_last_before"),
-        F.first("_first").over(steps).alias("_first_of_key"),
-    )
-    inside = Window.partitionBy(SLICE, *data.keys).orderBy(POSITION)
+    sums, maxes, lead = sums or {}, maxes or {}, data.order[0]
+    carry = _carry(data, sums, maxes)
+    part = Window.partitionBy(SLICE, *data.keys)
+    inside = part.orderBy(POSITION)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = data.rows.select(
-        "*",
+    local = [
         F.row_number().over(inside).alias("_rn"),
         *[F.sum(column).over(running).alias(f"_run_{out}") for out, column in sums.items()],
         *[F.max(column).over(running).alias(f"_run_{out}") for out, column in maxes.items()],
-        *[F.lag(column).over(inside).alias(f"_lag_{out}") for out, column in previous.items()],
-    )
-    outputs = []
+        *([F.lag(lead).over(inside).alias("_row_before")] if previous else []),
+        *([F.first(lead).over(running).alias("_first_here")] if first else []),
+        *([F.count(F.lit(1)).over(part).alias("_rows_here")] if total else []),
+    ]
+    outputs: list[Column] = []
     if count:
-        outputs.append((F.col("_rn") + F.col("_earlier")).cast("bigint").alias(count))
+        number = F.col("_rn") + F.coalesce(F.col("_rows_before"), F.lit(0))
+        outputs.append(number.cast("bigint").alias(count))
     for out in sums:
         own, earlier = F.col(f"_run_{out}"), F.col(f"_before_{out}")
         outputs.append(F.coalesce(own + earlier, own, earlier).alias(out))
     for out in maxes:
         outputs.append(F.greatest(f"_run_{out}", f"_before_{out}").alias(out))
-    for out, column in previous.items():
-        outputs.append(
-            F.when(F.col("_rn") == 1, F.col("_last_before").getField(column))
-            .otherwise(F.col(f"_lag_{out}"))
-            .alias(out)
-        )
-    for out, column in first.items():
-        outputs.append(F.col("_first_of_key").getField(column).alias(out))
-    kept = data.rows.columns
-    if not keep_slices:
-        kept = [name for name in kept if name not in (SLICE, POSITION)]
-    return _join(local, carry, data.keys).select(*kept, *outputs)
+    if previous:
+        opens, before = F.col("_rn") == 1, F.col("_last_before")
+        outputs.append(F.when(opens, before).otherwise(F.col("_row_before")).alias(previous))
+    if first:
+        spans, here = F.col("_spans").isNotNull(), F.col("_first_here")
+        outputs.append(F.when(spans, F.col("_first_of_key")).otherwise(here).alias(first))
+    if total:
+        outputs.append(F.coalesce(F.col("_key_rows"), F.col("_rows_here")).alias(total))
+
+    def add(rows: DataFrame) -> DataFrame:
+        joined = _with_edges(rows.select("*", *local), carry, data.keys, "left")
+        return joined.select(*rows.columns, *outputs)
+
+    return data.each(add)
+
+
+def _carry(data: Ordered, sums: dict[str, str], maxes: dict[str, str]) -> DataFrame:
+    """What each edge key of a slice brings along from the slices before it."""
+    lead = F.col(data.order[0])
+    parts = data.edge_rows.groupBy(SLICE, *data.keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(column).alias(f"_part_{out}") for out, column in sums.items()],
+        *[F.max(column).alias(f"_part_{out}") for out, column in maxes.items()],
+        # The order puts NULL first, so one NULL makes the first one NULL.
+        F.when(F.count(lead) == F.count(F.lit(1)), F.min(lead)).alias("_head"),
+        F.max(lead).alias("_tail"),
+    )
+    key = Window.partitionBy(*data.keys)
+    steps = key.orderBy(SLICE)
+    before = steps.rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(
+        SLICE,
+        *data.keys,
+        F.lit(True).alias("_spans"),
+        F.sum("_n").over(before).alias("_rows_before"),
+        F.sum("_n").over(key).alias("_key_rows"),
+        *[F.sum(f"_part_{out}").over(before).alias(f"_before_{out}") for out in sums],
+        *[F.max(f"_part_{out}").over(before).alias(f"_before_{out}") for out in maxes],
+        F.lag("_tail").over(steps).alias("_last_before"),
+        F.first("_head").over(steps).alias("_first_of_key"),
+    )

@@ -194,8 +194,8 @@ SELECT event_id, event_type FROM events
 WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < 0.001
   AND event_id % 97 <> 0 AND NOT ({G_FORCE}) > {S.THRESHOLD}
 """,
-    "pipeline_counters": f"SELECT {COUNTERS} FROM events",
-    "pipeline_counters_by_type": f"SELECT event_type, {COUNTERS} FROM events GROUP BY event_type",
+    "detector_counters": f"SELECT {COUNTERS} FROM events",
+    "detector_counters_by_type": f"SELECT event_type, {COUNTERS} FROM events GROUP BY event_type",
     "archive_counters": """
 SELECT event_type, count(*) AS received, count(*) FILTER (WHERE event_id % 97 <> 0) AS written,
        count(*) FILTER (WHERE event_id % 97 = 0) AS quarantined

@@ -107,12 +107,12 @@ def normal_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def pipeline_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def detector_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.detector_counters(broken_messages(spark, sf_dir), S.THRESHOLD)
 
 
 @query
-def pipeline_counters_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+def detector_counters_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.detector_counters(
         broken_messages(spark, sf_dir), S.THRESHOLD, by=("event_type",)
     )
@@ -125,7 +125,7 @@ def archive_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def metric_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counters = pipeline_counters_by_type(spark, sf_dir)
+    counters = detector_counters_by_type(spark, sf_dir)
     rows = metrics.metric_rows(counters, ("event_type",), "telemetry", F.current_timestamp())
     return rows.select(F.col("tags")["event_type"].alias("event_type"), "name", "value")
 

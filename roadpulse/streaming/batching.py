@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,31 @@ RELEASED = (
 OPEN_BATCH = "batch_rows bigint, first_us bigint, last_us bigint"
 
 
+def split_batches(moments: np.ndarray, held: tuple | None, size: int, idle: int):
+    """Cuts sorted times into batches, going on with the ``held`` one (rows, first, last).
+
+    Returns the rows, first and last time of each batch, as arrays; only the last may be open.
+    """
+    before = np.concatenate(([held[2] if held else moments[0]], moments[:-1]))
+    opens = moments - before > idle
+    opens[0] |= held is None
+    session = np.cumsum(opens)
+    place = np.arange(len(moments)) + (held[0] if held else 0)
+    starts = np.flatnonzero(opens)
+    if len(starts):
+        in_session = session > 0
+        place[in_session] = (np.arange(len(moments)) - starts[session - 1])[in_session]
+    number = place // size
+    cuts = np.flatnonzero((np.diff(session) != 0) | (np.diff(number) != 0)) + 1
+    begins, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(moments)]))
+    rows, first, last = ends - begins, moments[begins], moments[ends - 1]
+    if held and not opens[0]:
+        rows[0], first[0] = rows[0] + held[0], held[1]
+    elif held:
+        rows, first, last = (np.concatenate(([h], x)) for h, x in zip(held, (rows, first, last)))
+    return rows, first, last
+
+
 class CountOrIdle(StatefulProcessor):
     """Holds one open batch per key and shard: its row count, first and last event time."""
 
@@ -32,49 +58,42 @@ class CountOrIdle(StatefulProcessor):
         self.handle = handle
         self.open = handle.getValueState("open", OPEN_BATCH)
 
-    def _released(self, key, batch, reason: str) -> dict:
-        rows, first, last = batch
-        return {
-            "key": key[0],
-            "shard": key[1],
-            "batch_rows": rows,
-            "first_ts": pd.Timestamp(first, unit="us"),
-            "last_ts": pd.Timestamp(last, unit="us"),
-            "release": reason,
-        }
-
-    def _clear_timers(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _released(self, key, rows, first, last) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "key": key[0],
+                "shard": key[1],
+                "batch_rows": rows,
+                "first_ts": pd.to_datetime(first, unit="us"),
+                "last_ts": pd.to_datetime(last, unit="us"),
+                "release": np.where(rows == self.batch_size, "count", "idle"),
+            }
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.open.get() if self.open.exists() else None
-        batch = tuple(stored) if stored else None
+        held = tuple(self.open.get()) if self.open.exists() else None
         for chunk in rows:
-            times = chunk["ts"].sort_values().astype("datetime64[us]").astype("int64")
-            released = []
-            for moment in times:
-                if batch and moment - batch[2] > self.idle_ms * 1000:
-                    released.append(self._released(key, batch, "idle"))
-                    batch = None
-                batch = (batch[0] + 1, batch[1], moment) if batch else (1, moment, moment)
-                if batch[0] >= self.batch_size:
-                    released.append(self._released(key, batch, "count"))
-                    batch = None
-            if released:
-                yield pd.DataFrame(released)
-        self._clear_timers()
-        if batch:
-            self.open.update(tuple(int(part) for part in batch))
-            self.handle.registerTimer(int(batch[2]) // 1000 + self.idle_ms + 1)
+            moments = np.sort(chunk["ts"].to_numpy("datetime64[us]").astype("int64"))
+            batches = split_batches(moments, held, self.batch_size, self.idle_ms * 1000)
+            held = None
+            if batches[0][-1] < self.batch_size:
+                held = tuple(int(part[-1]) for part in batches)
+                batches = tuple(part[:-1] for part in batches)
+            if len(batches[0]):
+                yield self._released(key, *batches)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if held:
+            self.open.update(held)
+            self.handle.registerTimer(held[2] // 1000 + self.idle_ms + 1)
         else:
             self.open.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.open.exists():
-            batch = tuple(self.open.get())
+            held = tuple(self.open.get())
             self.open.clear()
-            yield pd.DataFrame([self._released(key, batch, "idle")])
+            yield self._released(key, *(np.array([part]) for part in held))
 
     def close(self) -> None:
         pass
@@ -131,4 +150,6 @@ def session_batches(
         F.lit(batch_size).cast("bigint"),
         F.col("session_rows") - F.col("batch_no") * F.lit(batch_size),
     )
-    return numbered.select("key", F.col("first_ts").alias("session_ts"), "batch_no", size.alias("batch_rows"))
+    return numbered.select(
+        "key", F.col("first_ts").alias("session_ts"), "batch_no", size.alias("batch_rows")
+    )

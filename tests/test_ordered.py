@@ -67,10 +67,10 @@ def test_running_values(frame, rows, slices):
         data,
         sums={"total": "amount"},
         maxes={"top": "amount"},
-        previous={"before": "id"},
-        first={"opened": "id"},
+        previous="before",
+        first="opened",
         count="n",
-    )
+    ).result()
     found = {
         row.id: (row.total, row.top, row.before, row.opened, row.n) for row in running.collect()
     }
@@ -81,8 +81,8 @@ def test_running_values(frame, rows, slices):
             expected[row[0]] = (
                 sum(amounts) if amounts else None,
                 max(amounts, default=None),
-                group[place - 1][0] if place else None,
-                group[0][0],
+                group[place - 1][2] if place else None,
+                group[0][2],
                 place + 1,
             )
     assert found == expected

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
@@ -126,6 +129,31 @@ def test_observed_counters_add_up_over_batches(spark, place):
     }
 
 
+@given(
+    st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=30), min_size=1, max_size=4),
+    st.integers(1, 6),
+)
+def test_split_batches_equals_one_by_one_arrival(chunks, size):
+    idle, sent, held = 5, [], None
+    for chunk in chunks:
+        batches = list(zip(*batching.split_batches(np.sort(np.array(chunk)), held, size, idle)))
+        held = tuple(batches.pop()) if batches[-1][0] < size else None
+        sent += batches
+    expected, rows = [], []
+    for chunk in chunks:
+        for moment in sorted(chunk):
+            if rows and moment - rows[-1] > idle:
+                expected.append((len(rows), rows[0], rows[-1]))
+                rows = []
+            rows.append(moment)
+            if len(rows) == size:
+                expected.append((size, rows[0], rows[-1]))
+                rows = []
+    assert [tuple(map(int, batch)) for batch in sent] == expected
+    assert (held is None) == (not rows)
+    assert held is None or tuple(map(int, held)) == (len(rows), rows[0], rows[-1])
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_released_batches_keep_every_row_over_batches(spark, place, shards):
     """Two files as two batches: an open batch goes on in the next one."""
