@@ -54,12 +54,18 @@ class RollConfig:
 
 @dataclass(frozen=True)
 class ArchiveConfig:
+    """Where and how the archive is written.
+
+    ``splits`` is over how many tasks a stream spreads the rows of one partition value.
+    """
+
     path: str
     partition_columns: tuple[str, ...] = ("date",)
     writers: int = DEFAULT_WRITERS
     intake_batch: int = DEFAULT_INTAKE_BATCH
     trigger_seconds: int = DEFAULT_TRIGGER_SECONDS
     force_flush: bool = False
+    splits: int = 4
     roll: RollConfig = RollConfig()
 
 

@@ -73,6 +73,16 @@ def balanced(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.hint("rebalance", *columns)
 
 
+def gathered(rows: DataFrame, columns: tuple[str, ...], splits: int) -> DataFrame:
+    """The same for a stream, which is not re-planned while it runs.
+
+    Rows of one partition value go to at most ``splits`` tasks, picked by the rows' own content,
+    so that a hot value does not fill one task and a cold one does not make a file per task.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(splits))
+    return rows.repartition(*columns, salt)
+
+
 def file_label(first_ts: Column, instance: Column, writer: Column, suffix: str = "parquet"):
     """The archive's own name for a file: opening time, instance, writer and milliseconds."""
     millis = F.unix_millis(first_ts.cast("timestamp")).cast("string")

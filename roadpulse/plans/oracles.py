@@ -493,6 +493,16 @@ SELECT 'loaded' AS outcome, count(*) AS messages, sum(user_id)::BIGINT AS policy
        1::INTEGER AS attempts
 FROM events WHERE event_id % 97 <> 0
 UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
+""",
+    "loader_metrics": """
+SELECT 'jdbc_consumer_messages_total' AS name, 'vehicle_events' AS "table",
+       NULL::VARCHAR AS error, count(*) AS value FROM events
+UNION ALL SELECT 'jdbc_consumer_messages_success', 'vehicle_events', NULL, count(*)
+FROM events WHERE event_id % 97 <> 0
+UNION ALL SELECT 'jdbc_consumer_null_parameters_total', 'vehicle_events', NULL, count(*)
+FROM events WHERE event_id % 97 <> 0
+UNION ALL SELECT 'jdbc_consumer_messages_error', 'vehicle_events', 'JsonParseException', count(*)
+FROM events WHERE event_id % 97 = 0
 """,
     "stream_rate_5m": f"""
 WITH rates AS (

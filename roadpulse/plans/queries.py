@@ -19,7 +19,7 @@ from roadpulse.plans import settings as S
 from roadpulse.session import scratch_path
 from roadpulse.sinks import archive, dead_letter, tables
 from roadpulse.sources.messages import read_messages, write_messages
-from roadpulse.sources.tables import events, message_text, telemetry_messages
+from roadpulse.sources.tables import events, message_text, spread_small, telemetry_messages
 from roadpulse.streaming.pipeline import archive_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,7 +157,7 @@ def lenient_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {"i": "int", "l": "bigint", "d": "double", "s": "string", "b": "boolean"}
     body = F.concat_ws(",", *[F.concat(F.lit(f'"{name}":'), node) for name in fields])
     value = F.concat(F.lit("{"), body, F.lit("}"))
-    rows = events(spark, sf_dir).select("event_id", value.alias("value"))
+    rows = spread_small(events(spark, sf_dir)).select("event_id", value.alias("value"))
     return parse.lenient_record(rows, fields, keep=("event_id",))
 
 
@@ -205,7 +205,7 @@ def simple_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("source"), F.col("event_type"), F.lit("vin"), F.lit(None).cast("string")
         ),
     ).otherwise(F.create_map(F.lit("source"), F.col("event_type")))
-    return events(spark, sf_dir).select(
+    return spread_small(events(spark, sf_dir)).select(
         "event_id",
         "event_type",
         "ts",

@@ -134,28 +134,36 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
 
 
-@query
-def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loader end to end: mapped rows to the table, unreadable messages to quarantine."""
+def loaded_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Runs the loader on short messages; returns where rows, letters and metrics went."""
     event_id = F.col("event_id")
     value = F.when(event_id % 97 == 0, F.lit("not-json")).otherwise(simple_text())
     messages = streamed_events(spark, sf_dir).select("event_id", value.alias("value"))
-    loaded, letters = scratch_path(spark, "loaded"), scratch_path(spark, "letters")
+    paths = {name: scratch_path(spark, name) for name in ("rows", "letters", "metrics")}
     config = TableSinkConfig("vehicle_events", S.LOAD_COLUMNS)
     load = pipeline.table_loader(
-        write=pipeline.repeatable_parquet(loaded),
-        quarantine=pipeline.repeatable_parquet(letters),
+        write=pipeline.repeatable_parquet(paths["rows"]),
+        quarantine=pipeline.repeatable_parquet(paths["letters"]),
         transform=lambda rows: mapping.mapped(rows, config.columns, keep=("event_id",)),
         config=config,
+        report=pipeline.repeatable_parquet(paths["metrics"]),
     )
     checkpoint = scratch_path(spark, "load-checkpoint")
     drained(pipeline.each_batch(messages, load, checkpoint).start())
-    stored = spark.read.parquet(loaded).groupBy(F.lit("loaded").alias("outcome")).agg(
+    return paths
+
+
+@query
+def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader end to end: mapped rows to the table, unreadable messages to quarantine."""
+    paths = loaded_stream(spark, sf_dir)
+    stored = spark.read.parquet(paths["rows"]).groupBy(F.lit("loaded").alias("outcome")).agg(
         F.count(F.lit(1)).alias("messages"),
         F.sum(F.col("policy").cast("bigint")).alias("policy_sum"),
         F.lit(1).alias("attempts"),
     )
-    rejected = spark.read.parquet(letters).groupBy(F.col("error_class").alias("outcome")).agg(
+    letters = spark.read.parquet(paths["letters"])
+    rejected = letters.groupBy(F.col("error_class").alias("outcome")).agg(
         F.count(F.lit(1)).alias("messages"),
         F.lit(None).cast("bigint").alias("policy_sum"),
         F.max("attempts").alias("attempts"),
@@ -163,6 +171,15 @@ def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(rejected)
 
 
+@query
+def loader_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader's own counters, added up over its batches."""
+    rows = spark.read.parquet(loaded_stream(spark, sf_dir)["metrics"])
+    counters = rows.where(~F.col("name").endswith("_duration"))
+    tags = [F.col("tags")[tag].alias(tag) for tag in ("table", "error")]
+    return counters.groupBy("name", *tags).agg(F.sum("value").cast("bigint").alias("value"))
+
+
 @query
 def stream_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows the watermark has closed."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.config import TableSinkConfig
-from roadpulse.functions.times import epoch_seconds
+from roadpulse.functions.times import epoch_seconds, readable
 from roadpulse.operators.mapping import column_map
 from roadpulse.operators.parse import keep_where
 from roadpulse.schema import ARCHIVE_TYPES, TABLE_TEXT_LENGTH, TABLE_TYPES
@@ -64,7 +64,10 @@ def as_initial_table(rows: DataFrame) -> DataFrame:
 def jdbc_writer(
     rows: DataFrame, url: str, table: str, batch_size: int = 1, properties: dict | None = None
 ) -> DataFrameWriter:
-    """A writer that inserts into the table; each task sends batches of ``batch_size``."""
+    """A writer that inserts into the table; each task sends batches of ``batch_size``.
+
+    ``properties`` are the JDBC source's options; ``numPartitions`` bounds the connections.
+    """
     writer = rows.write.format("jdbc").option("url", url).option("dbtable", table)
     for name, value in (properties or {}).items():
         writer = writer.option(name, value)
@@ -90,6 +93,21 @@ def initialize_table(
     )
 
 
+def set_up_table(
+    rows: DataFrame, url: str, config: TableSinkConfig, properties: dict | None = None
+) -> None:
+    """Prepares the target as ``config.initialize`` says.
+
+    ``'false'`` leaves it alone, ``'true'`` makes a new table of text columns, and anything else
+    is the location of a script for catalog tables.
+    """
+    if config.initialize == "true":
+        initialize_table(rows, url, config, properties)
+    elif config.initialize != "false":
+        spark = rows.sparkSession
+        run_script(spark, spark.read.text(config.initialize, wholetext=True).first().value)
+
+
 def run_script(spark: SparkSession, script: str) -> None:
     """Runs a user's initialisation script on catalog tables; a failing DROP is ignored."""
     for statement in (part.strip() for part in script.split(";")):
@@ -102,6 +120,11 @@ def run_script(spark: SparkSession, script: str) -> None:
                 raise
 
 
+def create_readable_view(events: DataFrame, name: str) -> None:
+    """A view of the events with their time as a timestamp and as UTC wall-clock time."""
+    readable(events).createOrReplaceTempView(name)
+
+
 def recreate_column(table: DataFrame, name: str, kind: str) -> DataFrame:
     """Drops a column and adds it with a new type; its values become NULL."""
     return table.drop(name).withColumn(name, F.lit(None).cast(kind))

@@ -7,10 +7,12 @@ the session, from counts alone.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +23,9 @@ RELEASED = (
 )
 OPEN_BATCH = "batch_rows bigint, first_us bigint, last_us bigint"
 
+# The processor travels with its query, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def split_batches(moments: np.ndarray, held: tuple | None, size: int, idle: int):
     """Cuts sorted times into batches, going on with the ``held`` one (rows, first, last).

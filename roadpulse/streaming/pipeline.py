@@ -6,6 +6,7 @@ replays what it had not committed. Inside a consumer the work is shared by Spark
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,8 +16,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
 from roadpulse.operators.detect import accident_filter, detected
-from roadpulse.operators.layout import with_partition_columns
-from roadpulse.operators.metrics import detector_aggregates
+from roadpulse.operators.layout import gathered, with_partition_columns
+from roadpulse.operators.mapping import message_frame, missing_count
+from roadpulse.operators.metrics import detector_aggregates, metric_rows
 from roadpulse.operators.parse import keep_where, lenient_record, with_validity
 from roadpulse.schema import ARCHIVE_TYPES
 from roadpulse.sinks.archive import COMPRESSION
@@ -31,6 +33,10 @@ def every(seconds: int) -> dict:
     return {"processingTime": f"{seconds} seconds"}
 
 
+def every_millis(millis: int) -> dict:
+    return {"processingTime": f"{millis} milliseconds"}
+
+
 def archive_records(
     messages: DataFrame, config: ArchiveConfig, ts: str = "ts", value: str = "value"
 ) -> DataFrame:
@@ -54,9 +60,11 @@ def start_archive(
 ) -> StreamingQuery:
     """All valid messages to the Parquet archive, each exactly once."""
     rows_per_file = 1 if config.force_flush else config.roll.max_rows
+    records = archive_records(messages, config)
+    if config.partition_columns != ("date",):
+        records = gathered(records, config.partition_columns, config.splits)
     return (
-        archive_records(messages, config)
-        .writeStream.format("parquet")
+        records.writeStream.format("parquet")
         .option("path", config.path)
         .option("checkpointLocation", checkpoint)
         .option("compression", COMPRESSION)
@@ -163,30 +171,77 @@ def table_loader(
     transform: Callable[[DataFrame], DataFrame],
     config: TableSinkConfig = TableSinkConfig(),
     value: str = "value",
+    report: BatchWriter | None = None,
 ) -> BatchWriter:
-    """Loads a batch's valid messages; what cannot be parsed or written is quarantined."""
+    """Loads a batch's valid messages; what cannot be parsed or written is quarantined.
+
+    ``report`` receives the batch's metrics, unless the settings turn them off.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         kept = marked_for_table(batch, value).persist()
         try:
             if kept.isEmpty():
                 return
+            started = time.monotonic()
             readable = F.col("error_class").isNull()
             accepted = kept.where(readable).drop("error_class")
             reason, tries = F.col("error_class"), config.max_attempts
             letters = [dead_letters(kept.where(~readable), reason, value, tries)]
+            failures: list[str] = []
 
             def give_up(rows: DataFrame, failure: str, attempts: int) -> None:
+                failures.append(failure)
                 letters.append(dead_letters(accepted, F.lit(failure), value, attempts))
 
             deliver(transform(accepted), lambda rows: write(rows, batch_id), give_up, tries)
             quarantine(reduce(DataFrame.unionByName, letters), batch_id)
+            if report and config.enable_metrics:
+                seconds = time.monotonic() - started
+                failure = failures[0] if failures else None
+                report(loader_metrics(kept, config, failure, seconds, value), batch_id)
         finally:
             kept.unpersist()
 
     return load
 
 
+def loader_metrics(
+    marked: DataFrame, config: TableSinkConfig, failure: str | None, seconds: float, value: str
+) -> DataFrame:
+    """A loaded batch's counters and duration as rows of ts, tags, name and value.
+
+    ``failure`` is why the write was given up, if it was.
+    """
+    frame = message_frame(marked.drop("message"), value)
+    error = F.coalesce(F.col("error_class"), F.lit(failure).cast("string"))
+    outcome = frame.select(
+        F.lit(config.table).alias("table"),
+        error.alias("error"),
+        F.when(F.col("error_class").isNull(), missing_count(config.columns)).alias("missing"),
+    )
+    totals = outcome.groupBy("table").agg(
+        F.count(F.lit(1)).alias("messages_total"),
+        F.count_if(F.col("error").isNull()).alias("messages_success"),
+        F.coalesce(F.sum("missing"), F.lit(0)).alias("null_parameters_total"),
+        F.lit(seconds).alias("message_duration"),
+    )
+    errors = (
+        outcome.where(F.col("error").isNotNull())
+        .groupBy("table", "error")
+        .agg(F.count(F.lit(1)).alias("messages_error"))
+    )
+    now, prefix = F.current_timestamp(), config.metrics_prefix
+    return metric_rows(totals, ("table",), prefix, now).unionByName(
+        metric_rows(errors, ("table", "error"), prefix, now)
+    )
+
+
+def loader_trigger(config: TableSinkConfig) -> dict:
+    """How often the loader takes a batch: after its idle limit, or as soon as it can."""
+    return every_millis(config.idle_timeout_ms) if config.idle_timeout_ms > 0 else every(0)
+
+
 def each_batch(
     stream: DataFrame, write: BatchWriter, checkpoint: str, trigger: dict | None = None
 ) -> DataStreamWriter:

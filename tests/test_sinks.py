@@ -172,6 +172,26 @@ def test_script_ignores_failed_drops_only(spark, folder):
     spark.sql("DROP TABLE scripted")
 
 
+def test_set_up_follows_the_setting(spark, monkeypatch, folder):
+    rows, calls = spark.range(1), []
+    monkeypatch.setattr(tables, "initialize_table", lambda *a: calls.append("made"))
+    tables.set_up_table(rows, "jdbc:x", TableSinkConfig(initialize="false"))
+    assert calls == []
+    tables.set_up_table(rows, "jdbc:x", TableSinkConfig(initialize="true"))
+    assert calls == ["made"]
+    spark.createDataFrame([("CREATE TEMPORARY VIEW from_script AS SELECT 7 AS n;",)]).coalesce(
+        1
+    ).write.text(folder)
+    tables.set_up_table(rows, "jdbc:x", TableSinkConfig(initialize=folder))
+    assert spark.table("from_script").first().n == 7
+
+
+def test_readable_view(spark):
+    tables.create_readable_view(spark.sql("SELECT 1705314645L AS event_time"), "readable_test")
+    row = spark.table("readable_test").first()
+    assert str(row.event_time_utc) == "2024-01-15 10:30:45"
+
+
 def test_migrations(spark):
     frame = spark.sql("SELECT timestamp'1970-01-01 00:01:00' AS t, 1 AS x")
     assert tables.retype_to_epoch(frame, "t").first().t == 60

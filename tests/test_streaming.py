@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -64,6 +65,8 @@ def test_archive_by_date_and_driver(spark, place):
     assert counts == {("2024-01-01", driver): 10 for driver in (0, 1, 2)}
     # The text with its prefix names the folder; as an int column it reads as 0.
     assert {row.record_driver_id for row in stored.collect()} == {0}
+    files = glob.glob(f"{config.path}/date=2024-01-01/driver_id=1/*.parquet")
+    assert 1 <= len(files) <= config.splits
 
 
 def test_fan_out_feeds_every_route_and_skips_empty_batches(spark):
@@ -89,7 +92,7 @@ def test_a_repeated_batch_replaces_its_rows(spark, place):
 @pytest.mark.parametrize("broken_writes, loaded, parked", [(0, 8, 2), (2, 8, 2), (5, 0, 10)])
 def test_table_loader(spark, texts, broken_writes, loaded, parked):
     batch = texts(*[f'{{"a":{i}}}' for i in range(8)], "not-json", "[1]")
-    tries, stored, letters = [], [], []
+    tries, stored, letters, reports = [], [], [], []
 
     def write(rows, batch_id):
         tries.append(1)
@@ -101,7 +104,8 @@ def test_table_loader(spark, texts, broken_writes, loaded, parked):
         write,
         lambda rows, batch_id: letters.extend(rows.collect()),
         lambda rows: mapping.mapped(rows, "a"),
-        TableSinkConfig("t", "a"),
+        TableSinkConfig("t", "a,gone"),
+        report=lambda rows, batch_id: reports.extend(rows.collect()),
     )
     load(batch, 0)
     assert (len(stored), len(letters)) == (loaded, parked)
@@ -109,6 +113,20 @@ def test_table_loader(spark, texts, broken_writes, loaded, parked):
     assert {"JsonParseException", "MismatchedInputException"} <= reasons
     assert ("ConnectionError" in reasons) == (broken_writes > 2)
     assert {row.attempts for row in letters} == {3}
+    values = {(row.name, row.tags.get("error")): row.value for row in reports}
+    assert values["jdbc_consumer_messages_total", None] == 10
+    assert values["jdbc_consumer_messages_success", None] == loaded
+    assert values["jdbc_consumer_null_parameters_total", None] == 8
+    assert values["jdbc_consumer_message_duration", None] > 0
+    assert values["jdbc_consumer_messages_error", "JsonParseException"] == 1
+    assert values.get(("jdbc_consumer_messages_error", "ConnectionError"), 0) == 8 - loaded
+
+
+def test_loader_trigger():
+    assert pipeline.loader_trigger(TableSinkConfig(idle_timeout_ms=5000)) == {
+        "processingTime": "5000 milliseconds"
+    }
+    assert pipeline.loader_trigger(TableSinkConfig()) == {"processingTime": "0 seconds"}
 
 
 def test_observed_counters_add_up_over_batches(spark, place):
