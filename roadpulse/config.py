@@ -61,8 +61,6 @@ class ArchiveConfig:
 
     path: str
     partition_columns: tuple[str, ...] = ("date",)
-    writers: int = DEFAULT_WRITERS
-    intake_batch: int = DEFAULT_INTAKE_BATCH
     trigger_seconds: int = DEFAULT_TRIGGER_SECONDS
     force_flush: bool = False
     splits: int = 4

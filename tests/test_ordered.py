@@ -160,3 +160,10 @@ def test_roll_reason_prefers_size_then_rows_then_age(spark):
     assert [row[0] for row in frame.select(reason).collect()] == [
         None, "file size", "message count", "file size", "age", "message count",
     ]
+
+
+def test_no_rows_give_no_rows(frame):
+    empty = frame.where("id < 0")
+    assert with_index(empty.select("id", "ts"), ("ts", "id")).count() == 0
+    assert batching.count_idle_batches(empty, ("key",), "ts", "id", 4, 1000).count() == 0
+    assert batching.assign_writers(empty, ("id",)).count() == 0

@@ -25,7 +25,12 @@ def place(spark):
 
 
 def numbered(spark, start, end):
-    text = F.format_string('{"g_force": %d, "driver_id": "DRIVER-%d", "n": %d}', F.col("id") % 10, F.col("id") % 3, F.col("id"))
+    text = F.format_string(
+        '{"g_force": %d, "driver_id": "DRIVER-%d", "n": %d}',
+        F.col("id") % 10,
+        F.col("id") % 3,
+        F.col("id"),
+    )
     return spark.range(start, end).select(text.alias("value"))
 
 
@@ -61,7 +66,8 @@ def test_archive_by_date_and_driver(spark, place):
     config = ArchiveConfig(f"{place}/archive", ("date", "driver_id"))
     pipeline.start_archive(rows, config, f"{place}/checkpoint", pipeline.DRAIN).awaitTermination()
     stored = spark.read.parquet(config.path)
-    counts = {(str(r.date), r.driver_id): r["count"] for r in stored.groupBy("date", "driver_id").count().collect()}
+    grouped = stored.groupBy("date", "driver_id").count().collect()
+    counts = {(str(row.date), row.driver_id): row["count"] for row in grouped}
     assert counts == {("2024-01-01", driver): 10 for driver in (0, 1, 2)}
     # The text with its prefix names the folder; as an int column it reads as 0.
     assert {row.record_driver_id for row in stored.collect()} == {0}
@@ -122,6 +128,14 @@ def test_table_loader(spark, texts, broken_writes, loaded, parked):
     assert values.get(("jdbc_consumer_messages_error", "ConnectionError"), 0) == 8 - loaded
 
 
+def test_log_shows_every_event(spark, place):
+    numbered(spark, 0, 3).coalesce(1).write.text(f"{place}/in")
+    messages = stream_messages(spark, f"{place}/in")
+    query = pipeline.start_log(messages, f"{place}/checkpoint", pipeline.DRAIN)
+    query.awaitTermination()
+    assert sum(progress.numInputRows for progress in query.recentProgress) == 3
+
+
 def test_loader_trigger():
     assert pipeline.loader_trigger(TableSinkConfig(idle_timeout_ms=5000)) == {
         "processingTime": "5000 milliseconds"
