@@ -17,6 +17,8 @@ ODD = "_odd"
 DOUBTFUL_TEXT = r'^["\[{]|^[-+0-9.eE]*$'
 # The texts besides numbers that read as a number (Spark takes more of them).
 NUMBER_WORDS = r"^\s*([+-]?Infinity|[+-]?NaN)\s*$"
+# Whole numbers beyond 64 bits are decimals of this type; 100.0 is DECIMAL(3,0).
+LONG_WHOLE = r"^DECIMAL\((19|[23][0-9]),0\)$"
 WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 
 
@@ -155,7 +157,7 @@ def json_text(found: Column, kind: Column) -> Column:
 
     A number with a fraction is written as a double, so that 100.0 stays '100.0'.
     """
-    fractional = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\(([0-9]|1[0-8]),")
+    fractional = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & ~kind.rlike(LONG_WHOLE))
     return F.when(
         has_value(found),
         F.when(fractional, _as(found, "double").cast("string")).otherwise(_as(found, "string")),
