@@ -99,10 +99,10 @@ def test_record_has_the_33_columns(texts):
 
 
 FULL = (
-    '{"policy_id":200018,"vehicle_id":300021,"vin":"1HGBH41JXMN109186",'
-    '"event_time":"2024-01-15T10:30:45.123Z","speed_mph":32.5,"speed_limit_mph":35,'
-    '"g_force":1.18,"driver_id":400018,"gps_latitude":33.7701,"gps_longitude":-84.3876,'
-    '"device_battery_level":82,"device_charging":true,"extra":{"a":[1,2]}}'
+    '{"policy_id":510,"vehicle_id":620,"vin":"TESTVIN0000000001",'
+    '"event_time":"2025-03-02T08:00:01.500Z","speed_mph":41.25,"speed_limit_mph":50,'
+    '"g_force":0.75,"driver_id":730,"gps_latitude":48.125,"gps_longitude":11.5,'
+    '"device_battery_level":64,"device_charging":true,"extra":{"a":[1,2]}}'
 )
 
 
@@ -110,17 +110,17 @@ def test_sparse_message_fills_the_rest_with_null(texts):
     row = typed_record(texts(FULL)).first().asDict()
     given = {name: value for name, value in row.items() if value is not None}
     assert given == {
-        "policy_id": 200018,
-        "vehicle_id": 300021,
-        "vin": "1HGBH41JXMN109186",
-        "event_time": "2024-01-15T10:30:45.123Z",
-        "speed_mph": 32.5,
-        "speed_limit_mph": 35,
-        "g_force": 1.18,
-        "driver_id": 400018,
-        "gps_latitude": 33.7701,
-        "gps_longitude": -84.3876,
-        "device_battery_level": 82,
+        "policy_id": 510,
+        "vehicle_id": 620,
+        "vin": "TESTVIN0000000001",
+        "event_time": "2025-03-02T08:00:01.500Z",
+        "speed_mph": 41.25,
+        "speed_limit_mph": 50,
+        "g_force": 0.75,
+        "driver_id": 730,
+        "gps_latitude": 48.125,
+        "gps_longitude": 11.5,
+        "device_battery_level": 64,
         "device_charging": True,
     }
 
@@ -133,11 +133,11 @@ def test_messages_without_known_keys_are_all_null(texts):
 
 def test_nested_legacy_message_keeps_only_flat_fields(texts):
     value = (
-        '{"policy_id":200018,"timestamp":"2024-01-15T10:30:45.123Z","g_force":1.18,'
-        '"sensors":{"gps":{"latitude":33.7701}}}'
+        '{"policy_id":510,"timestamp":"2025-03-02T08:00:01.500Z","g_force":0.75,'
+        '"sensors":{"gps":{"latitude":48.125}}}'
     )
     row = typed_record(texts(value)).first().asDict()
-    assert {k: v for k, v in row.items() if v is not None} == {"policy_id": 200018, "g_force": 1.18}
+    assert {k: v for k, v in row.items() if v is not None} == {"policy_id": 510, "g_force": 0.75}
 
 
 def test_strict_record_reads_good_messages_alike(texts):

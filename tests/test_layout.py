@@ -35,16 +35,16 @@ def test_path_without_a_message(spark, template, expected):
 def test_path_with_a_message(texts):
     frame = parse.parsed(
         texts(
-            '{"driver_id":"DRIVER-400018","vehicle_id":7,"policy_id":null}',
-            '{"driver_id":400018}',
+            '{"driver_id":"DRIVER-730","vehicle_id":7,"policy_id":null}',
+            '{"driver_id":730}',
             "not-json",
         )
     )
     template = "'d=' + payload.driver_id + '/v=' + payload.vehicle_id + '/p=' + payload.policy_id"
     path = layout.partition_path(template, F.col("message"), day())
     assert [row.p for row in frame.select(path.alias("p")).collect()] == [
-        "d=400018/v=7/p=unknown",
-        "d=400018/v=unknown/p=unknown",
+        "d=730/v=7/p=unknown",
+        "d=730/v=unknown/p=unknown",
         "d=unknown/v=unknown/p=unknown",
     ]
 
@@ -63,11 +63,11 @@ def test_preview(texts):
 @pytest.mark.parametrize(
     "given, expected",
     [
-        ("2024-01-15T10:30:45.123Z", 1705314645123),
-        ("2024-01-15T10:30:45.123+02:00", 1705307445123),
-        ("1705314645", 1705314645000),
-        ("1705314645123", 1705314645123),
-        (" 1705314645 ", 1705314645000),
+        ("2025-03-02T08:00:01.500Z", 1740902401500),
+        ("2025-03-02T08:00:01.500+02:00", 1740895201500),
+        ("1740902401", 1740902401000),
+        ("1740902401500", 1740902401500),
+        (" 1740902401 ", 1740902401000),
         ("nonsense", None),
         (None, None),
     ],
@@ -78,8 +78,8 @@ def test_event_time(spark, given, expected):
 
 
 def test_file_label(spark):
-    frame = spark.sql("SELECT timestamp_ntz'2025-08-15 15:42:31.546' AS ts")
-    label = layout.file_label(F.col("ts"), F.lit("cf-0"), F.lit("writer-A"))
+    frame = spark.sql("SELECT timestamp_ntz'2025-03-02 08:00:01.500' AS ts")
+    label = layout.file_label(F.col("ts"), F.lit("node-7"), F.lit("writer-A"))
     assert frame.select(label.alias("l")).first().l == (
-        "telemetry-20250815_154231-cf-0-writer-A-1755272551546.parquet"
+        "telemetry-20250302_080001-node-7-writer-A-1740902401500.parquet"
     )

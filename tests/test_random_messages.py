@@ -8,6 +8,7 @@ import random
 import re
 from decimal import Decimal
 
+from roadpulse.operators.detect import accident_filter, detected
 from roadpulse.operators.parse import lenient_record
 
 KINDS = {"i": "int", "l": "bigint", "d": "double", "s": "string", "b": "boolean"}
@@ -118,3 +119,50 @@ def test_random_messages(spark):
             if not same or type(want) is not type(found):
                 wrong.append((name, fields.get(name), want, found))
     assert wrong == []
+
+
+def refuse(token):
+    raise ValueError(token)
+
+
+DECODER = json.JSONDecoder(parse_constant=refuse)
+
+
+def parsed_or_none(text: str):
+    try:
+        return DECODER.raw_decode(text)[0]
+    except ValueError:
+        return None
+
+
+def test_damaged_messages_are_told_from_good_ones(spark):
+    """Characters cut, dropped or put in at random; text after the message is ignored."""
+    pick = random.Random(5)
+    texts = []
+    for _ in range(4000):
+        fields = {name: random_value(pick) for name in ("a", "g_force", "z")}
+        text = json.dumps(fields)
+        for _ in range(pick.randint(0, 2)):
+            at = pick.randrange(1, len(text))
+            text = pick.choice(
+                [
+                    lambda: text[:at],
+                    lambda: text[:at] + text[at + 1 :],
+                    lambda: text[:at] + pick.choice('{}[],:"0aN. -') + text[at:],
+                    lambda: text + " tail",
+                ]
+            )()
+            if len(text) < 2:
+                break
+        texts.append(text)
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    read = {row.n: (row.is_valid, row.is_accident) for row in detected(frame).collect()}
+    kept = {row.n for row in accident_filter(frame).collect()}
+    wrong = []
+    for n, text in enumerate(texts):
+        fields = parsed_or_none(text)
+        force = 0.0 if fields is None else expected(fields.get("g_force"), "d") or 0.0
+        want = (fields is not None, fields is not None and force > 5.0)
+        if read[n] != want or (n in kept) != want[1]:
+            wrong.append((text, want, read[n], n in kept))
+    assert wrong == []

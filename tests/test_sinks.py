@@ -79,24 +79,24 @@ MESSAGE = '{"vehicle_id":%s,"vin":"%s","event_time":"%s","g_force":6.25}'
 
 def test_events_table_types_and_misfits(spark, texts):
     frame = texts(
-        MESSAGE % (300021, "V", "2024-01-15T10:30:45.123Z"),
-        MESSAGE % (300022, "V", "1705314645"),
-        MESSAGE % (2**40, "V", "1705314645"),
-        MESSAGE % (1, "V" * 256, "1705314645"),
+        MESSAGE % (620, "V", "2025-03-02T08:00:01.500Z"),
+        MESSAGE % (621, "V", "1740902401"),
+        MESSAGE % (2**40, "V", "1740902401"),
+        MESSAGE % (1, "V" * 256, "1740902401"),
         MESSAGE % (2, "V", "yesterday"),
     )
     fitting, rejected = tables.split_fitting(parse.typed_record(frame))
     typed = tables.as_events_table(fitting)
     assert typed.schema == TABLE_SCHEMA
     assert [(r.vehicle_id, r.event_time, r.g_force) for r in typed.collect()] == [
-        (300021, 1705314645, 6.25),
-        (300022, 1705314645, 6.25),
+        (620, 1740902401, 6.25),
+        (621, 1740902401, 6.25),
     ]
     assert sorted(row.vehicle_id for row in rejected.collect()) == [1, 2, 2**40]
 
 
 def test_events_table_is_bucketed_by_vehicle(spark, texts, folder):
-    frame = texts(*[MESSAGE % (i % 5, "V", "1705314645") for i in range(50)])
+    frame = texts(*[MESSAGE % (i % 5, "V", "1740902401") for i in range(50)])
     typed = tables.as_events_table(parse.typed_record(frame))
     archive.save_events_table(typed, "bucketed_events", folder, buckets=4)
     assert spark.table("bucketed_events").count() == 50
@@ -187,9 +187,9 @@ def test_set_up_follows_the_setting(spark, monkeypatch, folder):
 
 
 def test_readable_view(spark):
-    tables.create_readable_view(spark.sql("SELECT 1705314645L AS event_time"), "readable_test")
+    tables.create_readable_view(spark.sql("SELECT 1740902401L AS event_time"), "readable_test")
     row = spark.table("readable_test").first()
-    assert str(row.event_time_utc) == "2024-01-15 10:30:45"
+    assert str(row.event_time_utc) == "2025-03-02 08:00:01"
 
 
 def test_migrations(spark):
