@@ -11,9 +11,10 @@ from __spark_entry__ import queries
 from roadpulse.config import ArchiveConfig
 from roadpulse.functions import times
 from roadpulse.operators import detect, metrics, parse
+from roadpulse.operators.ordered import ordered, with_running
 from roadpulse.session import scratch_path
 from roadpulse.sinks import archive, tables
-from roadpulse.sources.tables import events
+from roadpulse.sources.tables import events, spread_small
 from roadpulse.streaming.pipeline import archive_records
 
 
@@ -81,6 +82,27 @@ def test_lookup_filters_reach_the_files(spark, stored_messages):
     assert "EqualTo(policy_id,5)" in text and "GreaterThan(event_time,10)" in text
 
 
+def test_only_a_source_with_few_splits_is_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert "Exchange" in plan(spread_small(spark.range(0, 100, 1, 1)))
+    assert "Exchange" not in plan(spread_small(spark.range(0, 100, 1, cores)))
+
+
+def test_ordered_rows_shuffle_once_more_whatever_the_sizes(spark):
+    """One exchange of the rows; all joins are against the bounded edge table."""
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 5).alias("key"))
+    data = ordered(rows, ("id",), ("key",))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(with_running(data, sums={"total": "id"}, previous="before").result())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    main = text.split("BroadcastHashJoin")[0]
+    assert main.count("Exchange") <= 1
+
+
 @pytest.mark.parametrize("name", sorted(set(queries()) - {"stream_counters"}))
 def test_queries_stay_in_the_jvm_without_cross_joins(name, spark, sf_dir):
     text = plan(queries()[name](spark, sf_dir))
