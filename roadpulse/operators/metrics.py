@@ -8,13 +8,15 @@ order, and goes through the sliced order of ``ordered``.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_THRESHOLD, RATE_WINDOW_SECONDS
 from roadpulse.operators.detect import detected
-from roadpulse.operators.ordered import ordered, with_row_number
+from roadpulse.operators.ordered import ordered, with_running
 from roadpulse.operators.parse import with_validity
 
 
@@ -231,44 +233,42 @@ def quantile_name(q: float) -> str:
 def exact_quantiles(
     rows: DataFrame,
     duration: str,
-    tie_breaker: str,
     quantiles: tuple[float, ...],
     by: tuple[str, ...],
     slices: int | None = None,
 ) -> DataFrame:
     """Exact quantiles, linear between the two neighbouring ranks.
 
-    Each group is put in order across slices, and only the rows at the wanted ranks go on to
-    the final aggregate, at most two per quantile and group.
+    Equal durations are counted together first. The distinct ones are put in order across
+    slices, and only those at the wanted ranks go on to the final aggregate, at most two per
+    quantile and group.
     """
-    timed = rows.where(F.col(duration).isNotNull()).select(*by, duration, tie_breaker)
-    numbered = with_row_number(
-        ordered(timed, (duration, tie_breaker), by, slices), "_number", total="_total"
+    counted = (
+        rows.where(F.col(duration).isNotNull()).groupBy(*by, duration).agg(_count().alias("_n"))
     )
-    places = [(F.col("_total") - F.lit(1)) * F.lit(q) for q in quantiles]
+    data = ordered(counted, (duration,), by, slices)
+    ranked = with_running(data, sums={"_upto": "_n"}, totals={"_all": "_n"}).result()
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
+
+    places = [(F.col("_all") - F.lit(1)) * F.lit(q) for q in quantiles]
     lows = [F.floor(place) + F.lit(1) for place in places]
     highs = [F.ceil(place) + F.lit(1) for place in places]
-    wanted = F.lit(False)
-    for rank in (*lows, *highs):
-        wanted = wanted | (F.col("_number") == rank)
+    wanted = reduce(or_, [holds(rank) for rank in (*lows, *highs)])
     picks = []
     for i, (place, low, high) in enumerate(zip(places, lows, highs)):
         picks += [
-            F.max(F.when(F.col("_number") == low, F.col(duration))).alias(f"_low_{i}"),
-            F.max(F.when(F.col("_number") == high, F.col(duration))).alias(f"_high_{i}"),
+            F.max(F.when(holds(low), F.col(duration))).alias(f"_low_{i}"),
+            F.max(F.when(holds(high), F.col(duration))).alias(f"_high_{i}"),
             F.max(place - F.floor(place)).alias(f"_part_{i}"),
         ]
-    found = numbered.where(wanted).groupBy(*by).agg(*picks)
-    return found.select(
-        *by,
-        *[
-            (
-                F.col(f"_low_{i}") * (F.lit(1.0) - F.col(f"_part_{i}"))
-                + F.col(f"_high_{i}") * F.col(f"_part_{i}")
-            ).alias(quantile_name(q))
-            for i, q in enumerate(quantiles)
-        ],
-    )
+    found = ranked.where(wanted).groupBy(*by).agg(*picks)
+    values = []
+    for i, q in enumerate(quantiles):
+        low, high, part = F.col(f"_low_{i}"), F.col(f"_high_{i}"), F.col(f"_part_{i}")
+        values.append((low * (F.lit(1.0) - part) + high * part).alias(quantile_name(q)))
+    return found.select(*by, *values)
 
 
 def approximate_quantiles(

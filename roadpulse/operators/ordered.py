@@ -111,7 +111,8 @@ def with_index(
 
 def with_row_number(data: Ordered, name: str = "row_number", total: str | None = None) -> DataFrame:
     """Numbers each key's rows from 1; ``total`` names an optional column with their count."""
-    return with_running(data, count=name, total=total).result()
+    totals = {total: F.lit(1)} if total else {}
+    return with_running(data, count=name, totals=totals).result()
 
 
 def with_running(
@@ -121,19 +122,19 @@ def with_running(
     previous: str | None = None,
     first: str | None = None,
     count: str | None = None,
-    total: str | None = None,
+    totals: dict[str, str | Column] | None = None,
 ) -> Ordered:
     """Running values of each key in order, the current row included.
 
-    ``sums`` and ``maxes`` map an output to the column it runs over; ``count`` names a running
-    count and ``total`` the key's row count; ``previous`` and ``first`` name outputs with the
-    leading order column of the key's row before and of its first row.
+    ``sums`` and ``maxes`` map an output to the column it runs over, ``totals`` to the column
+    summed over the whole key; ``count`` names a running count; ``previous`` and ``first`` name
+    outputs with the leading order column of the key's row before and of its first row.
 
     The rows shuffle once, by (slice, key), so a hot key's work stays spread over its slices. More
     steps on the result need no further shuffle.
     """
-    sums, maxes, lead = sums or {}, maxes or {}, data.order[0]
-    carry = _carry(data, sums, maxes)
+    sums, maxes, totals, lead = sums or {}, maxes or {}, totals or {}, data.order[0]
+    carry = _carry(data, sums, maxes, totals)
     part = Window.partitionBy(SLICE, *data.keys)
     inside = part.orderBy(POSITION)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -143,7 +144,7 @@ def with_running(
         *[F.max(column).over(running).alias(f"_run_{out}") for out, column in maxes.items()],
         *([F.lag(lead).over(inside).alias("_row_before")] if previous else []),
         *([F.first(lead).over(running).alias("_first_here")] if first else []),
-        *([F.count(F.lit(1)).over(part).alias("_rows_here")] if total else []),
+        *[F.sum(column).over(part).alias(f"_here_{out}") for out, column in totals.items()],
     ]
     outputs: list[Column] = []
     if count:
@@ -160,8 +161,8 @@ def with_running(
     if first:
         spans, here = F.col("_spans").isNotNull(), F.col("_first_here")
         outputs.append(F.when(spans, F.col("_first_of_key")).otherwise(here).alias(first))
-    if total:
-        outputs.append(F.coalesce(F.col("_key_rows"), F.col("_rows_here")).alias(total))
+    for out in totals:
+        outputs.append(F.coalesce(f"_whole_{out}", f"_here_{out}").alias(out))
 
     def add(rows: DataFrame) -> DataFrame:
         joined = _with_edges(rows.select("*", *local), carry, data.keys, "left")
@@ -170,13 +171,14 @@ def with_running(
     return data.each(add)
 
 
-def _carry(data: Ordered, sums: dict[str, str], maxes: dict[str, str]) -> DataFrame:
+def _carry(data: Ordered, sums: dict, maxes: dict, totals: dict) -> DataFrame:
     """What each edge key of a slice brings along from the slices before it."""
     lead = F.col(data.order[0])
     parts = data.edge_rows.groupBy(SLICE, *data.keys).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(column).alias(f"_part_{out}") for out, column in sums.items()],
         *[F.max(column).alias(f"_part_{out}") for out, column in maxes.items()],
+        *[F.sum(column).alias(f"_part_{out}") for out, column in totals.items()],
         # The order puts NULL first, so one NULL makes the first one NULL.
         F.when(F.count(lead) == F.count(F.lit(1)), F.min(lead)).alias("_head"),
         F.max(lead).alias("_tail"),
@@ -189,7 +191,7 @@ def _carry(data: Ordered, sums: dict[str, str], maxes: dict[str, str]) -> DataFr
         *data.keys,
         F.lit(True).alias("_spans"),
         F.sum("_n").over(before).alias("_rows_before"),
-        F.sum("_n").over(key).alias("_key_rows"),
+        *[F.sum(f"_part_{out}").over(key).alias(f"_whole_{out}") for out in totals],
         *[F.sum(f"_part_{out}").over(before).alias(f"_before_{out}") for out in sums],
         *[F.max(f"_part_{out}").over(before).alias(f"_before_{out}") for out in maxes],
         F.lag("_tail").over(steps).alias("_last_before"),

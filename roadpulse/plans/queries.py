@@ -537,7 +537,7 @@ def null_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duration_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rounded to 6 places: the engines' interpolations differ in the last bit."""
     found = metrics.exact_quantiles(
-        events(spark, sf_dir), "value", "event_id", S.QUANTILES, ("event_type",)
+        events(spark, sf_dir), "value", S.QUANTILES, ("event_type",)
     )
     names = [metrics.quantile_name(q) for q in S.QUANTILES]
     return found.select("event_type", *[F.round(name, 6).alias(name) for name in names])

@@ -19,7 +19,7 @@ def durations(spark):
 @pytest.mark.parametrize("slices", [1, 16])
 def test_exact_quantiles_equal_numpy(durations, slices):
     rows, frame = durations
-    found = metrics.exact_quantiles(frame, "value", "id", (0.5, 0.95, 0.99), ("g",), slices)
+    found = metrics.exact_quantiles(frame, "value", (0.5, 0.95, 0.99), ("g",), slices)
     for row in found.collect():
         values = [value for _, g, value in rows if g == row.g and value is not None]
         expected = np.quantile(values, [0.5, 0.95, 0.99])
