@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the SQL options the operators need: UTC times, last duplicate JSON key wins."""
@@ -18,24 +15,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder the driver and all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Where that is unset, a folder in the warehouse, which they share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="roadpulse-")
-    return _LOCAL_FOLDERS[app]
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def app_folder(spark: SparkSession) -> str:
+    """Where this application keeps its written intermediate tables."""
+    return f"{shared_folder(spark)}/roadpulse/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/roadpulse/{label}-{uuid.uuid4().hex}"
+    return f"{app_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> bool:
+    """Remove all that this application has written as intermediate tables.
+
+    Call it when the results have been consumed: they may still read those tables until then.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(app_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def default_slices(spark: SparkSession) -> int:
