@@ -118,7 +118,7 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
         rows = batch.filter(pa.compute.is_valid(batch.column(0)))
         yield rows.filter(pa.array(maybe.value.may_hold(rows.column(0).to_numpy())))
 
-    chosen = texts.mapInArrow(by_batch(likely), "doc_id long, text string").join(ids, "doc_id", "left_semi")
+    chosen = texts.mapInArrow(by_batch(likely), "doc_id long, text string").join(ids.hint("merge"), "doc_id", "left_semi")  # ids grow with the input
     raw, target = _counts(texts.select("text"), buckets), _counts(chosen.select("text"), buckets)
     if not target.any():
         return np.zeros(buckets)
