@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadpulse.llm import decontamination, line_dedup, ngram_join, packing, quality_rules
 from roadpulse.llm.queries import table, tokenizer_path
@@ -19,11 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without cross-site boilerplate; those of which no word is left go."""
-    same, cut = line_dedup.deduplicated(docs)
-    left = cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).drop("_removed")
-    if "n_chars" in left.columns:
-        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return same.unionByName(left)
+    return line_dedup.deduplicated(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

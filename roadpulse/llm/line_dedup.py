@@ -12,6 +12,7 @@ further columns may have any name.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,50 +114,72 @@ def cuts(documents: DataFrame, lines: DataFrame) -> DataFrame:
     return stored(found.groupBy("doc_id", "key").agg(F.collect_set("number").alias("cut")), "line-cuts")
 
 
-def deduplicated(documents: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> tuple[DataFrame, DataFrame]:
-    """Documents with the cut lines gone, as (those left as they were, those cut).
+def _applied(documents: DataFrame, removed: DataFrame, same, cut, schema) -> DataFrame:
+    """Rows made of the documents that lose nothing and of those that may lose lines.
 
-    Both have the input's columns; those cut also ``_removed``, the number of lines that went.
+    ``same`` and ``cut`` make a batch from a batch; that for ``cut`` has the column ``cut``. Only the
+    texts of documents that may lose lines are shuffled, and each task runs one Python worker.
     """
-    removed = cuts(documents, boilerplate(documents, min_sites, margin))
     touched = key_filter(removed.select("key"))
     keyed = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _key("text").alias("key"))
-    at = keyed.columns.index("key")
 
-    def split(wanted: bool):
-        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            yield batch.filter(pa.array(touched.value.may_hold(batch.column(at).to_numpy()) == wanted))
+    def part(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(touched.value.may_hold(batch.column(2).to_numpy()) == wanted))
+
+    def untouched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield same(part(batch, False))
+
+    def maybe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield part(batch, True)
+
+    def rebuilt(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield cut(batch)
 
-        return keyed.mapInArrow(by_batch(rows), keyed.schema)
+    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(removed, ["doc_id", "key"], "left").select("row", "doc_id", "key", "cut")
+    return keyed.mapInArrow(by_batch(untouched), schema).unionByName(joined.mapInArrow(by_batch(rebuilt), schema))
 
-    def rebuild(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, gone = batch.column("text").to_pylist(), batch.column("cut").to_pylist()
-        kept, count = [], []
-        for text, cut in zip(texts, gone, strict=True):
-            drop = frozenset(cut or ())
-            kept.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop) if drop else text)
-            count.append(len(drop))
-        yield arrow_rows({"row": batch.column("row"), "text": pa.array(kept, pa.string()), "_removed": pa.array(count, pa.int32())})
 
-    joined = split(True).join(removed, ["doc_id", "key"], "left").select("row", F.col("row.text").alias("text"), "cut")
-    kind = keyed.schema["row"].dataType
-    cut = joined.mapInArrow(by_batch(rebuild), f"row {kind.simpleString()}, text string, _removed int")
-    columns = [F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in documents.columns]
-    untouched = split(False).select("row.*").unionByName(cut.where("_removed = 0").select(*columns))
-    return untouched, cut.where("_removed > 0").select(*columns, "_removed")
+def _left(text: str | None, cut: list[int] | None) -> str | None:
+    if not cut:
+        return text
+    gone = frozenset(cut)
+    return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+
+
+def deduplicated(documents: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
+    """The documents with the cut lines gone, all columns kept. ``n_chars``, if there, is counted anew;
+    documents of which no word is left go."""
+    removed = cuts(documents, boilerplate(documents, min_sites, margin))
+    names = documents.columns
 
+    def same(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_struct_array(batch.column(0))
 
-def line_dedup(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, gone = pa.RecordBatch.from_struct_array(batch.column(0)), batch.column(3).to_pylist()
+        texts = [_left(t, c) for t, c in zip(rows.column("text").to_pylist(), gone, strict=True)]
+        keep = [not c or t.strip(" \t\n\x0b\x0c\r") != "" for t, c in zip(texts, gone, strict=True)]
+        columns = {n: rows.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
+        if "n_chars" in columns:
+            sizes = [None if t is None else len(t) if c else n for t, c, n in zip(texts, gone, columns["n_chars"].to_pylist(), strict=True)]
+            columns["n_chars"] = pa.array(sizes, rows.schema.field("n_chars").type)
+        return arrow_rows(columns).filter(pa.array(keep, pa.bool_()))
+
+    return _applied(documents, removed, same, cut, documents.schema)
+
+
+def line_dedup(documents: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
     """One row per document: lines with a word, lines removed, digest of the text that is left."""
-    same, cut = deduplicated(documents.select("doc_id", "text", "source"), min_sites)
-    whole = same.withColumn("_removed", F.lit(0)).unionByName(cut)
-
-    def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        left = np.zeros(batch.num_rows, np.int64)
-        for row, text, _, _ in lines_of(batch.column(1)):
-            np.add.at(left, row + text, 1)
-        gone = batch.column(2).to_numpy().astype(np.int64)
-        yield arrow_rows({"doc_id": batch.column(0), "n_lines": left + gone, "n_removed": gone, "kept_sha256": batch.column(3)})
-
-    rows = whole.select(F.col("doc_id").cast("long"), "text", "_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
-    return rows.mapInArrow(by_batch(measure), "doc_id long, n_lines long, n_removed long, kept_sha256 string")
+    documents = documents.select("doc_id", "text", "source")
+    removed = cuts(documents, boilerplate(documents, min_sites, margin))
+
+    def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_struct_array(batch.column(0))
+        gone = batch.column(3).to_pylist() if batch.num_columns > 3 else [None] * len(rows)
+        lines = np.zeros(len(rows), np.int64)
+        for row, text, _, _ in lines_of(rows.column("text")):
+            np.add.at(lines, row + text, 1)
+        left = [hashlib.sha256((_left(t, c) or "").encode()).hexdigest() for t, c in zip(rows.column("text").to_pylist(), gone, strict=True)]
+        return arrow_rows({"doc_id": batch.column(1), "n_lines": lines, "n_removed": pa.array([len(c or ()) for c in gone], pa.int64()), "kept_sha256": pa.array(left, pa.string())})
+
+    return _applied(documents, removed, measured, measured, "doc_id long, n_lines long, n_removed long, kept_sha256 string")

@@ -19,7 +19,6 @@ id and a text are cut alike. Only id and text are read, so further columns may h
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,19 +221,22 @@ def kept_words(documents: DataFrame) -> DataFrame:
     touched = key_filter(spans.select("key"))
     keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
 
-    def part(wanted: bool) -> DataFrame:
-        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            yield batch.filter(pa.array(touched.value.may_hold(batch.column(2).to_numpy()) == wanted))
+    def part(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(touched.value.may_hold(batch.column(2).to_numpy()) == wanted))
 
-        return keyed.mapInArrow(by_batch(rows), "doc_id long, text string, key long")
+    def untouched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield from cut(part(batch, False))
+
+    def maybe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield part(batch, True)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row, end, data, bounds in tokens.slices(batch.column(1)):
             found = tokens.words(data, bounds)
             gone = np.zeros(len(found.hash) + 1, np.int64)
             first = found.first
-            spans = batch.column(3).slice(row, end - row)
-            for i, pairs in enumerate(spans.to_pylist()):
+            spans = batch.column(3).slice(row, end - row).to_pylist() if batch.num_columns > 3 else []
+            for i, pairs in enumerate(spans):
                 if pairs:
                     ends = np.array([(p["first"], p["end"]) for p in pairs]) + first[i]
                     np.add.at(gone, ends[:, 0], 1)
@@ -253,11 +255,6 @@ def kept_words(documents: DataFrame) -> DataFrame:
                 low = high
             yield arrow_rows({"doc_id": batch.column(0).slice(row, end - row), "n_words": found.counts, "n_removed": found.counts - kept, "kept": pa.array(text, pa.string())})
 
-    shape = "array<struct<first:int,end:int>>"
-    whole = part(False).withColumn("spans", F.lit(None).cast(shape)).select("doc_id", "text", "key", "spans")
-    joined = part(True).join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "key", "spans")
-    return whole.unionByName(joined).mapInArrow(by_batch(cut), "doc_id long, n_words long, n_removed long, kept string")
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    out = "doc_id long, n_words long, n_removed long, kept string"
+    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "key", "spans")
+    return keyed.mapInArrow(by_batch(untouched), out).unionByName(joined.mapInArrow(by_batch(cut), out))
