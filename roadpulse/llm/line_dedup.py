@@ -135,7 +135,7 @@ def _applied(documents: DataFrame, removed: DataFrame, same, cut, schema) -> Dat
     def rebuilt(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield cut(batch)
 
-    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(removed, ["doc_id", "key"], "left").select("row", "doc_id", "key", "cut")
+    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(removed.hint("merge"), ["doc_id", "key"], "left").select("row", "doc_id", "key", "cut")
     return keyed.mapInArrow(by_batch(untouched), schema).unionByName(joined.mapInArrow(by_batch(rebuilt), schema))
 
 
