@@ -132,27 +132,68 @@ def _anchor_rows(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(by_batch(rows), "anchor long, doc long")
 
 
-_PASSAGES = "anchor long, passage long, words binary, doc_id long, key long, start int"
+def _passages(found: tokens.Words, only) -> tuple[np.ndarray, ...]:
+    """Text, anchor, name, first word, size and words (32-bit hashes) of the passages let through.
 
+    A passage is known by a hash of its words; two passages with one anchor have ten equal words.
+    """
+    text, _, hashes, first, last = anchors(found)
+    size = last - first + WINDOW
+    words = found.hash[np.repeat(first, size) + tokens.ranges(size)]
+    placed = tokens.mix(words + tokens.ranges(size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    name = tokens.mix(tokens.sums_by(placed, size) + hashes)
+    held = only(hashes, name)
+    kept = words[np.repeat(held, size)] >> np.uint64(32)
+    return text[held], hashes[held], name[held], first[held] - found.first[text[held]], size[held], kept.astype("<u4")
 
-def _passages(documents: DataFrame, only) -> DataFrame:
-    """The passage of each anchor that the broadcast filter lets through; words as 64-bit hashes."""
+
+def _passage_rows(documents: DataFrame, only, schema: str, columns) -> DataFrame:
+    """Rows made of the passages of each slice; ``columns`` gets the slice's rows and its passages."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row, end, data, bounds in tokens.slices(batch.column(1)):
-            found = tokens.words(data, bounds)
-            text, _, hashes, first, last = anchors(found)
-            held = only.value.may_hold(hashes)
-            text, hashes, first, last = text[held], hashes[held], first[held], last[held]
-            size = last - first + WINDOW
-            words = found.hash[np.repeat(first, size) + tokens.ranges(size)].astype("<u8")
-            ends = np.cumsum(size)
-            name = tokens.mix(tokens.sums_by(tokens.mix(words + tokens.ranges(size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), size))
-            cut = [words[e - n : e].tobytes() for e, n in zip(ends, size, strict=True)]
-            take = pa.array(row + text)
-            yield arrow_rows({"anchor": tokens.signed(hashes), "passage": tokens.signed(name), "words": pa.array(cut, pa.binary()), "doc_id": batch.column(0).take(take), "key": batch.column(2).take(take), "start": (first - found.first[text]).astype(np.int32)})
+            found = _passages(tokens.words(data, bounds), only)
+            yield arrow_rows(columns(batch.slice(row, end - row), *found))
+
+    return documents.mapInArrow(by_batch(rows), schema)
+
+
+def _kinds(documents: DataFrame, shared) -> DataFrame:
+    """(anchor, passage, doc, last, size): distinct passages, their first and last holder."""
+
+    def columns(batch, text, anchor, name, start, size, words):
+        doc = batch.column(0).to_numpy()[text]
+        once = np.unique(tokens.mix(name) + doc.view(np.uint64), return_index=True)[1]
+        return {"anchor": tokens.signed(anchor[once]), "passage": tokens.signed(name[once]), "doc": doc[once], "size": size[once].astype(np.int32)}
+
+    rows = _passage_rows(documents, lambda anchor, name: shared.value.may_hold(anchor), "anchor long, passage long, doc long, size int", columns)
+    return rows.groupBy("anchor", "passage").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), F.min("size").alias("size"))
+
+
+def _words_of(documents: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(anchor, doc, passage, words) of the given kinds, taken from their first holders."""
+    wanted = key_filter(kinds.select("passage"))
+
+    def columns(batch, text, anchor, name, start, size, words):
+        doc = batch.column(0).to_numpy()[text]
+        once = np.unique(tokens.mix(name) + doc.view(np.uint64), return_index=True)[1]
+        ends = np.cumsum(size)
+        cut = [words[e - n : e].tobytes() for e, n in zip(ends[once].tolist(), size[once].tolist(), strict=True)]
+        return {"passage": tokens.signed(name[once]), "doc": doc[once], "words": pa.array(cut, pa.binary())}
+
+    rows = _passage_rows(documents, lambda anchor, name: wanted.value.may_hold(name), "passage long, doc long, words binary", columns)
+    return rows.join(kinds.select("anchor", "passage", "doc"), ["passage", "doc"]).select("anchor", "doc", "passage", "words")
+
+
+def _places(documents: DataFrame, marks: DataFrame) -> DataFrame:
+    """(passage, doc_id, key, start) of every place of a marked passage."""
+    wanted = key_filter(marks.select("passage"))
+
+    def columns(batch, text, anchor, name, start, size, words):
+        take = pa.array(text)
+        return {"passage": tokens.signed(name), "doc_id": batch.column(0).take(take), "key": batch.column(2).take(take), "start": start.astype(np.int32)}
 
-    return documents.mapInArrow(by_batch(rows), _PASSAGES)
+    return _passage_rows(documents, lambda anchor, name: wanted.value.may_hold(name), "passage long, doc_id long, key long, start int", columns)
 
 
 class _Shard:
@@ -181,16 +222,16 @@ class _Shard:
 
 def _shard_spans(passages: DataFrame) -> DataFrame:
     """(passage, first, end): spans of words of a passage that smaller documents than its first
-    holder have. ``passages``: shard, doc (the first holder), passage, words; sorted by shard and doc."""
+    holder have. ``passages``: anchor, doc (the first holder), passage, words; by anchor and doc."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, shard = None, _Shard()
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for where, doc, passage, raw in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc", "passage", "words")), strict=True):
+            for where, doc, passage, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if where != name:
                     name, shard = where, _Shard()
-                words = np.frombuffer(raw, "<u8").tolist()
+                words = np.frombuffer(raw, "<u4").tolist()
                 out += [(passage, first, first + WINDOW) for first in shard.windows(doc, words)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["passage", "first", "end"])
@@ -202,12 +243,16 @@ def removed_spans(documents: DataFrame) -> DataFrame:
     """(doc_id, key, spans): word spans to remove, by document and hash of its text."""
     keyed = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
     shared = repeated(_anchor_rows(keyed.select("doc_id", "text")), "anchor", "doc", "shared-anchors")
-    held = stored(_passages(keyed, key_filter(shared.select("anchor"))).join(shared.select("anchor"), "anchor", "left_semi"), "passages")
-    kinds = stored(held.groupBy("passage").agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"), F.first("words").alias("words"), F.first("anchor").alias("shard"), F.octet_length(F.first("words")).alias("bytes")), "passage-kinds")
-    matched = _shard_spans(kinds.select("shard", "doc", "passage", "words").repartition("shard").sortWithinPartitions("shard", "doc", "passage"))
-    matched = stored(matched.groupBy("passage").agg(F.collect_list(F.struct("first", "end")).alias("spans")), "passage-spans")
-    kinds = kinds.join(matched, "passage", "left").where("doc < last or spans is not null").select("passage", "doc", "spans", (F.col("bytes") / 8).cast("int").alias("size"))
-    found = held.select("passage", "doc_id", "key", "start").join(stored(kinds, "passage-marks"), "passage")
+    kinds = stored(_kinds(keyed, key_filter(shared.select("anchor"))), "passage-kinds")
+    # only where an anchor has several passages can a passage's first holder lose words
+    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    several = several.where("n > 1 and low < high").select("anchor")
+    compared = stored(kinds.join(several, "anchor", "left_semi"), "compared-passages")
+    words = _words_of(keyed, compared).repartition("anchor").sortWithinPartitions("anchor", "doc", "passage")
+    matched = _shard_spans(words).groupBy("passage").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    matched = stored(matched, "passage-spans")
+    marks = stored(kinds.join(matched, "passage", "left").where("doc < last or spans is not null").select("passage", "doc", "size", "spans"), "passage-marks")
+    found = _places(keyed, marks).join(marks, "passage")
     # a holder after the first has the whole passage in a smaller document
     whole = F.when(F.col("doc_id") > F.col("doc"), F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("end")))).otherwise(F.col("spans"))
     found = found.withColumn("spans", whole).where("spans is not null")
@@ -256,5 +301,5 @@ def kept_words(documents: DataFrame) -> DataFrame:
             yield arrow_rows({"doc_id": batch.column(0).slice(row, end - row), "n_words": found.counts, "n_removed": found.counts - kept, "kept": pa.array(text, pa.string())})
 
     out = "doc_id long, n_words long, n_removed long, kept string"
-    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "key", "spans")
+    joined = keyed.mapInArrow(by_batch(maybe), keyed.schema).join(spans.hint("merge"), ["doc_id", "key"], "left").select("doc_id", "text", "key", "spans")
     return keyed.mapInArrow(by_batch(untouched), out).unionByName(joined.mapInArrow(by_batch(cut), out))
