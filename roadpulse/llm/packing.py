@@ -222,7 +222,7 @@ def sequences(documents: DataFrame, tokenizer: str, window: int = WINDOW, separa
 
     records = placed(tokenized(documents, tokenizer, separator)).mapInArrow(by_batch(rows), "sequence_id long, offset long, ids binary")
 
-    def join(key, table: pa.Table) -> pa.Table:
+    def join(key, table):
         ids = np.frombuffer(b"".join(table.sort_by("offset").column("ids").to_pylist()), "<u4")
         size = len(ids)
         if size & (size - 1):

@@ -22,7 +22,8 @@ from roadpulse.llm.shared import arrow_rows, by_batch, key_filter
 
 BUCKETS = 1 << 18
 ORDERS = (1, 2)
-SMOOTHING = 1.0
+#: Trusted and expected counts are raised by this much, so that n-grams seen a few times say little.
+SMOOTHING = 4.0
 THRESHOLD = -0.25
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -122,8 +123,9 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
     raw, target = _counts(texts.select("text"), buckets), _counts(chosen.select("text"), buckets)
     if not target.any():
         return np.zeros(buckets)
-    part = [(x + smoothing) / (x.sum() + smoothing * buckets) for x in (target, raw)]
-    return np.log(part[0]) - np.log(part[1])
+    # counts that the trusted part of the corpus would have if it were like the whole
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + smoothing) / (expected + smoothing))
 
 
 def score_texts(column: pa.Array, ratios: np.ndarray, threshold: float = THRESHOLD) -> Iterator[tuple[int, int, dict]]:
