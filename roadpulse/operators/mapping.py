@@ -12,29 +12,40 @@ from pyspark.sql import functions as F
 from roadpulse.config import DEFAULT_TABLE
 from roadpulse.functions import json_fields as jf
 
-# Separators of a mapping list (a backslash keeps them literal), and the
-# expression that stands for the whole message text.
-PAIR_SEPARATOR = re.compile(r"(?<!\\),")
-NAME_SEPARATOR = re.compile(r"(?<!\\):")
+# What ends an entry and what divides name and key (after the mark both are plain
+# characters), and the expression that stands for the whole message text.
+ENTRY_END, DIVIDER, PLAIN_MARK = ",", ":", "\\"
 WHOLE_PAYLOAD = ("payload", "payload.toString()")
 
 FIELD_PATH = re.compile(r"^[A-Za-z_]\w*(\.[A-Za-z_]\w*)*$")
 
 
 def column_map(spec: str) -> dict[str, str]:
-    """``"a:x,b"`` as ``{"a": "x", "b": "b"}``, in the order given; the last of equals wins."""
+    """``"a:x,b"`` as ``{"a": "x", "b": "b"}``, in the order given; the last of equals wins.
+
+    An entry is a name, or a name, a divider and a key; without a key the name is the key.
+    """
     pairs: dict[str, str] = {}
-    for entry in PAIR_SEPARATOR.split(spec):
-        entry = entry.strip().replace("\\,", ",")
-        if not entry:
+    name, key, dividers, marked = "", "", 0, False
+    for char in spec + ENTRY_END:
+        if marked and char not in (ENTRY_END, DIVIDER):
+            name, key = (name, key + PLAIN_MARK) if dividers else (name + PLAIN_MARK, key)
+        if char == PLAIN_MARK:
+            marked = True
             continue
-        parts = NAME_SEPARATOR.split(entry)
-        while len(parts) > 1 and not parts[-1]:
-            parts.pop()
-        if len(parts) > 2:
-            raise ValueError(f"{entry!r} is not a 'column:key' pair or a single column name")
-        names = [part.strip().replace("\\:", ":") for part in parts]
-        pairs[names[0]] = names[-1]
+        bare, marked = not marked, False
+        if bare and char == DIVIDER:
+            dividers += 1
+        elif bare and char == ENTRY_END:
+            if name.strip() or key.strip():
+                pairs[name.strip()] = key.strip() or name.strip()
+            name, key, dividers = "", "", 0
+        elif dividers > 1 and char.strip():
+            raise ValueError(f"{name}:{key}:{char}… is not a 'column:key' pair or a single column name")
+        elif dividers:
+            key += char
+        else:
+            name += char
     return pairs
 
 
