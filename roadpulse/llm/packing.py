@@ -28,7 +28,7 @@ WINDOW = 2048
 SEPARATOR = 1
 PAD = 0
 #: Distinct pieces that a worker remembers; beyond it the memory starts anew.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 600_000
 _AT_ONCE = 500
 _SLOT_BITS = 22
 _LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])

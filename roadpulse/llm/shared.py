@@ -109,5 +109,6 @@ def by_batch(function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from function(batch)
+            pa.default_memory_pool().release_unused()  # executors keep several workers alive
 
     return run

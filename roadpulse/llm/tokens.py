@@ -1,6 +1,6 @@
 """Words, word hashes and n-gram hashes of whole Arrow text columns, computed with numpy.
 
-All functions work on slices of a batch (about a megabyte of text, or one longer text), so memory
+All functions work on slices of a batch (about 256 KB of text, or one longer text), so memory
 follows the longest text, not the batch.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP, _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
