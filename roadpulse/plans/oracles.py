@@ -477,10 +477,11 @@ FROM events
     "stream_accidents": ACCIDENTS.format(threshold=S.THRESHOLD),
     "stream_counters": f"SELECT {COUNTERS} FROM events",
     "stream_archive": """
-SELECT ts::DATE::VARCHAR AS date, count(*) AS messages,
-       count(*) FILTER (WHERE event_id % 89 <> 0) AS with_g_force,
-       max(value) FILTER (WHERE event_id % 89 <> 0) AS max_g_force
-FROM events WHERE event_id % 97 <> 0 GROUP BY ALL
+SELECT ts::DATE::VARCHAR AS date, count(*) FILTER (WHERE event_id % 97 <> 0) AS messages,
+       count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 <> 0) AS with_g_force,
+       max(value) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 <> 0) AS max_g_force,
+       count(*) FILTER (WHERE event_id % 97 = 0) AS quarantined
+FROM events GROUP BY ALL
 """,
     "fanout_routes": f"""
 SELECT 'archive' AS route, count(*) AS messages FROM events WHERE event_id % 97 <> 0
@@ -505,39 +506,22 @@ UNION ALL SELECT 'jdbc_consumer_messages_error', 'vehicle_events', 'JsonParseExc
 FROM events WHERE event_id % 97 = 0
 """,
     "stream_rate_5m": f"""
-WITH rates AS (
-  SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate
-  FROM events GROUP BY ALL
-)
-SELECT * FROM rates
-WHERE window_start + INTERVAL 5 MINUTES
-      <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)
+SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate
+FROM events GROUP BY ALL
 """,
     "stream_session_batches": f"""
 WITH {SESSIONS},
 closed AS (
-  SELECT *, min(ts) OVER (PARTITION BY event_type, session) AS session_ts,
-         max(ts) OVER (PARTITION BY event_type, session) AS session_end
-  FROM numbered
+  SELECT *, min(ts) OVER (PARTITION BY event_type, session) AS session_ts FROM numbered
 )
 SELECT event_type AS key, session_ts, batch_no, count(*) AS batch_rows
 FROM closed
-WHERE epoch_us(session_end) + {S.IDLE_MICROS} + 1
-      <= (SELECT epoch_us(date_trunc('milliseconds', max(ts))) FROM events)
 GROUP BY ALL
 """,
     "stream_released_batches": f"""
-WITH {SESSIONS},
-batches AS (
-  SELECT event_type AS key, session, batch_no, count(*) AS batch_rows, min(ts) AS first_ts,
-         max(ts) AS last_ts,
-         CASE WHEN count(*) = {S.BATCH_ROWS} THEN 'count' ELSE 'idle' END AS release
-  FROM numbered GROUP BY ALL
-)
-SELECT key, batch_rows, first_ts, last_ts, release FROM batches
-WHERE release = 'count'
-   OR last_ts < (SELECT max(last_ts) FROM batches AS later WHERE later.key = batches.key)
-   OR epoch_ms(last_ts) + {S.IDLE_MICROS // 1000} + 1
-      <= (SELECT epoch_ms(max(ts)) FROM events)
+WITH {SESSIONS}
+SELECT event_type AS key, count(*) AS batch_rows, min(ts) AS first_ts, max(ts) AS last_ts,
+       CASE WHEN count(*) = {S.BATCH_ROWS} THEN 'count' ELSE 'idle' END AS release
+FROM numbered GROUP BY event_type, session, batch_no
 """,
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
-from roadpulse.operators import detect, mapping, metrics, parse
+from roadpulse.operators import detect, mapping, parse
 from roadpulse.plans import settings as S
 from roadpulse.plans.queries import query, simple_text
 from roadpulse.session import prepare, scratch_path
@@ -15,7 +18,7 @@ from roadpulse.sinks.dead_letter import PARSE_ERROR, dead_letters
 from roadpulse.sources.messages import stream_rows
 from roadpulse.sources.tables import events, telemetry_messages
 from roadpulse.streaming import batching, pipeline
-from roadpulse.streaming.metrics import event_stream
+from roadpulse.streaming.metrics import start_rate, stored_rate
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,20 +34,6 @@ def drained(query_run: StreamingQuery) -> StreamingQuery:
     return query_run
 
 
-def appended(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    """The whole output of a stream in append mode."""
-    path = scratch_path(spark, label)
-    started = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
-        .trigger(**pipeline.DRAIN)
-        .start()
-    )
-    drained(started)
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def broken_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_messages(streamed_events(spark, sf_dir), broken=True)
 
@@ -62,35 +51,40 @@ def stream_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detector counters as the query itself reports them, batch by batch."""
-    config = DetectorConfig(S.THRESHOLD)
-    started = (
-        pipeline.observed_detector(broken_stream(spark, sf_dir), config)
-        .writeStream.format("parquet")
-        .option("path", scratch_path(spark, "observed"))
-        .option("checkpointLocation", scratch_path(spark, "observed-checkpoint"))
-        .trigger(**pipeline.DRAIN)
-        .start()
-    )
-    totals = pipeline.observed_totals(drained(started))
-    return spark.createDataFrame(
-        [tuple(totals.values())], ", ".join(f"{name} bigint" for name in totals)
+    """The detector counters as its query writes them, added up over its batches."""
+    counters = scratch_path(spark, "counters")
+    drained(
+        pipeline.start_counted_detector(
+            broken_stream(spark, sf_dir),
+            scratch_path(spark, "counted"),
+            counters,
+            scratch_path(spark, "counted-checkpoint"),
+            DetectorConfig(S.THRESHOLD),
+            pipeline.DRAIN,
+        )
     )
+    return pipeline.counter_totals(spark.read.parquet(counters))
 
 
 @query
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per date what the archive stored and what quarantine took; together all messages."""
     config = ArchiveConfig(scratch_path(spark, "stream-archive"))
-    checkpoint = scratch_path(spark, "stream-archive-checkpoint")
-    drained(pipeline.start_archive(broken_stream(spark, sf_dir), config, checkpoint, pipeline.DRAIN))
-    return (
-        spark.read.parquet(config.path)
-        .groupBy(F.col("date").cast("string").alias("date"))
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.count("g_force").alias("with_g_force"),
-            F.max("g_force").alias("max_g_force"),
-        )
+    letters = scratch_path(spark, "stream-letters")
+    stream = broken_stream(spark, sf_dir)
+    checkpoints = [scratch_path(spark, f"{label}-checkpoint") for label in ("archive", "letters")]
+    drained(pipeline.start_archive(stream, config, checkpoints[0], pipeline.DRAIN))
+    drained(pipeline.start_quarantine(stream, letters, checkpoints[1], pipeline.DRAIN))
+    stored = spark.read.parquet(config.path).select(F.col("date").cast("date"), "g_force")
+    parked = spark.read.schema("date date, payload string").parquet(letters).select("date", "payload")
+    both = stored.withColumn("payload", F.lit(None).cast("string")).unionByName(
+        parked, allowMissingColumns=True
+    )
+    return both.groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.count_if(F.col("payload").isNull()).alias("messages"),
+        F.count("g_force").alias("with_g_force"),
+        F.max("g_force").alias("max_g_force"),
+        F.count("payload").alias("quarantined"),
     )
 
 
@@ -182,35 +176,68 @@ def loader_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the watermark has closed."""
-    rows = event_stream(streamed_events(spark, sf_dir), "ts", "0 seconds")
-    rates = metrics.rate(rows, "ts", ("event_type",))
-    closed = appended(spark, rates, "rates")
-    return closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    """All windows, the last ones too."""
+    path, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "rates-checkpoint")
+    rows = streamed_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    drained(start_rate(rows, "ts", ("event_type",), path, checkpoint, trigger=pipeline.DRAIN))
+    rates = stored_rate(spark, path, ("event_type",))
+    return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def closed(
+    spark: SparkSession, sf_dir: str, batches: Callable[[DataFrame, str], DataFrame], label: str
+) -> DataFrame:
+    """All batches of the events by type, those still open at the end of the stream too.
+
+    Rows may be late by the whole span of time, so no order of files loses one. After the drain a
+    second run reads one more row, without a key, that moves the watermark past everything.
+    """
+    first, last = events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    span = int((last - first).total_seconds()) + 1 if first else 1
+    rows = streamed_events(spark, sf_dir).select(F.col("event_type").alias("key"), "ts")
+    end, checkpoint = scratch_path(spark, f"{label}-end"), scratch_path(spark, f"{label}-checkpoint")
+    spark.createDataFrame([], rows.schema).write.parquet(end)
+    path = scratch_path(spark, label)
+    stream = batches(rows.unionByName(stream_rows(spark, end, rows.schema)), f"{span} seconds")
+
+    def drain() -> None:
+        started = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**pipeline.DRAIN)
+            .start()
+        )
+        drained(started)
+
+    drain()
+    if last:
+        beyond = last + timedelta(seconds=span + 1, microseconds=2 * S.IDLE_MICROS)
+        spark.createDataFrame([(None, beyond)], rows.schema).write.mode("append").parquet(end)
+        drain()
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 @query
 def stream_session_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = batching.session_batches(
-        streamed_events(spark, sf_dir), "event_type", "ts", S.BATCH_ROWS, S.IDLE_GAP
-    )
-    closed = appended(spark, batches, "sessions")
-    return closed.withColumn("session_ts", F.col("session_ts").cast("timestamp_ntz"))
+    def batches(rows: DataFrame, late_by: str) -> DataFrame:
+        return batching.session_batches(rows, "key", "ts", S.BATCH_ROWS, S.IDLE_GAP, late_by)
+
+    found = closed(spark, sf_dir, batches, "sessions")
+    return found.withColumn("session_ts", F.col("session_ts").cast("timestamp_ntz"))
 
 
 @query
 def stream_released_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def batches(rows: DataFrame, late_by: str) -> DataFrame:
+        return batching.released_batches(
+            rows, "key", "ts", S.BATCH_ROWS, S.IDLE_MICROS // 1000, late_by
+        )
+
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKS_DB)
     try:
-        batches = batching.released_batches(
-            streamed_events(spark, sf_dir),
-            "event_type",
-            "ts",
-            S.BATCH_ROWS,
-            S.IDLE_MICROS // 1000,
-        )
-        released = appended(spark, batches, "released")
+        released = closed(spark, sf_dir, batches, "released")
     finally:
         spark.conf.set(STATE_STORE, before)
     return released.select(

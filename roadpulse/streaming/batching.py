@@ -22,6 +22,7 @@ RELEASED = (
     "release string"
 )
 OPEN_BATCH = "batch_rows bigint, first_us bigint, last_us bigint"
+WAITING = "us array<bigint>"
 
 # The processor travels with its query, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -53,15 +54,20 @@ def split_batches(moments: np.ndarray, held: tuple | None, size: int, idle: int)
 
 
 class CountOrIdle(StatefulProcessor):
-    """Holds one open batch per key and shard: its row count, first and last event time."""
+    """Batches of a key and shard in event-time order, whatever order its rows arrive in.
+
+    Times wait in state until the watermark has passed them, so no earlier row can follow; only
+    then are they cut into batches. Beside them the open batch is kept: rows, first and last time.
+    """
 
     def __init__(self, batch_size: int, idle_ms: int):
         self.batch_size = batch_size
-        self.idle_ms = idle_ms
+        self.idle_us = idle_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", OPEN_BATCH)
+        self.waiting = handle.getListState("waiting", WAITING)
 
     def _released(self, key, rows, first, last) -> pd.DataFrame:
         return pd.DataFrame(
@@ -75,30 +81,46 @@ class CountOrIdle(StatefulProcessor):
             }
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def _cut(self, key, watermark_us: int) -> Iterator[pd.DataFrame]:
+        parts = [np.asarray(part[0], np.int64) for part in self.waiting.get()]
+        moments = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+        ready, later = np.split(moments, [np.searchsorted(moments, watermark_us, "right")])
         held = tuple(self.open.get()) if self.open.exists() else None
-        for chunk in rows:
-            moments = np.sort(chunk["ts"].to_numpy("datetime64[us]").astype("int64"))
-            batches = split_batches(moments, held, self.batch_size, self.idle_ms * 1000)
+        if len(ready):
+            batches = split_batches(ready, held, self.batch_size, self.idle_us)
             held = None
             if batches[0][-1] < self.batch_size:
                 held = tuple(int(part[-1]) for part in batches)
                 batches = tuple(part[:-1] for part in batches)
             if len(batches[0]):
                 yield self._released(key, *batches)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+            if len(later):
+                self.waiting.put([(later.tolist(),)])
+            else:
+                self.waiting.clear()
+        if held and held[2] + self.idle_us <= watermark_us:
+            yield self._released(key, *(np.array([part]) for part in held))
+            held = None
         if held:
             self.open.update(held)
-            self.handle.registerTimer(held[2] // 1000 + self.idle_ms + 1)
         else:
             self.open.clear()
+        due = [int(later[0])] if len(later) else []
+        due += [held[2] + self.idle_us] if held else []
+        if due:
+            self.handle.registerTimer(min(due) // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for chunk in rows:
+            moments = chunk["ts"].dropna().to_numpy("datetime64[us]").astype("int64")
+            if len(moments):
+                self.waiting.appendValue((moments.tolist(),))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        yield from self._cut(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            held = tuple(self.open.get())
-            self.open.clear()
-            yield self._released(key, *(np.array([part]) for part in held))
+        yield from self._cut(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
     def close(self) -> None:
         pass
@@ -110,12 +132,14 @@ def released_batches(
     ts: str,
     batch_size: int,
     idle_ms: int,
-    late_by: str = "0 seconds",
+    late_by: str,
     shards: int = 1,
     spread_by: str | None = None,
 ) -> DataFrame:
-    """Batches of a stream as they are released.
+    """Batches of a stream as they are released, the same for any files, chunks and micro-batches.
 
+    A row may come up to ``late_by`` after later ones; what comes later still is dropped, and the
+    query's progress counts it. State holds one time per row of the last ``late_by``.
     Like several loader instances that batch side by side, ``shards`` splits a busy key by
     ``spread_by`` so that one task need not take all of it. Needs the RocksDB state store.
     """
@@ -138,7 +162,7 @@ def released_batches(
 
 
 def session_batches(
-    rows: DataFrame, key: str, ts: str, batch_size: int, idle: str, late_by: str = "0 seconds"
+    rows: DataFrame, key: str, ts: str, batch_size: int, idle: str, late_by: str
 ) -> DataFrame:
     """The batches of each closed session, from one merged count per session."""
     timed = rows.select(F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("ts"))

@@ -2,10 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.config import RATE_WINDOW_SECONDS
+from roadpulse.operators.metrics import rate
+from roadpulse.streaming.pipeline import each_batch, repeatable_parquet
 
-def event_stream(rows: DataFrame, ts: str, late_by: str) -> DataFrame:
-    """The rows with a time Spark can hold a watermark on."""
-    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late_by)
+
+def start_rate(
+    rows: DataFrame,
+    ts: str,
+    by: tuple[str, ...],
+    path: str,
+    checkpoint: str,
+    seconds: int = RATE_WINDOW_SECONDS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Each micro-batch's counts per window to ``path``; ``stored_rate`` adds them up.
+
+    Counts are kept by batch and need no watermark: a row counts however late it comes, a repeated
+    batch replaces its counts, and windows still open are there as well.
+    """
+    store = repeatable_parquet(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(rate(batch, ts, by, seconds).drop("rate"), batch_id)
+
+    return each_batch(rows, write, checkpoint, trigger).start()
+
+
+def stored_rate(
+    spark: SparkSession, path: str, by: tuple[str, ...], seconds: int = RATE_WINDOW_SECONDS
+) -> DataFrame:
+    """Rows per second in each window over all batches that ``start_rate`` has written."""
+    totals = spark.read.parquet(path).groupBy("window_start", *by)
+    return totals.agg(F.sum("events").alias("events")).withColumn(
+        "rate", F.col("events") / F.lit(float(seconds))
+    )

@@ -10,11 +10,16 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
+from roadpulse.config import (
+    DEFAULT_TRIGGER_SECONDS,
+    ArchiveConfig,
+    DetectorConfig,
+    TableSinkConfig,
+)
 from roadpulse.operators.detect import accident_filter, detected
 from roadpulse.operators.layout import gathered, with_partition_columns
 from roadpulse.operators.mapping import message_frame, missing_count
@@ -58,7 +63,7 @@ def archive_records(
 def start_archive(
     messages: DataFrame, config: ArchiveConfig, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """All valid messages to the Parquet archive, each exactly once."""
+    """All valid messages to the Parquet archive, each exactly once; ``start_quarantine`` takes the rest."""
     rows_per_file = 1 if config.force_flush else config.roll.max_rows
     records = archive_records(messages, config)
     if config.partition_columns != ("date",):
@@ -93,33 +98,76 @@ def start_detector(
     )
 
 
-def start_log(events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Shows events on the console for debugging, beside any other consumer of the stream."""
+def start_quarantine(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    ts: str = "ts",
+    value: str = "value",
+) -> StreamingQuery:
+    """The messages that ``start_archive`` leaves out, as dead letters, each exactly once.
+
+    A consumer of its own beside the archive, so neither waits for the other.
+    """
+    marked = with_validity(messages, "archive", value)
+    rejected = keep_where(marked, ~F.col("is_valid"))
+    letters = dead_letters(
+        rejected.withColumn("date", F.to_date(ts)), error_class(F.col("message")), value, keep=("date",)
+    )
     return (
-        events.writeStream.format("console")
-        .option("truncate", "false")
+        letters.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or every(DEFAULT_TRIGGER_SECONDS)))
+        .start()
+    )
+
+
+def start_log(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Every event as a line of JSON in log files, beside any other consumer of the stream."""
+    return (
+        events.writeStream.format("json")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or every(1)))
         .start()
     )
 
 
-def observed_detector(
-    messages: DataFrame, config: DetectorConfig = DetectorConfig(), name: str = "detector"
-) -> DataFrame:
-    """Accident messages whose query reports the detector counters for each batch."""
-    marked = detected(messages, config.threshold).observe(name, *detector_aggregates())
-    return keep_where(marked, F.col("is_accident")).select(*messages.columns)
-
-
-def observed_totals(query: StreamingQuery, name: str = "detector") -> dict[str, int]:
-    """The counters summed over the batches a query still remembers."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for key, count in (row.asDict() if row else {}).items():
-            totals[key] = totals.get(key, 0) + count
-    return totals
+def start_counted_detector(
+    messages: DataFrame,
+    path: str,
+    counters_path: str,
+    checkpoint: str,
+    config: DetectorConfig = DetectorConfig(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Accident messages, and each batch's detector counters, taken in the same pass.
+
+    Both are kept by batch, so a repeated batch replaces them; ``counter_totals`` adds them up.
+    """
+    accidents, counters = repeatable_parquet(path), repeatable_parquet(counters_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        seen = Observation()
+        marked = detected(batch, config.threshold).observe(seen, *detector_aggregates())
+        accidents(keep_where(marked, F.col("is_accident")).select(*messages.columns), batch_id)
+        counted = seen.get
+        schema = ", ".join(f"{name} bigint" for name in counted)
+        counters(batch.sparkSession.createDataFrame([tuple(counted.values())], schema), batch_id)
+
+    return each_batch(messages, write, checkpoint, trigger or every(1)).start()
+
+
+def counter_totals(counters: DataFrame) -> DataFrame:
+    """The detector counters over all batches, from their written table."""
+    names = [name for name in counters.columns if name != "batch_id"]
+    return counters.agg(*[F.sum(name).alias(name) for name in names])
 
 
 def fan_out(

@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
 from roadpulse.operators import detect, mapping
+from roadpulse.plans import streams
+from roadpulse.plans.oracles import ORACLES
+from roadpulse.plans.queries import CATALOGUE
 from roadpulse.plans.streams import ROCKS_DB, STATE_STORE
 from roadpulse.session import scratch_path
 from roadpulse.sources.messages import read_messages, stream_messages, stream_rows, write_messages
 from roadpulse.streaming import batching, pipeline
+from tests.oracle import connect, difference
 
 
 @pytest.fixture
@@ -128,12 +132,24 @@ def test_table_loader(spark, texts, broken_writes, loaded, parked):
     assert values.get(("jdbc_consumer_messages_error", "ConnectionError"), 0) == 8 - loaded
 
 
-def test_log_shows_every_event(spark, place):
-    numbered(spark, 0, 3).coalesce(1).write.text(f"{place}/in")
+def test_log_keeps_every_event(spark, place):
+    numbered(spark, 0, 50).coalesce(1).write.text(f"{place}/in")
     messages = stream_messages(spark, f"{place}/in")
-    query = pipeline.start_log(messages, f"{place}/checkpoint", pipeline.DRAIN)
-    query.awaitTermination()
-    assert sum(progress.numInputRows for progress in query.recentProgress) == 3
+    log = f"{place}/log"
+    pipeline.start_log(messages, log, f"{place}/checkpoint", pipeline.DRAIN).awaitTermination()
+    assert spark.read.json(log).select("value").distinct().count() == 50
+
+
+def test_archive_and_quarantine_share_all_messages(spark, place, texts):
+    damaged = ("not-json", "[1]", "", "  ", "3", "null", '{"g_force": 1', '{"g_force": "x"}', "{}", None)
+    rows = texts(*damaged, '{"g_force": 2}').withColumn("ts", F.lit(datetime(2024, 1, 1)))
+    rows.write.parquet(f"{place}/in")
+    stream = stream_rows(spark, f"{place}/in", rows.schema)
+    config, letters = ArchiveConfig(f"{place}/archive"), f"{place}/letters"
+    pipeline.start_archive(stream, config, f"{place}/c1", pipeline.DRAIN).awaitTermination()
+    pipeline.start_quarantine(stream, letters, f"{place}/c2", pipeline.DRAIN).awaitTermination()
+    stored, parked = spark.read.parquet(config.path).count(), spark.read.parquet(letters).count()
+    assert (stored + parked, parked > 0) == (len(damaged) + 1, True)
 
 
 def test_loader_trigger():
@@ -143,22 +159,25 @@ def test_loader_trigger():
     assert pipeline.loader_trigger(TableSinkConfig()) == {"processingTime": "0 seconds"}
 
 
-def test_observed_counters_add_up_over_batches(spark, place):
-    for start in (0, 20):
-        numbered(spark, start, start + 20).coalesce(1).write.mode("append").text(f"{place}/in")
+def test_counters_add_up_over_more_batches_than_a_query_remembers(spark, place):
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    numbered(spark, 0, 40).repartitionByRange(8, "value").write.text(f"{place}/in")
     messages = stream_messages(spark, f"{place}/in", max_files_per_trigger=1)
-    query = (
-        pipeline.observed_detector(messages, DetectorConfig(6.0))
-        .writeStream.format("parquet")
-        .option("path", f"{place}/out")
-        .option("checkpointLocation", f"{place}/checkpoint")
-        .trigger(**pipeline.DRAIN)
-        .start()
-    )
-    query.awaitTermination()
-    assert pipeline.observed_totals(query) == {
+    try:
+        pipeline.start_counted_detector(
+            messages, f"{place}/out", f"{place}/counters", f"{place}/checkpoint",
+            DetectorConfig(6.0), pipeline.DRAIN,
+        ).awaitTermination()
+    finally:
+        spark.conf.set(kept, before)
+    counters = spark.read.parquet(f"{place}/counters")
+    assert counters.count() > 2
+    assert pipeline.counter_totals(counters).first().asDict() == {
         "messages_total": 40, "accidents_total": 12, "invalid_total": 0,
     }
+    assert spark.read.parquet(f"{place}/out").count() == 12
 
 
 @given(
@@ -202,7 +221,7 @@ def test_released_batches_keep_every_row_over_batches(spark, place, shards):
     try:
         stream = stream_rows(spark, f"{place}/in", schema, max_files_per_trigger=1)
         batches = batching.released_batches(
-            stream, "key", "ts", 10, 60_000, shards=shards, spread_by="id"
+            stream, "key", "ts", 10, 60_000, "1 second", shards=shards, spread_by="id"
         )
         query = (
             batches.writeStream.format("parquet")
@@ -219,3 +238,32 @@ def test_released_batches_keep_every_row_over_batches(spark, place, shards):
     assert all((row.batch_rows == 10) == (row.release == "count") for row in found)
     if shards == 1:
         assert sorted(row.batch_rows for row in found) == [10] * 5
+
+
+def interleaved(spark, sf_dir, place):
+    """The events in four files whose times overlap, read one file a micro-batch."""
+    whole = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for part in range(4):
+        rows = whole.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1)
+        rows.write.parquet(f"{place}/events.parquet", mode="append")
+    return f"{place}"
+
+
+@pytest.mark.parametrize("name", ["stream_released_batches", "stream_session_batches", "stream_rate_5m"])
+def test_result_does_not_depend_on_files_or_chunks(spark, sf_dir, place, monkeypatch, name):
+    """Four interleaved files, one a micro-batch, in Arrow chunks of 100 rows."""
+    folder = interleaved(spark, sf_dir, place)
+
+    def one_file_a_batch(session, _):
+        schema = session.read.parquet(f"{folder}/events.parquet").schema
+        return stream_rows(session, f"{folder}/events.parquet", schema, max_files_per_trigger=1)
+
+    monkeypatch.setattr(streams, "streamed_events", one_file_a_batch)
+    chunk = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(chunk)
+    spark.conf.set(chunk, "100")
+    try:
+        found = CATALOGUE[name](spark, sf_dir)
+        assert difference(found, connect(sf_dir), ORACLES[name]) is None
+    finally:
+        spark.conf.set(chunk, before)
