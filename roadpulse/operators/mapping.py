@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_TABLE
@@ -105,37 +106,75 @@ def is_plain(expression: str) -> bool:
     return expression not in WHOLE_PAYLOAD and FIELD_PATH.match(expression) is not None
 
 
+def _looked_up(expression: str) -> Column:
+    """The value of the first place that has a plain name, even a null there."""
+    chain = F
+    for place, key in _candidates(expression):
+        chain = chain.when(_found(place, key), _value(place, key))
+    return chain.otherwise(F.lit(None).cast("string"))
+
+
+def references(spark: SparkSession, expression: str) -> list[str]:
+    """The column names in a Spark SQL expression, as Spark's own parser finds them."""
+    leaves = spark._jsparkSession.sessionState().sqlParser().parseExpression(expression).collectLeaves()
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    names = [leaf.nameParts() for leaf in found if leaf.getClass().getSimpleName() == "UnresolvedAttribute"]
+    return [".".join(parts.apply(i) for i in range(parts.size())) for parts in names]
+
+
+def _with_bare_names(frame: DataFrame, expressions: Iterable[str]) -> DataFrame:
+    """Adds a column for each bare name that a composed expression uses and the frame lacks."""
+    known = {name.lower() for name in frame.columns}
+    wanted = {
+        name
+        for text in expressions
+        if not is_plain(text) and text not in WHOLE_PAYLOAD
+        for name in references(frame.sparkSession, text)
+        if "." not in name and name.lower() not in known
+    }
+    return frame.withColumns({name: _looked_up(name) for name in sorted(wanted)}) if wanted else frame
+
+
 def expression_column(expression: str) -> Column:
     """A mapping expression over a ``message_frame``.
 
     A plain name or path takes the first place that has it (even with a null there); the
-    whole payload gives the text; anything else is a Spark SQL expression.
+    whole payload gives the text; anything else is a Spark SQL expression, in which a bare name
+    that is no column stands for the header or field of that name, as text.
     """
     if expression in WHOLE_PAYLOAD:
         return F.col("payload_text")
     if not is_plain(expression):
         return F.expr(expression)
-    places = _candidates(expression)
-    chain = F
-    for place, key in places:
-        chain = chain.when(_found(place, key), _value(place, key))
-    return chain.otherwise(F.lit(None).cast("string"))
+    return _looked_up(expression)
 
 
-def is_missing(expression: str) -> Column:
-    """True when none of the places a plain expression looks at has the name."""
-    if not is_plain(expression):
+def is_missing(expression: str, names: Iterable[str] = ()) -> Column:
+    """True when no place has the plain name or, of a composed expression, any of its ``names``."""
+    if expression in WHOLE_PAYLOAD or not (is_plain(expression) or names):
         return F.lit(False)
     found = F.lit(False)
-    for place, key in _candidates(expression):
-        found = found | _found(place, key)
+    for name in [expression] if is_plain(expression) else names:
+        for place, key in _candidates(name):
+            found = found | _found(place, key)
     return ~found
 
 
-def missing_count(columns: str | dict[str, str]) -> Column:
+def _missing(frame: DataFrame, expression: str) -> Column:
+    """``is_missing`` for an expression over this frame; its own columns are never missing."""
+    if is_plain(expression) or expression in WHOLE_PAYLOAD:
+        return is_missing(expression)
+    own = {name.lower() for name in frame.columns} - {"payload", "headers"}
+    names = references(frame.sparkSession, expression)
+    if any(name.split(".")[0].lower() in own or name in ("payload", "headers") for name in names):
+        return F.lit(False)
+    return is_missing(expression, names)
+
+
+def missing_count(frame: DataFrame, columns: str | dict[str, str]) -> Column:
     """How many of a message's parameters no expression has a value for."""
     pairs = column_map(columns) if isinstance(columns, str) else columns
-    return reduce(add, [is_missing(text).cast("bigint") for text in pairs.values()])
+    return reduce(add, [_missing(frame, text).cast("bigint") for text in pairs.values()])
 
 
 def mapped_expressions(
@@ -146,7 +185,7 @@ def mapped_expressions(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     pairs = column_map(columns) if isinstance(columns, str) else columns
-    frame = message_frame(messages, value, headers)
+    frame = _with_bare_names(message_frame(messages, value, headers), pairs.values())
     return frame.select(
         *keep, *[expression_column(text).alias(name) for name, text in pairs.items()]
     )
@@ -168,7 +207,7 @@ def null_parameters(
     pairs = column_map(columns) if isinstance(columns, str) else columns
     frame = message_frame(messages, value, headers)
     counters = [
-        F.count_if(is_missing(text)).alias(f"_missing_{i}") for i, text in enumerate(pairs.values())
+        F.count_if(_missing(frame, text)).alias(f"_missing_{i}") for i, text in enumerate(pairs.values())
     ]
     totals = frame.groupBy(*by).agg(*counters, F.count(F.lit(1)).alias("messages"))
     per_column = F.array(

@@ -242,15 +242,16 @@ SELECT event_id, user_id::VARCHAR AS policy,
        CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'VIN-' || user_id END AS vin,
        event_type AS source, json_extract_string(props, '$.k') AS first_k,
        NULL::VARCHAR AS note, 'VIN-' || user_id || '/' || event_type AS label,
-       NULL::VARCHAR AS absent, {SIMPLE_TEXT} AS message
+       CASE WHEN event_id % 2 = 1 THEN user_id || '-VIN-' || user_id END AS marked,
+       NULL::VARCHAR AS absent, NULL::DOUBLE AS half, {SIMPLE_TEXT} AS message
 FROM events
 """,
     "null_parameters": """
 SELECT event_type, 'vehicle_events' AS table_name, count(*) AS messages, column_name,
-       CASE WHEN column_name = 'absent' THEN count(*) ELSE 0 END AS null_parameters
+       CASE WHEN column_name IN ('absent', 'half') THEN count(*) ELSE 0 END AS null_parameters
 FROM events,
-     (VALUES ('policy'), ('vin'), ('source'), ('first_k'), ('note'), ('label'), ('absent'),
-             ('message')) AS c(column_name)
+     (VALUES ('policy'), ('vin'), ('source'), ('first_k'), ('note'), ('label'), ('marked'),
+             ('absent'), ('half'), ('message')) AS c(column_name)
 GROUP BY event_type, column_name
 """,
     "payload_decode": """
@@ -410,7 +411,7 @@ SELECT {_window(300)} AS window_start, table_name, error_class, count(*) AS even
 FROM loaded WHERE error_class IS NOT NULL GROUP BY ALL
 """,
     "null_rate_5m": f"""
-SELECT {_window(300)} AS window_start, count(*) AS increase, count(*) / 300.0 AS rate
+SELECT {_window(300)} AS window_start, 2 * count(*) AS increase, 2 * count(*) / 300.0 AS rate
 FROM events GROUP BY ALL
 """,
     "duration_percentiles": "SELECT event_type, "

@@ -529,7 +529,7 @@ def error_rate_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def null_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = mapping.message_frame(simple_messages(spark, sf_dir), headers="message_headers")
-    missing = frame.select("ts", mapping.missing_count(S.EXPRESSIONS).alias("missing"))
+    missing = frame.select("ts", mapping.missing_count(frame, S.EXPRESSIONS).alias("missing"))
     return metrics.total_rate(missing, "ts", "missing")
 
 

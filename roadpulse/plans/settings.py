@@ -25,7 +25,9 @@ EXPRESSIONS = {
     "first_k": "payload.props.k",
     "note": "note",
     "label": "concat(payload.vin, '/', headers.source)",
+    "marked": "concat(policy_id, '-', vin)",
     "absent": "speed_ms",
+    "half": "speed_ms / 2",
     "message": "payload.toString()",
 }
 # A gap longer than the idle limit: the session window's own gap is exclusive.

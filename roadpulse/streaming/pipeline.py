@@ -266,7 +266,7 @@ def loader_metrics(
     outcome = frame.select(
         F.lit(config.table).alias("table"),
         error.alias("error"),
-        F.when(F.col("error_class").isNull(), missing_count(config.columns)).alias("missing"),
+        F.when(F.col("error_class").isNull(), missing_count(frame, config.columns)).alias("missing"),
     )
     totals = outcome.groupBy("table").agg(
         F.count(F.lit(1)).alias("messages_total"),

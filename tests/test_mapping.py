@@ -75,3 +75,14 @@ def test_present_null_is_not_a_missing_parameter(frame):
     counts = mapping.null_parameters(frame, {"a": "a", "b": "b", "c": "c"}, headers="h").collect()
     assert {row.column_name: row.null_parameters for row in counts} == {"a": 1, "b": 0, "c": 3}
     assert {row.messages for row in counts} == {3}
+
+
+def test_composed_expressions_find_bare_names(frame):
+    columns = {"x": "a || '-' || payload.a", "twice": "b * 2", "gone": "upper(nowhere)", "sure": "1 + 1"}
+    rows = mapping.mapped_expressions(frame, columns, headers="h").collect()
+    assert [(row.x, row.twice, row.gone, row.sure) for row in rows] == [
+        ("header-1", None, None, 2), ("1-1", None, None, 2), (None, 10.0, None, 2),
+    ]
+    counts = mapping.null_parameters(frame, columns, headers="h").collect()
+    missing = {row.column_name: row.null_parameters for row in counts}
+    assert missing == {"x": 1, "twice": 0, "gone": 3, "sure": 0}
