@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from roadpulse.config import RollConfig
+from roadpulse.operators.layout import TODAY
 
 THRESHOLD = 150.0
 BATCH_ROWS = 10
@@ -14,8 +15,7 @@ QUANTILES = (0.5, 0.95, 0.99)
 BUCKETS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
 SCAN_FROM = "2024-01-15"
 PATH_TEMPLATE = (
-    "'date=' + T(java.time.LocalDate).now().toString()"
-    " + '/driver=' + payload.driver_id + '/policy=' + payload.policy_id"
+    f"'date=' + {TODAY} + '/driver=' + payload.driver_id + '/policy=' + payload.policy_id"
 )
 MAPPING = "policy:policy_id,vehicle_id,vin,event_timestamp:timestamp,speed_ms,street:current_street"
 EXPRESSIONS = {
