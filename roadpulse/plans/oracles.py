@@ -304,7 +304,7 @@ SELECT ts::DATE::VARCHAR AS date, count(*) AS rows_written, 0::BIGINT AS files_t
 FROM events GROUP BY ALL
 """,
     "archive_compaction": """
-SELECT ts::DATE::VARCHAR AS date, 1::BIGINT AS files, count(*) AS messages
+SELECT ts::DATE::VARCHAR AS date, true AS joined, count(*) AS messages
 FROM events GROUP BY ALL
 """,
     "archive_file_labels": f"""
@@ -314,7 +314,12 @@ SELECT date, writer_id, age_bucket, file_no,
        || (epoch_us(first_ts) // 1000) || '.parquet' AS file_label
 FROM plan
 """,
-    "events_table_typed": f"SELECT event_id, {TYPED_RECORD} FROM events",
+    "events_table_typed": f"""
+SELECT * EXCLUDE (user_id)
+       REPLACE (CASE WHEN event_id % 89 <> 0 THEN vehicle_id END AS vehicle_id),
+       CASE WHEN event_id % 89 = 0 THEN 300000 + user_id + {S.BEYOND_INT} END AS kept_vehicle_id
+FROM (SELECT event_id, user_id, {TYPED_RECORD} FROM events)
+""",
     "events_lookup_files": """
 SELECT (200000 + user_id)::INTEGER AS policy_id, count(*) AS messages,
        max(epoch_us(ts) // 1000000) AS last_event_time
@@ -419,8 +424,8 @@ FROM events GROUP BY ALL
         f"round(quantile_cont(value, {q}), 6) AS {name}" for q, name in QUANTILE_NAMES.items()
     )
     + " FROM events GROUP BY event_type",
-    "duration_percentiles_approx": "SELECT event_type, "
-    + ", ".join(f"quantile_disc(value, {q}) AS {name}" for q, name in QUANTILE_NAMES.items())
+    "duration_percentiles_approx": "SELECT event_type, count(value) AS n, "
+    + ", ".join(f"true AS {name}_in_bound" for name in QUANTILE_NAMES.values())
     + " FROM events GROUP BY event_type",
     "duration_quantiles_5m": f"""
 WITH counts AS (
@@ -493,18 +498,23 @@ UNION ALL SELECT 'quarantine', count(*) FROM events WHERE event_id % 97 = 0
     "table_load": """
 SELECT 'loaded' AS outcome, count(*) AS messages, sum(user_id)::BIGINT AS policy_sum,
        1::INTEGER AS attempts
-FROM events WHERE event_id % 97 <> 0
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
 UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'DataIntegrityViolationException', count(*), NULL, 3
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 = 0
 """,
     "loader_metrics": """
 SELECT 'jdbc_consumer_messages_total' AS name, 'vehicle_events' AS "table",
        NULL::VARCHAR AS error, count(*) AS value FROM events
 UNION ALL SELECT 'jdbc_consumer_messages_success', 'vehicle_events', NULL, count(*)
-FROM events WHERE event_id % 97 <> 0
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
 UNION ALL SELECT 'jdbc_consumer_null_parameters_total', 'vehicle_events', NULL, count(*)
-FROM events WHERE event_id % 97 <> 0
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
 UNION ALL SELECT 'jdbc_consumer_messages_error', 'vehicle_events', 'JsonParseException', count(*)
 FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'jdbc_consumer_messages_error', 'vehicle_events',
+       'DataIntegrityViolationException', count(*)
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 = 0
 """,
     "stream_rate_5m": f"""
 SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate

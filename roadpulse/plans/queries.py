@@ -19,7 +19,13 @@ from roadpulse.plans import settings as S
 from roadpulse.session import scratch_path
 from roadpulse.sinks import archive, dead_letter, tables
 from roadpulse.sources.messages import read_messages, write_messages
-from roadpulse.sources.tables import events, message_text, spread_small, telemetry_messages
+from roadpulse.sources.tables import (
+    TOO_LONG_EVERY,
+    events,
+    message_text,
+    spread_small,
+    telemetry_messages,
+)
 from roadpulse.streaming.pipeline import archive_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,7 +359,7 @@ def archive_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def archive_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An archive of one file per task and date, rewritten to large files."""
+    """An archive of one file per task and date, rewritten to fewer, larger files."""
     small = ArchiveConfig(scratch_path(spark, "small"))
     rows = parse.typed_record(
         messages(spark, sf_dir, "event_id", "ts").withColumn("date", F.to_date("ts")),
@@ -362,9 +368,15 @@ def archive_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     batching.spread(rows, 4).write.partitionBy("date").parquet(small.path)
     large = ArchiveConfig(scratch_path(spark, "large"))
     archive.compact(spark, small.path, large)
-    stats = archive.file_stats(archive.read_archive(spark, large.path), by=("date",))
-    return stats.groupBy(F.col("date").cast("string").alias("date")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("file_rows").alias("messages")
+    before, after = (
+        archive.file_stats(archive.read_archive(spark, path), by=("date",))
+        .groupBy("date")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_rows").alias("messages"))
+        for path in (small.path, large.path)
+    )
+    joined = (F.col("files") < F.col("small_files")) | (F.col("files") == 1)
+    return after.join(before.selectExpr("date", "files AS small_files"), "date").select(
+        F.col("date").cast("string").alias("date"), joined.alias("joined"), "messages"
     )
 
 
@@ -377,13 +389,23 @@ def archive_file_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def events_table_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table, and the records it can't hold as they were set aside.
+
+    Some vehicle ids are made too large for their column; those rows come from the misfits, with
+    that id in ``kept_vehicle_id``.
+    """
     records = parse.typed_record(messages(spark, sf_dir), keep=("event_id",))
-    fitting, _ = tables.split_fitting(records)
+    too_large = F.when(F.col("event_id") % TOO_LONG_EVERY == 0, S.BEYOND_INT).otherwise(0)
+    records = records.withColumn("vehicle_id", F.col("vehicle_id") + too_large)
+    fitting, misfits = tables.split_fitting(records)
     typed = tables.as_events_table(fitting, keep=("event_id",))
-    path = scratch_path(spark, "events-table")
+    path, aside = scratch_path(spark, "events-table"), scratch_path(spark, "misfits")
     name = "vehicle_events_" + path[-12:]
     archive.save_events_table(typed, name, path, buckets=8, mode="errorifexists")
-    return spark.table(name)
+    misfits.write.parquet(aside)
+    kept = spark.read.parquet(aside).withColumn("kept_vehicle_id", F.col("vehicle_id"))
+    stored = spark.table(name).withColumn("kept_vehicle_id", F.lit(None).cast("bigint"))
+    return stored.unionByName(tables.as_events_table(kept, keep=("event_id", "kept_vehicle_id")))
 
 
 @query
@@ -545,9 +567,19 @@ def duration_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duration_percentiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.approximate_quantiles(
-        events(spark, sf_dir), "value", S.QUANTILES, ("event_type",), accuracy=100_000
-    )
+    """Whether each approximate percentile's rank is within the summary's error bound."""
+    rows, accuracy = events(spark, sf_dir).select("event_type", "value"), 10_000
+    found = metrics.approximate_quantiles(rows, "value", S.QUANTILES, ("event_type",), accuracy)
+    n, value = F.count("value"), F.col("value")
+
+    def in_bound(q: float) -> Column:
+        name = metrics.quantile_name(q)
+        below, upto = F.count_if(value < F.col(name)), F.count_if(value <= F.col(name))
+        low, high = F.floor(n * (q - 1 / accuracy)), F.ceil(n * (q + 1 / accuracy))
+        return ((upto >= low) & (below <= high)).alias(f"{name}_in_bound")
+
+    ranked = rows.join(found, "event_type").groupBy("event_type")
+    return ranked.agg(n.alias("n"), *[in_bound(q) for q in S.QUANTILES])
 
 
 @query

@@ -14,6 +14,7 @@ REASON_ROLL = RollConfig(max_age_minutes=1200, max_rows=90, max_size_mb=900 / (1
 QUANTILES = (0.5, 0.95, 0.99)
 BUCKETS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
 SCAN_FROM = "2024-01-15"
+BEYOND_INT = 2**40
 PATH_TEMPLATE = (
     f"'date=' + {TODAY} + '/driver=' + payload.driver_id + '/policy=' + payload.policy_id"
 )

@@ -13,10 +13,16 @@ from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
 from roadpulse.operators import detect, mapping, parse
 from roadpulse.plans import settings as S
 from roadpulse.plans.queries import query, simple_text
+from roadpulse.schema import TABLE_TEXT_LENGTH
 from roadpulse.session import prepare, scratch_path
 from roadpulse.sinks.dead_letter import PARSE_ERROR, dead_letters
 from roadpulse.sources.messages import stream_rows
-from roadpulse.sources.tables import events, telemetry_messages
+from roadpulse.sources.tables import (
+    TOO_LONG_EVERY,
+    UNPARSABLE_EVERY,
+    events,
+    telemetry_messages,
+)
 from roadpulse.streaming import batching, pipeline
 from roadpulse.streaming.metrics import start_rate, stored_rate
 
@@ -129,9 +135,16 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loaded_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Runs the loader on short messages; returns where rows, letters and metrics went."""
+    """Runs the loader on short messages; returns where rows, letters and metrics went.
+
+    Some messages are no JSON, and some hold a text that is too long for its column.
+    """
     event_id = F.col("event_id")
-    value = F.when(event_id % 97 == 0, F.lit("not-json")).otherwise(simple_text())
+    value = F.when(event_id % UNPARSABLE_EVERY == 0, F.lit("not-json"))
+    long_vin = F.lit("V" * (TABLE_TEXT_LENGTH + 1))
+    value = value.when(event_id % TOO_LONG_EVERY == 0, F.replace(simple_text(), F.lit("VIN-"), long_vin))
+    value = value.otherwise(simple_text())
+    vin = F.try_variant_get(F.col("message"), "$.vin", "string")
     messages = streamed_events(spark, sf_dir).select("event_id", value.alias("value"))
     paths = {name: scratch_path(spark, name) for name in ("rows", "letters", "metrics")}
     config = TableSinkConfig("vehicle_events", S.LOAD_COLUMNS)
@@ -141,6 +154,7 @@ def loaded_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         transform=lambda rows: mapping.mapped(rows, config.columns, keep=("event_id",)),
         config=config,
         report=pipeline.repeatable_parquet(paths["metrics"]),
+        fits=F.length(vin) <= TABLE_TEXT_LENGTH,
     )
     checkpoint = scratch_path(spark, "load-checkpoint")
     drained(pipeline.each_batch(messages, load, checkpoint).start())
@@ -149,7 +163,7 @@ def loaded_stream(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 @query
 def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loader end to end: mapped rows to the table, unreadable messages to quarantine."""
+    """The loader end to end: mapped rows to the table, unreadable and too long messages to quarantine."""
     paths = loaded_stream(spark, sf_dir)
     stored = spark.read.parquet(paths["rows"]).groupBy(F.lit("loaded").alias("outcome")).agg(
         F.count(F.lit(1)).alias("messages"),

@@ -13,14 +13,17 @@ from roadpulse.schema import LOOKUP_COLUMNS
 COMPRESSION = "snappy"
 
 
-def write_archive(records: DataFrame, config: ArchiveConfig, mode: str = "append") -> None:
+def write_archive(
+    records: DataFrame, config: ArchiveConfig, mode: str = "append", limit_rows: bool = True
+) -> None:
     """Writes records under their partition columns in files of even size.
 
     ``mode='errorifexists'`` refuses an archive that is already there. Spark creates missing
-    folders and names the files. ``force_flush`` gives every record its own file.
+    folders and names the files. ``force_flush`` gives every record its own file. Without
+    ``limit_rows`` only the rebalance sizes the files, by Spark's advisory partition size.
     """
     columns = list(config.partition_columns)
-    rows_per_file = 1 if config.force_flush else config.roll.max_rows
+    rows_per_file = 1 if config.force_flush else config.roll.max_rows if limit_rows else 0
     (
         balanced(records, *columns)
         .write.mode(mode)
@@ -71,9 +74,10 @@ def file_counters(stats: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def compact(spark: SparkSession, source: str, config: ArchiveConfig) -> None:
     """Rewrites an archive's small files into few large ones at ``config.path``.
 
-    Small files are joined, never deleted with their rows.
+    Small files are joined, never deleted with their rows. The row limit of the intake does not
+    bind here; ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is the target size.
     """
-    write_archive(read_archive(spark, source), config, mode="errorifexists")
+    write_archive(read_archive(spark, source), config, mode="errorifexists", limit_rows=False)
 
 
 def write_lookup_files(events: DataFrame, path: str, mode: str = "append") -> None:

@@ -12,6 +12,7 @@ from roadpulse.config import DEFAULT_MAX_ATTEMPTS
 # Error classes of rejected messages.
 PARSE_ERROR = "JsonParseException"
 NOT_AN_OBJECT = "MismatchedInputException"
+MISFIT = "DataIntegrityViolationException"
 
 
 def error_class(message: Column) -> Column:

@@ -11,6 +11,7 @@ from roadpulse.session import prepare
 # Which events stand for broken messages.
 UNPARSABLE_EVERY = 97
 NO_G_FORCE_EVERY = 89
+TOO_LONG_EVERY = 89
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -27,7 +27,7 @@ from roadpulse.operators.metrics import detector_aggregates, metric_rows
 from roadpulse.operators.parse import keep_where, lenient_record, with_validity
 from roadpulse.schema import ARCHIVE_TYPES
 from roadpulse.sinks.archive import COMPRESSION
-from roadpulse.sinks.dead_letter import dead_letters, deliver, error_class
+from roadpulse.sinks.dead_letter import MISFIT, dead_letters, deliver, error_class
 
 DRAIN = {"availableNow": True}
 
@@ -206,10 +206,17 @@ def repeatable_parquet(path: str, *partition_columns: str) -> BatchWriter:
     return write
 
 
-def marked_for_table(batch: DataFrame, value: str = "value") -> DataFrame:
-    """Adds ``error_class``: NULL for messages the table loader can read."""
+def marked_for_table(
+    batch: DataFrame, value: str = "value", fits: Column | None = None
+) -> DataFrame:
+    """Adds ``error_class``: NULL for messages the table loader can read and the table can hold.
+
+    ``fits`` is a condition on the batch and the parsed ``message``; only false sets a row aside.
+    """
     marked = with_validity(batch, "map", value)
     reason = F.when(~F.col("is_valid"), error_class(F.col("message")))
+    if fits is not None:
+        reason = reason.when(~fits, F.lit(MISFIT))
     return marked.withColumn("error_class", reason).drop("message", "is_valid")
 
 
@@ -220,14 +227,16 @@ def table_loader(
     config: TableSinkConfig = TableSinkConfig(),
     value: str = "value",
     report: BatchWriter | None = None,
+    fits: Column | None = None,
 ) -> BatchWriter:
     """Loads a batch's valid messages; what cannot be parsed or written is quarantined.
 
-    ``report`` receives the batch's metrics, unless the settings turn them off.
+    ``fits`` says which messages the table can hold (see ``marked_for_table``), so that one that
+    it can't is parked by itself before the write and does not fail its batch. ``report`` receives the batch's metrics, unless the settings turn them off.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        kept = marked_for_table(batch, value).persist()
+        kept = marked_for_table(batch, value, fits).persist()
         try:
             if kept.isEmpty():
                 return

@@ -65,6 +65,12 @@ def test_compaction_joins_files_and_keeps_rows(spark, dated, folder):
     assert large.count() == 1000 and large.select("id").distinct().count() == 1000
 
 
+def test_compaction_is_not_bound_by_the_row_limit(spark, dated, folder):
+    dated.repartition(20).write.partitionBy("date").parquet(folder + "/small")
+    archive.compact(spark, folder + "/small", ArchiveConfig(folder + "/large", roll=RollConfig(max_rows=10)))
+    assert len(glob.glob(f"{folder}/large/*/*.parquet")) == 2
+
+
 def test_partition_filter_skips_folders(spark, dated, folder):
     archive.write_archive(dated, ArchiveConfig(folder))
     wanted = archive.read_archive(spark, folder).where("date = DATE'2024-01-02'")

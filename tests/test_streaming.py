@@ -132,6 +132,24 @@ def test_table_loader(spark, texts, broken_writes, loaded, parked):
     assert values.get(("jdbc_consumer_messages_error", "ConnectionError"), 0) == 8 - loaded
 
 
+def test_loader_parks_only_the_messages_that_do_not_fit(texts):
+    batch = texts('{"a":1}', '{"a":300}', '{"b":1}', "not-json", '{"a":2}')
+    stored, letters = [], []
+    load = pipeline.table_loader(
+        lambda rows, batch_id: stored.extend(rows.collect()),
+        lambda rows, batch_id: letters.extend(rows.collect()),
+        lambda rows: mapping.mapped(rows, "a"),
+        TableSinkConfig("t", "a"),
+        fits=F.try_variant_get(F.col("message"), "$.a", "int") < 256,
+    )
+    load(batch, 0)
+    assert len(stored) == 3
+    assert sorted((row.payload, row.error_class) for row in letters) == [
+        ("not-json", "JsonParseException"),
+        ('{"a":300}', "DataIntegrityViolationException"),
+    ]
+
+
 def test_log_keeps_every_event(spark, place):
     numbered(spark, 0, 50).coalesce(1).write.text(f"{place}/in")
     messages = stream_messages(spark, f"{place}/in")
