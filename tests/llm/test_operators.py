@@ -271,3 +271,26 @@ def test_pipeline_keeps_clean_documents_and_the_columns(spark, sf_dir):
         docs = stage(spark, docs, sf_dir)
         assert docs.schema.names == spark.read.parquet(f"{sf_dir}/documents.parquet").columns, name
     assert docs.count() > 100
+
+
+def test_pipeline_stages_on_awkward_and_empty_rows(docs, empty, spark, sf_dir):
+    """Stages keep extra columns, drop what their rule names and nothing else, and take empty tables."""
+    import corpus_pipeline
+
+    for rows in (docs, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, rows, sf_dir)
+            if name != "packing":
+                assert found.schema.names == rows.columns, name
+            if rows is empty:
+                assert found.count() == 0, name
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {r.doc_id for r in stages["quality_rules"](spark, docs, sf_dir).collect()}
+    assert not kept & {60, 61, 62, 63, 64, 71}
+    assert stages["benchmark_decontamination"](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_decontamination_of_empty_tables(docs, empty, spark):
+    bench = spark.createDataFrame([(7, " ".join(f"t{i}" for i in range(40)))], "item_id long, text string")
+    assert decontamination.contaminated_pairs(empty, bench).count() == 0
+    assert decontamination.decontaminated(docs, bench.limit(0)).count() == docs.count()
