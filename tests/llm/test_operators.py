@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -294,3 +296,108 @@ def test_decontamination_of_empty_tables(docs, empty, spark):
     bench = spark.createDataFrame([(7, " ".join(f"t{i}" for i in range(40)))], "item_id long, text string")
     assert decontamination.contaminated_pairs(empty, bench).count() == 0
     assert decontamination.decontaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def pipeline_rows() -> tuple[list[tuple], list[tuple], list[tuple]]:
+    """Documents with junk, a common line, near copies and reordered benchmark passages; labels; items."""
+    rng = random.Random(11)
+    item = [f"bench{i}" for i in range(30)]
+    base = prose(rng, 150)
+    texts = [" ".join(prose(rng, 80)) + "\nthe same closing line of every site\n" + " ".join(prose(rng, 40)) for _ in range(40)]
+    texts += [" ".join(f"junk{rng.randrange(30)}" for _ in range(100)) for _ in range(15)]
+    texts += [" ".join(f"w_{i}" if rng.random() < 0.01 * (i % 3) else w for w in base) for i in range(20)]
+    texts += [" ".join([*prose(rng, 60), *item[20:], *prose(rng, 30), *item[: 10 * (i % 3)], *prose(rng, 60)]) for i in range(9)]
+    texts += ["too short", "", None, "again and again " * 30, texts[0]]
+    documents = [(i, t, "en", f"site{i % 13}", len(t or "")) for i, t in enumerate(texts)]
+    return documents, [(i, int(i < 40 or i > 54), 0) for i in range(len(texts)) if i % 2], [(1, " ".join(item)), (2, "absent words of no document at all here")]
+
+
+def log_ratio_verdicts(texts: dict[int, str | None], trusted: set[int]) -> dict[int, float]:
+    """Scores from counts of whole n-grams, without hashing; documents that fail the base rules are left out."""
+    grams = {}
+    for i, text in texts.items():
+        w = WORD.findall(text or "")
+        grams[i] = [(a,) for a in w] + list(zip(w, w[1:]))
+    raw, target = Counter(g for x in grams.values() for g in x), Counter(g for i in trusted for g in grams[i])
+    part, scores = target.total() / raw.total(), {}
+    for i, text in texts.items():
+        w, again = WORD.findall(text or ""), set()
+        windows = Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+        for j in range(len(w) - 4):
+            again |= set(range(j, j + 5)) if windows[tuple(w[j : j + 5])] > 1 else set()
+        if len(w) >= 10 and 100 * len(again) <= 20 * len(w):
+            scores[i] = sum(math.log((target[g] + 4) / (raw[g] * part + 4)) for g in grams[i]) / len(grams[i])
+    return scores
+
+
+def naive_tiles(a: list[str], b: list[str], least: int = 5) -> int:
+    """Words of ``b`` covered by greedy string tiling, by trying every pair of places."""
+    free_a, free_b, covered = [True] * len(a), [True] * len(b), 0
+    while True:
+        best = (0, 0, 0)
+        for j in range(len(b)):
+            for i in range(len(a)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                best = max(best, (n, -j, -i))
+        n, j, i = best[0], -best[1], -best[2]
+        if n < least:
+            return covered
+        free_a[i : i + n] = free_b[j : j + n] = [False] * n
+        covered += n
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    documents, marks, items = pipeline_rows()
+    for name, rows, schema in (
+        ("documents", documents, "doc_id long, text string, lang string, source string, n_chars long"),
+        ("labels", marks, "doc_id long, quality int, toxic int"),
+        ("benchmark", items, "item_id long, text string"),
+    ):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    found: dict[int, list] = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+
+    texts, source = {i: t for i, t, *_ in documents}, {i: s for i, _, _, s, _ in documents}
+    scores = log_ratio_verdicts(texts, {i for i, q, _ in marks if q == 1})
+    assert all(abs(s + 0.25) > 0.03 for s in scores.values())  # no verdict hangs on a collision
+    texts = {i: t for i, t in texts.items() if scores.get(i, -1) >= -0.25}
+
+    sites, first = {}, {}
+    for i, text in texts.items():
+        for line in filter(WORD.search, text.split("\n")):
+            sites.setdefault(line, set()).add(source[i])
+            first.setdefault(line, i)
+    texts = {i: "\n".join(x for x in t.split("\n") if len(sites.get(x, ())) < 10 or first[x] == i) for i, t in texts.items()}
+
+    shingles = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in texts.items() for w in [WORD.findall(t.lower())]}
+    lowest = {i: i for i in shingles}
+    for _ in shingles:
+        for a in shingles:
+            for b in shingles:
+                if 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b]):
+                    lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    groups = len(set(lowest.values()))
+    assert 1 < groups < len(texts)
+    wanted = [x for x in (re.findall(r"[^\W_]+", t.lower()) for _, t in items)]
+    leaked = {i for i, t in texts.items() if any(naive_tiles(re.findall(r"[^\W_]+", t.lower()), x) >= 0.5 * len(x) for x in wanted)}
+    expected = {i for i in texts if lowest[i] == i} - leaked
+    assert leaked and len(texts) < len(documents) - 10
+    assert set(found) == expected
+
+    coder = Tokenizer.from_file(tokenizer_path())
+    coder.encode_special_tokens = True
+    for i, pieces in found.items():
+        ids = [*coder.encode(texts[i], add_special_tokens=False).ids, 1]
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            part = b"".join(x.to_bytes(4, "little") for x in ids[at : at + r.length])
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(part))
+            at += r.length
+        assert at == len(ids)
