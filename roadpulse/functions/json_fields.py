@@ -61,13 +61,18 @@ def is_clean(value: Column, record: Column, fields: dict[str, str]) -> Column:
     return F.coalesce(clean, F.lit(False))
 
 
-def path(name: str) -> str:
-    return "$" + "".join(f"['{part}']" for part in name.split("."))
+def path(name: str, literal: bool = False) -> str:
+    """Spark's path of a field: dots nest, unless the name is one ``literal`` key.
+
+    A key with an apostrophe is put in double quotes; Spark has no path for one with both marks.
+    """
+    parts = [name] if literal else name.split(".")
+    return "$" + "".join(f'["{part}"]' if "'" in part else f"['{part}']" for part in parts)
 
 
-def node(message: Column, name: str) -> Column:
+def node(message: Column, name: str, literal: bool = False) -> Column:
     """The field itself as VARIANT; NULL when absent, a VARIANT null when JSON null."""
-    return F.try_variant_get(message, path(name), "variant")
+    return F.try_variant_get(message, path(name, literal), "variant")
 
 
 def has_field(message: Column, name: str) -> Column:
@@ -196,9 +201,9 @@ def field_number(message: Column, name: str) -> Column:
     return number(found, kind_of(found))
 
 
-def field_text(message: Column, name: str) -> Column:
+def field_text(message: Column, name: str, literal: bool = False) -> Column:
     """The field's JSON text; NULL if absent or null."""
-    found = node(message, name)
+    found = node(message, name, literal)
     return json_text(found, kind_of(found))
 
 

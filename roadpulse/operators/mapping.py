@@ -53,11 +53,15 @@ def column_map(spec: str) -> dict[str, str]:
 def mapped(
     messages: DataFrame, columns: str | dict[str, str], value: str = "value", keep: tuple = ()
 ) -> DataFrame:
-    """One text column per mapping entry, read from the message key; a missing key is NULL."""
+    """One text column per mapping entry, read from the message key; a missing key is NULL.
+
+    A key is taken as it is written: ``a.b`` is the top-level key of that name.
+    """
     pairs = column_map(columns) if isinstance(columns, str) else columns
     parsed = messages.withColumn("_message", jf.parse_message(F.col(value)))
     return parsed.select(
-        *keep, *[jf.field_text(F.col("_message"), key).alias(name) for name, key in pairs.items()]
+        *keep,
+        *[jf.field_text(F.col("_message"), key, literal=True).alias(name) for name, key in pairs.items()],
     )
 
 

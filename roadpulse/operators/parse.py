@@ -63,7 +63,7 @@ def split_valid(
     """(accepted messages with their parsed form, rejected messages as they came)."""
     marked = with_validity(messages, consumer, value)
     accepted = keep_where(marked, F.col("is_valid")).drop("is_valid")
-    rejected = marked.where(~F.col("is_valid")).drop("is_valid", "message")
+    rejected = keep_where(marked, ~F.col("is_valid")).drop("is_valid", "message")
     return accepted, rejected
 
 

@@ -86,3 +86,9 @@ def test_composed_expressions_find_bare_names(frame):
     counts = mapping.null_parameters(frame, columns, headers="h").collect()
     missing = {row.column_name: row.null_parameters for row in counts}
     assert missing == {"x": 1, "twice": 0, "gone": 3, "sure": 0}
+
+
+def test_a_mapping_key_is_taken_as_written(texts):
+    frame = texts('{"a.b":1,"it\'s":2,"a":{"b":3}}', '{"a":{"b":3}}')
+    rows = mapping.mapped(frame, {"dotted": "a.b", "quoted": "it's", "whole": "a"}).collect()
+    assert [tuple(row) for row in rows] == [("1", "2", '{"b":3}'), (None, None, '{"b":3}')]
