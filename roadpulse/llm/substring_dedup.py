@@ -13,6 +13,9 @@ cost shards times corpus; here a passage only meets the shard that can match it,
 one seen is not added again. Equal passages are counted before they are sent, so a passage that many
 documents share reaches its shard once; all its holders get their spans by a join.
 
+An anchor with more passages than a shard may have (a shared passage that different words follow in
+each document) is hot: its windows are dealt singly by their own words to shards of a bounded size.
+
 Null and empty texts have no words. A null id takes no part and keeps its words. Rows that repeat an
 id and a text are cut alike. Only id and text are read, so further columns may have any name.
 """
@@ -31,8 +34,8 @@ from roadpulse.llm.shared import arrow_rows, by_batch, key_filter, repeated, sto
 
 WINDOW = 13
 ANCHOR = 10
-#: Words that one automaton holds at most before a shard starts another.
-SHARD_WORDS = 60_000
+#: Passages of one anchor that make one shard; the windows of an anchor with more are dealt singly, about as many to a shard.
+SHARD_PASSAGES = 3_750
 
 
 class SuffixAutomaton:
@@ -171,7 +174,7 @@ def _kinds(documents: DataFrame, shared) -> DataFrame:
 
 
 def _words_of(documents: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(anchor, doc, passage, words) of the given kinds, taken from their first holders."""
+    """(anchor, hot, doc, passage, words) of the given kinds, taken from their first holders."""
     wanted = key_filter(kinds.select("passage"))
 
     def columns(batch, text, anchor, name, start, size, words):
@@ -182,7 +185,7 @@ def _words_of(documents: DataFrame, kinds: DataFrame) -> DataFrame:
         return {"passage": tokens.signed(name[once]), "doc": doc[once], "words": pa.array(cut, pa.binary())}
 
     rows = _passage_rows(documents, lambda anchor, name: wanted.value.may_hold(name), "passage long, doc long, words binary", columns)
-    return rows.join(kinds.select("anchor", "passage", "doc"), ["passage", "doc"]).select("anchor", "doc", "passage", "words")
+    return rows.join(kinds.select("anchor", "hot", "passage", "doc"), ["passage", "doc"]).select("anchor", "hot", "doc", "passage", "words")
 
 
 def _places(documents: DataFrame, marks: DataFrame) -> DataFrame:
@@ -197,42 +200,79 @@ def _places(documents: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 class _Shard:
-    """The passages seen so far of one shard, in automata of a bounded size."""
+    """The words seen so far of one shard; as shards are of a bounded size, so is the automaton."""
 
     def __init__(self) -> None:
-        self.automata: list[SuffixAutomaton] = []
+        self.automaton = SuffixAutomaton()
         self.waiting: list[list] = []
         self.owner = None
 
-    def windows(self, doc: int, words: list) -> list[int]:
-        """First words of the windows that smaller documents hold."""
+    def upto(self, doc: int) -> None:
+        """Let the automaton have the words of documents smaller than ``doc``."""
         if doc != self.owner:
             for sequence in self.waiting:
-                if not self.automata or self.automata[-1].words > SHARD_WORDS:
-                    self.automata.append(SuffixAutomaton())
-                self.automata[-1].add(sequence)
+                self.automaton.add(sequence)
             self.waiting, self.owner = [], doc
-        found: set[int] = set()
-        for automaton in self.automata:
-            found.update(end - WINDOW + 1 for end, size in enumerate(automaton.matches(words)) if size >= WINDOW)
-        if len(found) < len(words) - WINDOW + 1:
-            self.waiting.append(words)
-        return sorted(found)
+
+    def windows(self, words: list) -> list[int]:
+        """First words of the windows that smaller documents hold."""
+        return [end - WINDOW + 1 for end, size in enumerate(self.automaton.matches(words)) if size >= WINDOW]
+
+
+def _whole_shards(passages: DataFrame) -> DataFrame:
+    """(shard, part, doc, passage, at, words): all passages of an anchor in one shard without parts."""
+    return passages.select(F.col("anchor").alias("shard"), F.lit(None).cast("int").alias("part"), "doc", "passage", F.lit(0).alias("at"), "words")
+
+
+def _windows(passages: DataFrame) -> DataFrame:
+    """(doc, passage, at, words): the single windows of passages; ``at`` is a window's first word."""
+    at = F.explode(F.sequence(F.lit(0), (F.length("words") / 4).cast("int") - WINDOW)).alias("at")
+    return passages.select("doc", "passage", "words", at).withColumn("words", F.expr(f"substring(words, 4 * at + 1, {4 * WINDOW})"))
+
+
+def _hot_shards(passages: DataFrame) -> DataFrame:
+    """(shard, part, doc, passage, at, words) of the passages of hot anchors.
+
+    A window goes to the shard that its own words name. A shard's references are the windows with
+    several holders, once each for the smallest; what streams through it is cut into parts, and each
+    part has the references. Rows are at most about twice the windows, however many holders one has.
+    """
+    windows = _windows(passages)
+    held = windows.groupBy("words").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    held = stored(held.where("doc < last").select("words", "doc", "n"), "hot-windows")
+    shard = F.pmod(F.xxhash64("words"), F.lit(max(1, -(-held.count() // SHARD_PASSAGES)))).alias("shard")
+    parts = held.groupBy(shard).agg(F.ceil(F.sum("n") / SHARD_PASSAGES).cast("int").alias("parts"))
+    parts = stored(parts, "hot-shards")
+    wanted = key_filter(held.select(F.xxhash64("words")))
+
+    def several(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(wanted.value.may_hold(batch.column(0).to_numpy())))
+
+    streamed = windows.select(F.xxhash64("words").alias("name"), "doc", "passage", "at", "words")
+    streamed = streamed.mapInArrow(by_batch(several), streamed.schema).withColumn("shard", shard).join(parts, "shard")
+    streamed = streamed.select("shard", F.pmod(F.xxhash64("passage"), "parts").cast("int").alias("part"), "doc", "passage", "at", "words")
+    known = held.withColumn("shard", shard).join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "doc", F.lit(None).cast("long").alias("passage"), F.lit(0).alias("at"), "words")
+    return known.unionByName(streamed)
 
 
 def _shard_spans(passages: DataFrame) -> DataFrame:
     """(passage, first, end): spans of words of a passage that smaller documents than its first
-    holder have. ``passages``: anchor, doc (the first holder), passage, words; by anchor and doc."""
+    holder have. ``passages``: shard, part, doc (the first holder), passage, at, words; by shard, part
+    and doc. Without a part, passages are references as well; else those without a name are."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, shard = None, _Shard()
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for where, doc, passage, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if where != name:
-                    name, shard = where, _Shard()
+            for where, part, doc, passage, at, raw in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if (where, part) != name:
+                    name, shard = (where, part), _Shard()
                 words = np.frombuffer(raw, "<u4").tolist()
-                out += [(passage, first, first + WINDOW) for first in shard.windows(doc, words)]
+                shard.upto(doc)
+                found = shard.windows(words) if passage is not None else []
+                out += [(passage, at + first, at + first + WINDOW) for first in found]
+                if passage is None or part is None and len(found) < len(words) - WINDOW + 1:
+                    shard.waiting.append(words)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["passage", "first", "end"])
 
@@ -246,10 +286,16 @@ def removed_spans(documents: DataFrame) -> DataFrame:
     kinds = stored(_kinds(keyed, key_filter(shared.select("anchor"))), "passage-kinds")
     # only where an anchor has several passages can a passage's first holder lose words
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
-    several = several.where("n > 1 and low < high").select("anchor")
-    compared = stored(kinds.join(several, "anchor", "left_semi"), "compared-passages")
-    words = _words_of(keyed, compared).repartition("anchor").sortWithinPartitions("anchor", "doc", "passage")
-    matched = _shard_spans(words).groupBy("passage").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    several = several.where("n > 1 and low < high").select("anchor", (F.col("n") > SHARD_PASSAGES).alias("hot"))
+    compared = stored(kinds.join(several, "anchor"), "compared-passages")
+    words = _words_of(keyed, compared)
+    if compared.where("hot").isEmpty():
+        dealt = _whole_shards(words)
+    else:
+        words = stored(words, "passage-words")
+        dealt = _whole_shards(words.where("not hot")).unionByName(_hot_shards(words.where("hot")))
+    dealt = dealt.repartition("shard", "part").sortWithinPartitions("shard", "part", "doc", "passage")
+    matched = _shard_spans(dealt).groupBy("passage").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     matched = stored(matched, "passage-spans")
     marks = stored(kinds.join(matched, "passage", "left").where("doc < last or spans is not null").select("passage", "doc", "size", "spans"), "passage-marks")
     found = _places(keyed, marks).join(marks, "passage")

@@ -119,6 +119,37 @@ def test_substrings_equal_brute_force(docs):
             assert r.n_removed == 0
 
 
+def test_substrings_of_hot_anchors_go_to_bounded_shards(spark, monkeypatch):
+    """A passage that other words surround in each document, some of them again and again."""
+    rng = random.Random(11)
+    passage = prose(rng, 16)
+    rows = []
+    for i in range(400):
+        before, after = ([f"{side}{rng.choice((rng.randrange(4), rng.randrange(10**6)))}" for _ in range(6)] for side in "ba")
+        rows.append((i * 7 % 400, " ".join(before + passage + after)))
+    seen: dict[tuple, int] = {}
+    expected = {}
+    for i, text in sorted(rows):
+        words = text.split()
+        gone = [False] * len(words)
+        for j in range(len(words) - 12):
+            if seen.setdefault(tuple(words[j : j + 13]), i) < i:
+                gone[j : j + 13] = [True] * 13
+        expected[i] = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+    sizes, spans = [], substring_dedup._shard_spans
+
+    def counted(passages):
+        group = passages.columns[: passages.columns.index("doc")]
+        sizes.append(passages.groupBy(*group).count().agg({"count": "max"}).first()[0])
+        return spans(passages)
+
+    monkeypatch.setattr(substring_dedup, "_shard_spans", counted)
+    monkeypatch.setattr(substring_dedup, "SHARD_PASSAGES", 20, raising=False)
+    found = substring_dedup.kept_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: r.kept for r in found.collect()} == expected
+    assert max(sizes) <= 100
+
+
 def test_suffix_automaton_gives_matching_statistics():
     rng = random.Random(2)
     for _ in range(60):
