@@ -1,17 +1,22 @@
-"""Substring dedup with suffix automata of reference shards.
+"""Substring dedup with passage hashes and suffix automata of reference shards.
 
 A window is ``window`` consecutive words of a text. A word is removed if it lies in a window whose
 words also start somewhere in a document with a smaller id.
 
 Every window has one anchor, the n-gram of least hash in it; equal windows have equal anchors. Only
-anchors that two documents hold can lead to a removal. The passages around those (the words that
-windows with that anchor can reach) are sent to the shard that the anchor's hash names. A shard takes
-its passages in order of document: each is streamed through the suffix automaton of the passages
-of smaller documents, and maximal spans that match at least ``window`` words are marked; then passages
-that bring new windows are added to the automaton. Broadcasting every shard to all documents would
-cost shards times corpus; here a passage only meets the shard that can match it, and a passage equal to
-one seen is not added again. Equal passages are counted before they are sent, so a passage that many
-documents share reaches its shard once; all its holders get their spans by a join.
+anchors that two documents hold can lead to a removal. Around those lie the passages: the words, 13 to
+16 of them, that the windows with that anchor can reach. Two ways lead to the spans that are removed:
+
+* Whole equal passages (exact copies, the inside of every shared passage) are found by a hash of their
+  words: a group-by keeps the smallest holder, and all later holders lose the passage by a join. No
+  automaton sees those.
+* Where an anchor has several distinct passages (at the edges of shared passages), each is sent once, from
+  its smallest holder, to the shard that the anchor names. A shard takes its passages in order of
+  document: each is streamed through the suffix automaton of the passages of smaller documents, and spans
+  that match at least ``window`` words are marked; then passages that bring new windows are added.
+
+The named method, automata of all reference shards broadcast to all documents, would cost shards times
+corpus; README has figures.
 
 An anchor with more passages than a shard may have (a shared passage that different words follow in
 each document) is hot: its windows are dealt singly by their own words to shards of a bounded size.
