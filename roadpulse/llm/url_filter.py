@@ -9,7 +9,7 @@ An add that repeats an add, or a remove without an add, changes nothing; of entr
 remove wins. Entries with a null list, kind, key, action or day are left out, as are unknown actions.
 A capture with a null URL, host or day is allowed. Each capture is a row; captures that repeat an id
 should have equal URLs and days, else the strictest of their verdicts holds for all. Only the columns
-named below are read.
+named below are read. A URL gets keys of as many path segments as the longest key of the entries has.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PATH_SEGMENTS = 3
-
 
 def host(url: Column) -> Column:
     """Lower-case host of a URL without user and port; empty if there is none."""
@@ -29,12 +27,12 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def keys(url: Column) -> Column:
-    """All keys that can match a URL: its host, the parent domains, the host with path segments."""
+def keys(url: Column, most: int) -> Column:
+    """All keys that can match a URL: its host, the parent domains, the host with up to ``most`` path segments."""
     name, labels = host(url), F.split(host(url), r"\.")
     segments = F.filter(F.split(path(url), "/"), lambda s: s != "")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    count = F.least(F.size(segments), F.lit(PATH_SEGMENTS))
+    count = F.least(F.size(segments), F.lit(most))
     paths = F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.concat_ws("/", name, F.array_join(F.slice(segments, 1, i), "/"))))
     return F.when(name != "", F.array_distinct(F.concat(domains, F.coalesce(paths, F.array().cast("array<string>")))))
 
@@ -58,8 +56,9 @@ def verdicts(captures: DataFrame, entries: DataFrame) -> DataFrame:
     ``captures``: capture_id, url, fetched_on. Each distinct (key, day) is looked up once, so a host
     with a third of all captures costs one lookup a day; then captures pick up what was found.
     """
-    asked = captures.select("capture_id", "fetched_on", F.explode_outer(keys(F.col("url"))).alias("key"))
     active = intervals(entries)
+    most = entries.agg(F.max(F.size(F.split("key", "/")) - 1).alias("n")).first().n or 0
+    asked = captures.select("capture_id", "fetched_on", F.explode_outer(keys(F.col("url"), most)).alias("key"))
     probes = asked.where("key is not null and fetched_on is not null").select("key", "fetched_on").distinct()
     current = (F.col("since") <= F.col("fetched_on")) & (F.col("until").isNull() | (F.col("fetched_on") < F.col("until")))
     found = probes.join(active, "key").where(current).groupBy("key", "fetched_on")

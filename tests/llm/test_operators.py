@@ -288,6 +288,15 @@ def test_url_filter_uses_entries_active_at_fetch_time(spark):
     assert url_filter.verdicts(captures, entries.limit(0)).where("blocked").count() == 0
 
 
+def test_url_filter_finds_entries_with_deep_paths(spark):
+    rows = [("l", "block", "a.com/1/2/3/4/5"), ("w", "allow", "a.com/1/2/3/4/5/6"), ("l", "block", "b.com")]
+    entries = spark.createDataFrame(rows, "list string, kind string, key string").selectExpr("*", "'add' AS action", "DATE '2024-01-01' AS on_day")
+    urls = ["http://a.com/1/2/3/4/5?q", "http://a.com/1/2/3/4", "http://a.com/1//2/3/4/5/6/7/8", "http://b.com/1/2/3/4/5/6/7"]
+    captures = spark.createDataFrame(list(enumerate(urls)), "capture_id long, url string").selectExpr("*", "DATE '2024-01-02' AS fetched_on")
+    found = {r.capture_id: (r.blocked, r.n_active, r.decided_by) for r in url_filter.verdicts(captures, entries).collect()}
+    assert found == {0: (True, 1, "a.com/1/2/3/4/5"), 1: (False, 0, None), 2: (False, 2, "a.com/1/2/3/4/5/6"), 3: (True, 1, "b.com")}
+
+
 def test_empty_tables(empty, spark):
     assert ngram_join.near_duplicates(empty).count() == 0
     assert substring_dedup.kept_words(empty).count() == 0
