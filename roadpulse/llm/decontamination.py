@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are sequences of lower-cased words of letters and digits. A join on
+Documents and benchmark items are sequences of lower-cased words of letters and digits; punctuation, symbols
+and spaces of all of Unicode part words, and each character of an unspaced script is a word. A join on
 shared word n-grams (seeds) finds the pairs whose seeds could cover enough of the item. For those the
 longest matches that don't overlap are marked again and again, found by running Karp-Rabin hashes of
 a shrinking window, until none of at least ``min_match`` words is left. Tiles may lie in any order, so
@@ -8,7 +9,8 @@ reordered passages are caught. A document is contaminated by an item if its tile
 ``threshold`` of the item's words.
 
 The benchmark is taken in blocks of a bounded size, each against all documents. Null texts and ids
-take no part, nor do items with fewer than ``min_match`` words. Rows that repeat an id and an item
+take no part, nor do items without words. An item with fewer than ``min_match`` words has no tiles; it
+contaminates a document that holds all its words in a row. Rows that repeat an id and an item
 give one result, that with the largest cover. Only id and text columns are read.
 """
 
@@ -32,11 +34,14 @@ THRESHOLD = 0.5
 #: Characters of benchmark text that are broadcast at once.
 BLOCK_CHARS = 8_000_000
 _FILTER_BITS = 1 << 23
+_PARTS = r"[\p{P}\p{S}\p{Z}\x{85}]"
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 PAIRS = "doc_id long, item_id long, item_words long, covered long, n_tiles long, longest long"
 
 
 def token_words(column: pa.Array) -> Iterator[tuple[int, int, tokens.Words]]:
-    for row, end, data, bounds in tokens.slices(pc.utf8_lower(column)):
+    parted = pc.replace_substring_regex(pc.utf8_lower(column), _PARTS, " ")
+    for row, end, data, bounds in tokens.slices(pc.replace_substring_regex(parted, _UNSPACED, r" \1 ")):
         yield row, end, tokens.words(data, bounds, tokens.PLAIN)
 
 
@@ -106,10 +111,12 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     maybe: KeyFilter
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by number of words: sorted hashes of whole items, items
 
     @classmethod
     def of(cls, ids: list[int], texts: pa.Array, n: int) -> Items:
         kept, seeds, item, place = [], [], [], []
+        whole: dict[int, list[tuple[int, int]]] = {}
         for row, end, found in token_words(texts):
             first = found.first
             for i in range(end - row):
@@ -120,16 +127,27 @@ class Items:
                     place.append(np.arange(len(hashes)))
                     item.append(np.full(len(hashes), len(kept)))
                     kept.append((ids[row + i], words))
+                elif len(words):
+                    whole.setdefault(len(words), []).append((int(_window_hashes(words, len(words))[0]), len(kept)))
+                    kept.append((ids[row + i], words))
         seed = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         order = np.argsort(seed, kind="stable")
         bits = np.zeros(_FILTER_BITS, bool)
         bits[KeyFilter.slots(seed, _FILTER_BITS)] = True
         at, where = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (item, place))
-        return cls([i for i, _ in kept], [w for _, w in kept], seed[order], at, where, KeyFilter(np.packbits(bits, bitorder="little")))
+        short = {k: (np.array([h for h, _ in sorted(v)], np.uint64), np.array([i for _, i in sorted(v)])) for k, v in whole.items()}
+        return cls([i for i, _ in kept], [w for _, w in kept], seed[order], at, where, KeyFilter(np.packbits(bits, bitorder="little")), short)
 
 
 def _contaminated(column: pa.Array, items: Items, min_match: int, threshold: float) -> Iterator[tuple]:
     for row, _, found in token_words(column):
+        for size, (known, which) in items.short.items():
+            at, hashes = tokens.grams(found, size)
+            low, high = (np.searchsorted(known, hashes, side) for side in ("left", "right"))
+            text = np.repeat(np.searchsorted(found.first, at, "right") - 1, high - low)
+            item = which[np.repeat(low, high - low) + tokens.ranges(high - low)]
+            for t, i in np.unique(np.stack((text, item)), axis=1).T.tolist():
+                yield row + t, i, [(0, 0, size)]
         at, hashes = tokens.grams(found, min_match)
         held = items.maybe.may_hold(hashes)
         at, hashes = at[held], hashes[held]

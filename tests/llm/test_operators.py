@@ -240,6 +240,14 @@ def test_tiles_catch_reordered_passages(spark):
     assert decontamination.contaminated_pairs(docs, bench.limit(0)).count() == 0
 
 
+def test_short_and_unspaced_items_are_looked_for(spark):
+    items = [(1, "東京は日本の首都です"), (2, "the \u201cbig\u201d cat\u2014dog ran\u00a0off home"), (3, "Two words"), (4, "two WORDS!"), (5, "..."), (6, "กรุงเทพมหานคร")]
+    rows = [(1, "x 東京は日本の首都です。"), (2, 'so the "big" cat-dog ran off home'), (3, "a two, words b two words"), (4, "words two"), (5, "首都 ... です"), (6, "ไปกรุงเทพมหานครกัน"), (7, "")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.item_words, r.covered, r.n_tiles, r.longest) for r in decontamination.contaminated_pairs(docs, bench).collect()}
+    assert found == {(1, 1): (10, 10, 1, 10), (2, 2): (7, 7, 1, 7), (3, 3): (2, 2, 1, 2), (3, 4): (2, 2, 1, 2), (6, 6): (13, 13, 1, 13)}
+
+
 def test_classifiers_on_awkward_rows(docs, empty, spark):
     scores = quality_classifier.quality_scores(docs, labels(spark)).collect()
     assert len(scores) == len(awkward()) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scores)
