@@ -40,9 +40,11 @@ PAIRS = "doc_id long, item_id long, item_words long, covered long, n_tiles long,
 
 
 def token_words(column: pa.Array) -> Iterator[tuple[int, int, tokens.Words]]:
-    parted = pc.replace_substring_regex(pc.utf8_lower(column), _PARTS, " ")
-    for row, end, data, bounds in tokens.slices(pc.replace_substring_regex(parted, _UNSPACED, r" \1 ")):
-        yield row, end, tokens.words(data, bounds, tokens.PLAIN)
+    """Words of one slice of the texts after another; only a slice is rewritten at once."""
+    for row, end, _, _ in tokens.slices(column):
+        parted = pc.replace_substring_regex(pc.utf8_lower(column.slice(row, end - row)), _PARTS, " ")
+        parted = pc.replace_substring_regex(parted, _UNSPACED, r" \1 ")
+        yield row, end, tokens.words(*tokens.as_bytes(parted), tokens.PLAIN)
 
 
 def _window_hashes(words: np.ndarray, n: int) -> np.ndarray:

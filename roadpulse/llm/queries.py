@@ -19,12 +19,13 @@ from roadpulse.llm import (
     url_filter,
     warc_bundles,
 )
+from roadpulse.llm.shared import bounded_batches
 
 FIRST_DAY = "2024-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tokenizer_path() -> str:

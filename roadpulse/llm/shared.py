@@ -17,6 +17,23 @@ FILTER_BITS = 1 << 26
 _CHUNK_BITS = 1 << 18
 
 
+#: Bytes of rows that go to or from Python at once; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Let no more than ``BATCH_BYTES`` of rows into one Arrow batch of this session.
+
+    Spark's own limit of 64 MB holds for each of a stage's Python workers and for the executor's
+    side of each; with several copies of a text inside a worker that is more than small executors have.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def folder(spark: SparkSession) -> str:
     """A folder of this application that the driver and all executors share."""
     return f"{app_folder(spark)}/llm"
