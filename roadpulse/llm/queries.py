@@ -16,7 +16,9 @@ from roadpulse.llm import (
     quality_classifier,
     quality_rules,
     substring_dedup,
+    turn_trie,
     url_filter,
+    vector_codes,
     warc_bundles,
 )
 from roadpulse.llm.shared import bounded_batches
@@ -104,6 +106,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.reported(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,6 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_line_dedup,
         op10_language_id,
+        op11_vector_codes,
+        op12_turn_trie,
     )
 }
 
@@ -211,3 +223,83 @@ ORACLES: dict[str, str] = {
         FROM marked GROUP BY doc_id
     """,
 }
+
+
+def _code_rounds(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """SQL of the codes: one pair of steps a round."""
+    steps = [f"""
+        WITH k AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS MATERIALIZED (
+          SELECT vec_id, label, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS w
+          FROM k, (SELECT unnest(range({parts})) AS part)
+        ), b0 AS MATERIALIZED (
+          SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, w AS c FROM p
+          QUALIFY entry < {entries}
+        )"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+          SELECT vec_id, p.part, any_value(label) AS label, any_value(w) AS w,
+            min({{'d': list_sum(list_transform(list_zip(w, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': entry}}) AS best
+          FROM p JOIN b{i} USING (part) GROUP BY vec_id, p.part
+        )""")
+        if i < rounds:
+            steps.append(f"""u{i} AS (
+          SELECT part, entry, list(m ORDER BY place) AS c FROM (
+            SELECT part, entry, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m
+            FROM (SELECT part, best.e AS entry, unnest(w) AS x, unnest(range(len(w))) AS place FROM a{i})
+            GROUP BY part, entry, place)
+          GROUP BY part, entry
+        ), b{i + 1} AS MATERIALIZED (
+          SELECT part, entry, coalesce(u{i}.c, b{i}.c) AS c FROM b{i} LEFT JOIN u{i} USING (part, entry)
+        )""")
+    return ",\n        ".join(steps) + f""", r AS (
+          SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+          FROM a{rounds} GROUP BY vec_id
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+          (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+        FROM r"""
+
+
+ORACLES["op11_vector_codes"] = _code_rounds()
+
+ORACLES["op12_turn_trie"] = f"""
+    WITH t AS (
+      SELECT conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS m,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), crc AS (
+      SELECT conv_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda s, c: list_reduce(list_prepend(xor(s, c), range(8)),
+          lambda z, i: xor(z >> 1, CASE WHEN z & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))) AS left_over
+      FROM (SELECT DISTINCT conv_id FROM t)
+    ), h AS (
+      SELECT conv_id, xor(left_over, 4294967295::BIGINT) % {turn_trie.MOST_TURNS} AS h FROM crc
+    ), seq AS (
+      SELECT h.conv_id, list(m ORDER BY side, pos) FILTER (m IS NOT NULL) AS ms FROM h LEFT JOIN (
+        SELECT h.conv_id, 0 AS side, pos, m FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % {turn_trie.BASE_EVERY} AND pos <= h
+        UNION ALL SELECT t.conv_id, 1, pos, m FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h
+      ) USING (conv_id) GROUP BY h.conv_id
+    ), member AS MATERIALIZED (
+      SELECT conv_id, d, ms[1:d] AS path, d = len(ms) AS ends
+      FROM (SELECT conv_id, coalesce(ms, []) AS ms, unnest(range(len(coalesce(ms, [])) + 1)) AS d FROM seq)
+    ), node AS MATERIALIZED (
+      SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ended
+      FROM member GROUP BY path, d
+    ), kids AS (
+      SELECT path[1:d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL
+    ), own AS (
+      SELECT node.path, d, coalesce(kids.n, 0) AS children,
+        CASE WHEN d = 0 THEN 0 ELSE (node.n - 1) * octet_length(encode(node.path[d].t)) END AS saved
+      FROM node LEFT JOIN kids USING (path)
+    ), up AS (
+      SELECT path[1:e] AS path, count(*) FILTER (children = 0) AS leaves, sum(saved) AS saved
+      FROM (SELECT *, unnest(range(d + 1)) AS e FROM own) GROUP BY path[1:e]
+    )
+    SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+      CAST(own.children AS BIGINT) AS n_children, CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens,
+      sha256(coalesce(node.ended, '')) AS ends_sha256
+    FROM node JOIN own USING (path) JOIN up USING (path) LEFT JOIN node p ON node.d > 0 AND p.path = node.path[1:node.d - 1]
+"""
