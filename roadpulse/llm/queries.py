@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm import (
     decontamination,
     language_id,
+    license_scan,
     line_dedup,
     ngram_join,
     packing,
@@ -114,6 +115,10 @@ def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_id,
         op11_vector_codes,
         op12_turn_trie,
+        op13_license_scan,
     )
 }
 

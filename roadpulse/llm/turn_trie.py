@@ -25,6 +25,7 @@ nodes by two more. Only conv_id, turn, role and text are read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -81,7 +82,7 @@ def _node(sums: list[Column], depth: Column) -> tuple[Column, Column]:
 
 def _level(depth: Column) -> Column:
     """The round that looks at this depth: 1, then 2 and 3, then 4 to 7, and so on."""
-    return F.floor(F.log2(depth.cast("double"))).cast("int")
+    return F.length(F.bin(depth)) - 1
 
 
 def turn_rows(turns: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def turn_rows(turns: DataFrame) -> DataFrame:
     px, py = _node([s - F.col(f"_own{i}") for i, s in enumerate(sums)], depth - 1)
     rows = run.select("conv_id", "depth", "length", x.alias("x"), y.alias("y"), px.alias("px"), py.alias("py"), "bytes", _level(depth).alias("level"))
     spark = rows.sparkSession
-    path = f"{folder(spark)}/turn-rows-{turns.semanticHash() & 0xFFFFFFFF:x}-{id(rows):x}"
+    path = f"{folder(spark)}/turn-rows-{uuid.uuid4().hex}"
     rows.write.mode("errorifexists").partitionBy("level").parquet(path)
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     return spark.read.schema(kind).parquet(path)
