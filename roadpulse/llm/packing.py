@@ -31,6 +31,8 @@ PAD = 0
 MEMORY_WORDS = 600_000
 _AT_ONCE = 500
 _SLOT_BITS = 22
+#: Sets added tokens apart from the same letters in other case.
+_ADDED = np.uint64(0x1D872B41A0C3F5E7)
 _LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -41,7 +43,8 @@ class WordEncoder:
 
     A text's ids are then those of its pieces one after another, and each distinct piece is encoded
     once. A piece is a word, or a run of letters or of other characters in a word that holds only
-    ASCII and Latin-1 letters and no apostrophe.
+    ASCII and Latin-1 letters and no apostrophe. The tokenizer's added tokens are cut out of words first,
+    as the tokenizer does, and are pieces of their own; other case is other text for them.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -49,9 +52,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = np.uint16 if max(vocabulary.values()) <= 0xFFFF else np.uint32
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("only plain added tokens are supported")
+        self.added = [t.content.encode() for t in added]
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self._forget()
@@ -80,9 +86,34 @@ class WordEncoder:
             breaks, word = breaks[fits], word[fits]
             strange = np.concatenate(([0], np.cumsum(odd)))
             breaks = breaks[strange[end[word]] == strange[start[word]]]
-            start, end = np.sort(np.concatenate((start, breaks))), np.sort(np.concatenate((end, breaks)))
+            first, last = self._added(data, start, end)
+            if len(first):
+                at = np.searchsorted(first, breaks, "right") - 1
+                breaks = breaks[(at < 0) | (breaks >= last[at])]
+                begins, stops = np.concatenate((first, last)), np.concatenate((last, first))
+                start, end = np.union1d(start, np.setdiff1d(begins, end)), np.union1d(end, np.setdiff1d(stops, start))
+            start, end = np.union1d(start, breaks), np.union1d(end, breaks)
+        else:
+            first = start[:0]
         counts = np.diff(np.searchsorted(start, bounds))
-        return tokens.Words(counts, start, end - start, tokens.hash_spans(data, start, end, tokens.LOWER))
+        hashes = tokens.hash_spans(data, start, end, tokens.LOWER)
+        if len(first):
+            hashes[np.searchsorted(start, first)] ^= _ADDED
+        return tokens.Words(counts, start, end - start, hashes)
+
+    def _added(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where added tokens stand within words, in order."""
+        raw, found = data.tobytes(), []
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                word = int(np.searchsorted(start, at, "right")) - 1
+                inside = word >= 0 and at + len(token) <= end[word]  # or it lies across two texts
+                if inside:
+                    found.append((at, at + len(token)))
+                at = raw.find(token, at + (len(token) if inside else 1))
+        spans = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
 
     def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         coded = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
