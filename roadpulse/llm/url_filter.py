@@ -7,9 +7,8 @@ decides; if a block and an allow list hold it, block wins. Without an active key
 
 An add that repeats an add, or a remove without an add, changes nothing; of entries on the same day the
 remove wins. Entries with a null list, kind, key, action or day are left out, as are unknown actions.
-A capture with a null URL, host or day is allowed. Each capture is a row; captures that repeat an id
-should have equal URLs and days, else the strictest of their verdicts holds for all. Only the columns
-named below are read. A URL gets keys of as many path segments as the longest key of the entries has.
+A capture with a null URL, host or day is allowed. Each capture is a row, also where ids repeat or are null;
+verdicts follow from URL and day alone. Only the columns named below are read. A URL gets keys of as many path segments as the longest key of the entries has.
 """
 
 from __future__ import annotations
@@ -54,16 +53,20 @@ def verdicts(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(capture_id, blocked, n_active, decided_by) of every capture.
 
     ``captures``: capture_id, url, fetched_on. Each distinct (key, day) is looked up once, so a host
-    with a third of all captures costs one lookup a day; then captures pick up what was found.
+    with a third of all captures costs one lookup a day; each distinct (URL, day) is judged once, and only keys
+    that are found go on. Captures then pick up their verdict.
     """
     active = intervals(entries)
     most = entries.agg(F.max(F.size(F.split("key", "/")) - 1).alias("n")).first().n or 0
-    asked = captures.select("capture_id", "fetched_on", F.explode_outer(keys(F.col("url"), most)).alias("key"))
-    probes = asked.where("key is not null and fetched_on is not null").select("key", "fetched_on").distinct()
+    captures = captures.select("capture_id", "url", "fetched_on")
+    judged = captures.where("url is not null and fetched_on is not null").select("url", "fetched_on").distinct()
+    asked = judged.select("url", "fetched_on", F.explode(keys(F.col("url"), most)).alias("key"))
+    probes = asked.select("key", "fetched_on").distinct()
     current = (F.col("since") <= F.col("fetched_on")) & (F.col("until").isNull() | (F.col("fetched_on") < F.col("until")))
     found = probes.join(active, "key").where(current).groupBy("key", "fetched_on")
     found = found.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind") == "block").alias("blocked"))
     rank = F.struct(F.length("key").alias("size"), F.col("blocked"), F.col("key"))
-    rows = asked.join(found, ["key", "fetched_on"], "left").withColumn("rank", F.when(F.col("n").isNotNull(), rank))
-    best = rows.groupBy("capture_id").agg(F.max("rank").alias("best"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_active"))
-    return best.select("capture_id", F.coalesce("best.blocked", F.lit(False)).alias("blocked"), "n_active", F.col("best.key").alias("decided_by"))
+    rows = asked.join(found, ["key", "fetched_on"])
+    best = rows.groupBy("url", "fetched_on").agg(F.max(rank).alias("best"), F.sum("n").alias("n_active"))
+    whole = captures.join(best, ["url", "fetched_on"], "left")
+    return whole.select("capture_id", F.coalesce("best.blocked", F.lit(False)).alias("blocked"), F.coalesce("n_active", F.lit(0)).alias("n_active"), F.col("best.key").alias("decided_by"))
