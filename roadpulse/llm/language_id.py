@@ -28,6 +28,8 @@ from roadpulse.llm.shared import arrow_rows, by_batch
 
 #: Texts of each language that are learnt from, at most.
 SAMPLE_ROWS = 500
+#: Languages that are learnt, the most frequent ones; others are never predicted.
+MOST_LANGUAGES = 256
 FOLDS, FOLD = 4, 2
 BITS = 15
 UNKNOWN = "und"
@@ -156,17 +158,22 @@ def _fitted(rows: Rows, label: np.ndarray, languages: list[str], family_of: dict
 _MODEL = "languages array<string>, families array<array<long>>, pairs array<array<long>>, weights binary, bias binary"
 
 
-def learnt(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dict[str, tuple[str, ...]] | None = None) -> Hierarchy | None:
-    """Learn in one task from at most ``sample_rows`` texts of each language."""
-    family_of = {language: name for name, members in (families or FAMILIES).items() for language in members}
+def sampled(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """(doc_id, lang) of at most ``sample_rows`` labelled documents of each of the most frequent languages."""
     known = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     known = known.where("doc_id is not null and lang is not null").where(~held_out("doc_id", FOLDS, FOLD))
-    # the hash is even, so about twice the sample passes and no language fills the window's task
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # the hash is even, so about twice the sample passes before any shuffle and no language fills the window's task
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("_n") < F.lit(2 * sample_rows + 100) * (1 << 20)
-    known = known.join(counts, "lang").where(share)
+    known = known.join(F.broadcast(counts), "lang").where(share)
     ranked = known.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")))
-    sample = F.broadcast(ranked.where(F.col("_rank") <= sample_rows).select("doc_id", "lang").distinct())
+    return ranked.where(F.col("_rank") <= sample_rows).select("doc_id", "lang").distinct()
+
+
+def learnt(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dict[str, tuple[str, ...]] | None = None) -> Hierarchy | None:
+    """Learn in one task from at most ``sample_rows`` texts of each language."""
+    family_of = {language: name for name, members in (families or FAMILIES).items() for language in members}
+    sample = F.broadcast(sampled(documents, sample_rows))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     chosen = texts.where("text is not null").join(sample, ["doc_id", "lang"])
 
