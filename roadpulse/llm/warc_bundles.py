@@ -31,13 +31,16 @@ MIN_REVISIT = 1000
 FRAME_BYTES = 512 * 1024
 BUNDLE_BYTES = 256 * 1024 * 1024
 LEVEL = 3
+#: Compressed bytes that a task reads back, and tasks of one job at most.
+RANGE_BYTES = 32 * 1024 * 1024
+MOST_TASKS = 50_000
 #: WARC-Date of every record; the input has no time of capture.
 DATE = "1970-01-01T00:00:00Z"
 # Fixed values of the formats.
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, bundle string, frame_offset long, frame_bytes long, record_offset long, record_bytes long"
-RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 _URN = "urn:x-page:"
 
 
@@ -125,7 +128,7 @@ def parse(data: bytes) -> Iterator[tuple]:
         if kind == "response" and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != size):
             raise ValueError(f"record {head['WARC-Record-ID']} is damaged")
         page, refers = (x.removeprefix(f"<{_URN}").removesuffix(">") if x else "" for x in (head["WARC-Record-ID"], head.get("WARC-Refers-To")))
-        yield int(page) if page else None, head.get("WARC-Target-URI"), kind, size, digest, int(refers) if refers else None, payload if kind == "response" else None
+        yield int(page) if page else None, size, digest, kind, int(refers) if refers else None, head.get("WARC-Target-URI"), payload if kind == "response" else None
 
 
 def write_bundles(pages: DataFrame, target: str | None = None) -> DataFrame:
@@ -175,24 +178,33 @@ def write_bundles(pages: DataFrame, target: str | None = None) -> DataFrame:
 
 
 def _records(found: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), kinds, strict=True)], [x.split()[0] for x in RECORDS.split(", ")])
 
 
 def read_bundles(index: DataFrame) -> DataFrame:
-    """All records of the indexed bundles, frame by frame by way of their seek tables."""
+    """All records of the indexed bundles, frame by frame by way of their seek tables.
+
+    A bundle is read in ranges of frames of about ``RANGE_BYTES``, each by a task of its own.
+    """
+
+    width = RANGE_BYTES
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = zstandard.ZstdDecompressor()
         for batch in batches:
-            for bundle in batch.column(0).to_pylist():
+            for bundle, own, ranges in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 system, path = _filesystem(bundle)
                 with system.open_input_file(path) as file:
                     for at, packed, plain in seek_table(file):
+                        if min(at // width, ranges - 1) != own:
+                            continue
                         yield _records(list(parse(decoder.decompress(file.read_at(packed, at), max_output_size=plain))))
 
-    bundles = index.select("bundle").distinct()
-    return bundles.repartition(F.col("bundle")).mapInArrow(read, RECORDS)
+    bundles = index.groupBy("bundle").agg((F.floor(F.max("frame_offset") / width) + 1).alias("ranges"))
+    own = F.explode(F.sequence(F.lit(0).cast("long"), F.col("ranges") - 1)).alias("own")
+    ranges = stored(bundles.select("bundle", own, "ranges"), "bundle-ranges")
+    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS))).mapInArrow(read, RECORDS)
 
 
 def lookup(index: DataFrame, page_ids: DataFrame) -> DataFrame:
@@ -215,7 +227,8 @@ def lookup(index: DataFrame, page_ids: DataFrame) -> DataFrame:
                 yield _records(found)
 
     places = wanted.select("bundle", "frame_offset", "frame_bytes", "record_offset", "record_bytes")
-    ordered = places.repartition("bundle", "frame_offset").sortWithinPartitions("bundle", "frame_offset")
+    tasks = max(1, min(places.select("bundle", "frame_offset").distinct().count(), MOST_TASKS))
+    ordered = places.repartition(tasks, "bundle", "frame_offset").sortWithinPartitions("bundle", "frame_offset")
     return ordered.mapInArrow(read, RECORDS)
 
 
