@@ -10,17 +10,15 @@ anchors that two documents hold can lead to a removal. Around those lie the pass
 * Whole equal passages (exact copies, the inside of every shared passage) are found by a hash of their
   words: a group-by keeps the smallest holder, and all later holders lose the passage by a join. No
   automaton sees those.
-* Where an anchor has several distinct passages (at the edges of shared passages), each is sent once, from
-  its smallest holder, to the shard that the anchor names. A shard takes its passages in order of
-  document: each is streamed through the suffix automaton of the passages of smaller documents, and spans
-  that match at least ``window`` words are marked; then passages that bring new windows are added.
+* Where an anchor has several distinct passages (at the edges of shared passages), each brings its windows once,
+  from its smallest holder. Windows that several passages hold go to the shard that their words name, which has
+  a bounded size; what streams through a shard is cut into parts, however many passages hold one window. A shard
+  takes its windows in order of document: each is streamed through the suffix automaton of those of smaller
+  documents, and spans that match at least ``window`` words are marked.
 
 The named method, automata of all reference shards broadcast to all documents, would cost shards times
 corpus; README has figures.
 
-An anchor with more passages than a shard may have (a shared passage that different words follow in
-each document) is hot: its windows are dealt singly by their own words to shards of a bounded size.
-
 Null and empty texts have no words. A null id takes no part and keeps its words. Rows that repeat an
 id and a text are cut alike. Only id and text are read, so further columns may have any name.
 """
@@ -179,7 +177,7 @@ def _kinds(documents: DataFrame, shared) -> DataFrame:
 
 
 def _words_of(documents: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(anchor, hot, doc, passage, words) of the given kinds, taken from their first holders."""
+    """(anchor, doc, passage, words) of the given kinds, taken from their first holders."""
     wanted = key_filter(kinds.select("passage"))
 
     def columns(batch, text, anchor, name, start, size, words):
@@ -190,7 +188,7 @@ def _words_of(documents: DataFrame, kinds: DataFrame) -> DataFrame:
         return {"passage": tokens.signed(name[once]), "doc": doc[once], "words": pa.array(cut, pa.binary())}
 
     rows = _passage_rows(documents, lambda anchor, name: wanted.value.may_hold(name), "passage long, doc long, words binary", columns)
-    return rows.join(kinds.select("anchor", "hot", "passage", "doc"), ["passage", "doc"]).select("anchor", "hot", "doc", "passage", "words")
+    return rows.join(kinds.select("anchor", "passage", "doc"), ["passage", "doc"]).select("anchor", "doc", "passage", "words")
 
 
 def _places(documents: DataFrame, marks: DataFrame) -> DataFrame:
@@ -224,19 +222,14 @@ class _Shard:
         return [end - WINDOW + 1 for end, size in enumerate(self.automaton.matches(words)) if size >= WINDOW]
 
 
-def _whole_shards(passages: DataFrame) -> DataFrame:
-    """(shard, part, doc, passage, at, words): all passages of an anchor in one shard without parts."""
-    return passages.select(F.col("anchor").alias("shard"), F.lit(None).cast("int").alias("part"), "doc", "passage", F.lit(0).alias("at"), "words")
-
-
 def _windows(passages: DataFrame) -> DataFrame:
     """(doc, passage, at, words): the single windows of passages; ``at`` is a window's first word."""
     at = F.explode(F.sequence(F.lit(0), (F.length("words") / 4).cast("int") - WINDOW)).alias("at")
     return passages.select("doc", "passage", "words", at).withColumn("words", F.expr(f"substring(words, 4 * at + 1, {4 * WINDOW})"))
 
 
-def _hot_shards(passages: DataFrame) -> DataFrame:
-    """(shard, part, doc, passage, at, words) of the passages of hot anchors.
+def _shards(passages: DataFrame) -> DataFrame:
+    """(shard, part, doc, passage, at, words) of the passages' windows that several of them hold.
 
     A window goes to the shard that its own words name. A shard's references are the windows with
     several holders, once each for the smallest; what streams through it is cut into parts, and each
@@ -244,10 +237,10 @@ def _hot_shards(passages: DataFrame) -> DataFrame:
     """
     windows = _windows(passages)
     held = windows.groupBy("words").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
-    held = stored(held.where("doc < last").select("words", "doc", "n"), "hot-windows")
+    held = stored(held.where("doc < last").select("words", "doc", "n"), "shared-windows")
     shard = F.pmod(F.xxhash64("words"), F.lit(max(1, -(-held.count() // SHARD_PASSAGES)))).alias("shard")
     parts = held.groupBy(shard).agg(F.ceil(F.sum("n") / SHARD_PASSAGES).cast("int").alias("parts"))
-    parts = stored(parts, "hot-shards")
+    parts = stored(parts, "shard-parts")
     wanted = key_filter(held.select(F.xxhash64("words")))
 
     def several(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -263,7 +256,7 @@ def _hot_shards(passages: DataFrame) -> DataFrame:
 def _shard_spans(passages: DataFrame) -> DataFrame:
     """(passage, first, end): spans of words of a passage that smaller documents than its first
     holder have. ``passages``: shard, part, doc (the first holder), passage, at, words; by shard, part
-    and doc. Without a part, passages are references as well; else those without a name are."""
+    and doc. Those without a name are references."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, shard = None, _Shard()
@@ -274,10 +267,10 @@ def _shard_spans(passages: DataFrame) -> DataFrame:
                     name, shard = (where, part), _Shard()
                 words = np.frombuffer(raw, "<u4").tolist()
                 shard.upto(doc)
-                found = shard.windows(words) if passage is not None else []
-                out += [(passage, at + first, at + first + WINDOW) for first in found]
-                if passage is None or part is None and len(found) < len(words) - WINDOW + 1:
+                if passage is None:
                     shard.waiting.append(words)
+                else:
+                    out += [(passage, at + first, at + first + WINDOW) for first in shard.windows(words)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["passage", "first", "end"])
 
@@ -291,14 +284,8 @@ def removed_spans(documents: DataFrame) -> DataFrame:
     kinds = stored(_kinds(keyed, key_filter(shared.select("anchor"))), "passage-kinds")
     # only where an anchor has several passages can a passage's first holder lose words
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
-    several = several.where("n > 1 and low < high").select("anchor", (F.col("n") > SHARD_PASSAGES).alias("hot"))
-    compared = stored(kinds.join(several, "anchor"), "compared-passages")
-    words = _words_of(keyed, compared)
-    if compared.where("hot").isEmpty():
-        dealt = _whole_shards(words)
-    else:
-        words = stored(words, "passage-words")
-        dealt = _whole_shards(words.where("not hot")).unionByName(_hot_shards(words.where("hot")))
+    compared = stored(kinds.join(several.where("n > 1 and low < high").select("anchor"), "anchor"), "compared-passages")
+    dealt = _shards(stored(_words_of(keyed, compared), "passage-words"))
     dealt = dealt.repartition("shard", "part").sortWithinPartitions("shard", "part", "doc", "passage")
     matched = _shard_spans(dealt).groupBy("passage").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     matched = stored(matched, "passage-spans")
@@ -308,7 +295,8 @@ def removed_spans(documents: DataFrame) -> DataFrame:
     whole = F.when(F.col("doc_id") > F.col("doc"), F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("end")))).otherwise(F.col("spans"))
     found = found.withColumn("spans", whole).where("spans is not null")
     shifted = F.transform("spans", lambda s: F.struct((F.col("start") + s["first"]).alias("first"), (F.col("start") + s["end"]).alias("end")))
-    return stored(found.groupBy("doc_id", "key").agg(F.flatten(F.collect_list(shifted)).alias("spans")), "removed-spans")
+    # a set, as rows that repeat an id and a text have the same spans
+    return stored(found.groupBy("doc_id", "key").agg(F.flatten(F.collect_set(shifted)).alias("spans")), "removed-spans")
 
 
 def kept_words(documents: DataFrame) -> DataFrame:
