@@ -33,10 +33,13 @@ MIN_MATCH = 5
 THRESHOLD = 0.5
 #: Characters of benchmark text that are broadcast at once.
 BLOCK_CHARS = 8_000_000
+#: Seeds of texts times items with them that are looked at in one step.
+PLACES = 1 << 20
 _FILTER_BITS = 1 << 23
 _PARTS = r"[\p{P}\p{S}\p{Z}\x{85}]"
 _UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 PAIRS = "doc_id long, item_id long, item_words long, covered long, n_tiles long, longest long"
+KEYED = f"{PAIRS}, key long"
 
 
 def token_words(column: pa.Array) -> Iterator[tuple[int, int, tokens.Words]]:
@@ -150,29 +153,53 @@ def _contaminated(column: pa.Array, items: Items, min_match: int, threshold: flo
             item = which[np.repeat(low, high - low) + tokens.ranges(high - low)]
             for t, i in np.unique(np.stack((text, item)), axis=1).T.tolist():
                 yield row + t, i, [(0, 0, size)]
-        at, hashes = tokens.grams(found, min_match)
-        held = items.maybe.may_hold(hashes)
-        at, hashes = at[held], hashes[held]
-        low, high = (np.searchsorted(items.seeds, hashes, side) for side in ("left", "right"))
-        count = high - low
-        seed = np.repeat(low, count) + tokens.ranges(count)
-        at, item, place = np.repeat(at, count), items.item[seed], items.place[seed]
-        text = np.searchsorted(found.first, at, "right") - 1
-        order = np.lexsort((at, item, text))
-        at, item, place, text = at[order], item[order], place[order], text[order]
-        new = np.ones(len(at), bool)
-        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
-        heads = np.append(np.flatnonzero(new), len(at))
-        for a, b in zip(heads[:-1], heads[1:], strict=True):
-            words = items.words[item[a]]
-            if (b - a) * min_match < threshold * len(words):
-                continue
-            edge = np.zeros(len(words) + 1, np.int64)
-            edge[np.unique(place[a:b])] = 1
-            reach = np.convolve(edge, np.ones(min_match, np.int64))[: len(words)] > 0
-            if reach.sum() < threshold * len(words):
+        yield from ((row + t, i, tiles_) for t, i, tiles_ in _tiled_pairs(found, items, min_match, threshold))
+
+
+def _tiled_pairs(found: tokens.Words, items: Items, min_match: int, threshold: float) -> Iterator[tuple]:
+    """(text, item, tiles) where the seeds that both have could cover enough of the item.
+
+    A seed that a text repeats counts once, so what is looked at follows the distinct seeds of a text and the
+    items that have them, whatever the number of places. Texts are taken in runs of about ``PLACES`` of those.
+    """
+    at, hashes = tokens.grams(found, min_match)
+    held = items.maybe.may_hold(hashes)
+    at, hashes = at[held], hashes[held]
+    low = np.searchsorted(items.seeds, hashes)
+    held = low < len(items.seeds)
+    held[held] = items.seeds[low[held]] == hashes[held]
+    at, low = at[held], low[held]
+    text = np.searchsorted(found.first, at, "right") - 1
+    pairs = np.unique(text * len(items.seeds) + low)
+    owner, seed = np.divmod(pairs, max(len(items.seeds), 1))
+    count = np.searchsorted(items.seeds, items.seeds[seed], "right") - seed
+    ends = np.cumsum(count)
+    edges = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
+    words = np.array([len(w) for w in items.words], np.int64)
+    start = 0
+    while start < len(edges) - 1:
+        before = ends[edges[start] - 1] if edges[start] else 0
+        stop = start + 1
+        while stop < len(edges) - 1 and ends[edges[stop + 1] - 1] - before <= PLACES:
+            stop += 1
+        part = slice(edges[start], edges[stop])
+        place = np.repeat(seed[part], count[part]) + tokens.ranges(count[part])
+        key = np.repeat(owner[part], count[part]) * len(words) + items.item[place]
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        cuts = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
+        enough = np.diff(cuts) * min_match >= threshold * words[key[cuts[:-1]] % len(words)]
+        for a, b in zip(cuts[:-1][enough].tolist(), cuts[1:][enough].tolist(), strict=True):
+            t, i = divmod(int(key[a]), len(words))
+            edge = np.zeros(words[i] + 1, np.int64)
+            edge[items.place[place[a:b]]] = 1
+            reach = np.convolve(edge, np.ones(min_match, np.int64))[: words[i]] > 0
+            if reach.sum() < threshold * words[i]:
                 continue  # tiles can't cover more than the seeds do
-            yield row + text[a], item[a], _tiled(found.hash, np.unique(at[a:b]), words, min_match)
+            own = slice(*np.searchsorted(at, [found.first[t], found.first[t + 1]]))
+            firsts = np.searchsorted(items.seeds, items.seeds[place[a:b]])
+            yield t, i, _tiled(found.hash, at[own][np.isin(low[own], firsts)], items.words[i], min_match)
+        start = stop
 
 
 def _tiled(text: np.ndarray, at: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
@@ -182,36 +209,48 @@ def _tiled(text: np.ndarray, at: np.ndarray, item: np.ndarray, min_match: int) -
     return tiles(np.concatenate(parts), item, min_match)
 
 
-def contaminated_pairs(documents: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document and item that contaminates it, with the cover of the item."""
+def _pairs(documents: DataFrame, benchmark: DataFrame, min_match: int, threshold: float) -> DataFrame:
+    """The pairs, with a hash of the document's text as ``key``."""
     spark = documents.sparkSession
-    texts = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
+    texts = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("key")).where("doc_id is not null and text is not null")
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null")
     chars = items.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     blocks = -(-chars // BLOCK_CHARS)
 
     def pairs(held):
         def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            block, ids, out = held.value, batch.column(0), []
+            block, ids, keys, out = held.value, batch.column(0), batch.column(2), []
             for row, item, found in _contaminated(batch.column(1), block, min_match, threshold):
                 size = [n for _, _, n in found]
                 if sum(size) >= threshold * len(block.words[item]):
-                    out.append((ids[int(row)].as_py(), block.ids[item], len(block.words[item]), sum(size), len(size), max(size)))
+                    out.append((ids[int(row)].as_py(), block.ids[item], len(block.words[item]), sum(size), len(size), max(size), keys[int(row)].as_py()))
             if out:
-                yield arrow_rows({f.split()[0]: pa.array(x, pa.int64()) for f, x in zip(PAIRS.split(", "), zip(*out, strict=True), strict=True)})
+                yield arrow_rows({f.split()[0]: pa.array(x, pa.int64()) for f, x in zip(KEYED.split(", "), zip(*out, strict=True), strict=True)})
 
-        return texts.mapInArrow(by_batch(rows), PAIRS)
+        return texts.mapInArrow(by_batch(rows), KEYED)
 
-    parts = [spark.createDataFrame([], PAIRS)]
+    parts = [spark.createDataFrame([], KEYED)]
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toArrow()  # about BLOCK_CHARS
-        parts.append(pairs(spark.sparkContext.broadcast(Items.of(rows.column(0).to_pylist(), rows.column(1).combine_chunks(), min_match))))
-    found = reduce(DataFrame.unionByName, parts)
+        held = spark.sparkContext.broadcast(Items.of(rows.column(0).to_pylist(), rows.column(1).combine_chunks(), min_match))
+        if blocks == 1:
+            parts.append(pairs(held))
+        else:  # one block at a time is held by the executors
+            parts.append(stored(pairs(held), "contaminated-pairs"))
+            held.unpersist()
+    return reduce(DataFrame.unionByName, parts)
+
+
+def contaminated_pairs(documents: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document and item that contaminates it, with the cover of the item."""
+    found = _pairs(documents, benchmark, min_match, threshold)
     best = F.max(F.struct("covered", "n_tiles", "longest", "item_words")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.item_words", "best.covered", "best.n_tiles", "best.longest")
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without the contaminated ones, all columns kept."""
-    gone = stored(contaminated_pairs(documents, benchmark, min_match, threshold).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """The documents without the contaminated ones, all columns kept; of rows that repeat an id with
+    different texts, only those whose text is contaminated go."""
+    gone = _pairs(documents, benchmark, min_match, threshold).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_text")).distinct()
+    same = (F.col("doc_id").cast("long") == F.col("_gone")) & (F.xxhash64("text") == F.col("_text"))
+    return documents.join(stored(gone, "contaminated"), same, "left_anti")
