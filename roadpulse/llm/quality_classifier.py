@@ -7,7 +7,8 @@ never inputs.
 
 Labels are learnt from a bounded sample (``SAMPLE_ROWS``) of the labelled rows outside the held-out
 fold; everything else covers all rows. Null and empty texts get the score of a text without words. A
-null id is scored and counts as not held out. Repeated rows are scored one by one; labels that repeat
+null id is scored and counts as not held out. With labels of one kind only, every text scores alike for that
+kind; without any label, 0.5. Repeated rows are scored one by one; labels that repeat
 or contradict each other are learnt once each. Only id and text are read from the documents.
 """
 
@@ -108,6 +109,7 @@ def fitted(rows: Rows, label: np.ndarray, epochs: int = EPOCHS, rate: float = 0.
     random = np.random.default_rng(7)
     model = FactorisationMachine(0.0, np.zeros(columns), random.normal(0, 0.02, (columns, FACTORS)))
     if not len(label) or label.min() == label.max():
+        model.factors[:] = 0  # one label, or none: every text has the same score
         model.bias = 2.0 if len(label) and label[0] else -2.0 if len(label) else 0.0
         return model
     weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))

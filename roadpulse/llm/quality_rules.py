@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,7 +117,7 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
     maybe = key_filter(ids)
 
     def likely(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = batch.filter(pa.compute.is_valid(batch.column(0)))
+        rows = batch.filter(pc.is_valid(batch.column(0)))
         yield rows.filter(pa.array(maybe.value.may_hold(rows.column(0).to_numpy())))
 
     chosen = texts.mapInArrow(by_batch(likely), "doc_id long, text string").join(ids.hint("merge"), "doc_id", "left_semi")  # ids grow with the input

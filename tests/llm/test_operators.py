@@ -144,7 +144,7 @@ def test_substrings_of_hot_anchors_go_to_bounded_shards(spark, monkeypatch):
         return spans(passages)
 
     monkeypatch.setattr(substring_dedup, "_shard_spans", counted)
-    monkeypatch.setattr(substring_dedup, "SHARD_PASSAGES", 20, raising=False)
+    monkeypatch.setattr(substring_dedup, "SHARD_PASSAGES", 20)
     found = substring_dedup.kept_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert {r.doc_id: r.kept for r in found.collect()} == expected
     assert max(sizes) <= 100
@@ -204,7 +204,6 @@ def test_packing_is_an_exact_round_trip(docs):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(tokenizer_path())
-    coder.encode_special_tokens = True
     ids = {}
     for i, text, *_ in awkward():
         ids[i] = [*coder.encode(text or "", add_special_tokens=False).ids, 1]
@@ -440,7 +439,6 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert set(found) == expected
 
     coder = Tokenizer.from_file(tokenizer_path())
-    coder.encode_special_tokens = True
     for i, pieces in found.items():
         ids = [*coder.encode(texts[i], add_special_tokens=False).ids, 1]
         at = 0
