@@ -113,65 +113,6 @@ def count_idle_batches(
     )
 
 
-def age_bucket(ts: str, roll: RollConfig) -> Column:
-    """Which fixed stretch of the file age limit the row falls in."""
-    return _whole(_micros(ts) / F.lit(roll.max_age_micros))
-
-
-def roll_by_age_and_rows(
-    rows: DataFrame,
-    ts: str,
-    tie_breaker: str,
-    roll: RollConfig,
-    writer: str = "writer_id",
-    size: str | None = None,
-) -> DataFrame:
-    """Files cut by date, writer, age bucket and row limit, with their row counts.
-
-    ``too_small`` flags files under the minimum; their rows are kept.
-    """
-    keyed = rows.select(
-        F.to_date(ts).alias("date"),
-        writer,
-        age_bucket(ts, roll).alias("age_bucket"),
-        ts,
-        tie_breaker,
-        *([size] if size else []),
-    )
-    keys = ("date", writer, "age_bucket")
-    numbered = with_row_number(ordered(keyed, (ts, tie_breaker), keys), "_number")
-    file_no = _whole((F.col("_number") - F.lit(1)) / F.lit(roll.max_rows))
-    return (
-        numbered.groupBy(*keys, file_no.alias("file_no"))
-        .agg(
-            F.count(F.lit(1)).alias("file_rows"),
-            F.min(ts).alias("first_ts"),
-            F.max(ts).alias("last_ts"),
-            *([F.sum(size).alias("file_bytes")] if size else []),
-        )
-        .withColumn("too_small", F.col("file_rows") < roll.min_rows)
-    )
-
-
-def roll_by_size(
-    rows: DataFrame,
-    ts: str,
-    tie_breaker: str,
-    size: str,
-    max_bytes: int,
-    writer: str = "writer_id",
-) -> DataFrame:
-    """Files cut where the bytes written before a row reach a multiple of the size limit."""
-    keys = ("date", writer)
-    keyed = rows.select(F.to_date(ts).alias("date"), writer, ts, tie_breaker, size)
-    data = ordered(keyed, (ts, tie_breaker), keys)
-    running = with_running(data, sums={"_bytes": size}).result()
-    file_no = _whole((F.col("_bytes") - F.col(size)) / F.lit(max_bytes))
-    return running.groupBy(*keys, file_no.alias("file_no")).agg(
-        F.count(F.lit(1)).alias("file_rows"), F.sum(size).alias("file_bytes")
-    )
-
-
 def roll_reason(rows: Column, size: Column, age_micros: Column, roll: RollConfig) -> Column:
     """Why an open file must close: size before row count before age; NULL to stay open."""
     return (

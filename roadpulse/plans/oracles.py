@@ -303,8 +303,9 @@ SELECT ts::DATE::VARCHAR AS date, count(*) AS rows_written, 0::BIGINT AS files_t
        true AS has_bytes
 FROM events GROUP BY ALL
 """,
-    "archive_compaction": """
-SELECT ts::DATE::VARCHAR AS date, true AS joined, count(*) AS messages
+    "archive_compaction": f"""
+SELECT ts::DATE::VARCHAR AS date, ceil(count(*) / {S.SMALL_ROWS})::BIGINT AS small_files,
+       1::BIGINT AS files, count(*) AS messages
 FROM events GROUP BY ALL
 """,
     "archive_file_labels": f"""
@@ -324,6 +325,16 @@ FROM (SELECT event_id, user_id, {TYPED_RECORD} FROM events)
 SELECT (200000 + user_id)::INTEGER AS policy_id, count(*) AS messages,
        max(epoch_us(ts) // 1000000) AS last_event_time
 FROM events GROUP BY ALL
+""",
+    "events_lookup": f"""
+SELECT epoch_us(ts) // 1000000 AS event_time, (200000 + user_id)::INTEGER AS policy_id,
+       (300000 + user_id)::INTEGER AS vehicle_id, (400000 + user_id)::INTEGER AS driver_id,
+       value::REAL AS g_force, 'VIN' || lpad(user_id::VARCHAR, 14, '0') AS vin
+FROM events
+WHERE epoch_us(ts) // 1000000 BETWEEN {S.LOOKUP["event_time"][0]} AND {S.LOOKUP["event_time"][1]}
+  AND 300000 + user_id BETWEEN {S.LOOKUP["vehicle_id"][0]} AND {S.LOOKUP["vehicle_id"][1]}
+  AND 400000 + user_id >= {S.LOOKUP["driver_id"][0]}
+  AND value::REAL BETWEEN {S.LOOKUP["g_force"][0]} AND {S.LOOKUP["g_force"][1]}
 """,
     "schema_migration": """
 SELECT event_id, NULL::BIGINT AS event_time, epoch_us(ts) // 1000000 AS kept_time FROM events
@@ -502,6 +513,14 @@ FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
 UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
 UNION ALL SELECT 'DataIntegrityViolationException', count(*), NULL, 3
 FROM events WHERE event_id % 97 <> 0 AND event_id % 89 = 0
+""",
+    "table_load_by_message": f"""
+SELECT 'loaded' AS outcome, count(*) AS messages, sum(user_id)::BIGINT AS policy_sum,
+       1::INTEGER AS attempts
+FROM events WHERE event_id % 97 <> 0 AND event_id % {S.REFUSED_EVERY} <> 0
+UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'SparkRuntimeException', count(*), sum(user_id)::BIGINT, 3
+FROM events WHERE event_id % 97 <> 0 AND event_id % {S.REFUSED_EVERY} = 0
 """,
     "loader_metrics": """
 SELECT 'jdbc_consumer_messages_total' AS name, 'vehicle_events' AS "table",

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.config import ArchiveConfig, DetectorConfig
+from roadpulse.config import ArchiveConfig, DetectorConfig, RollConfig
 from roadpulse.functions import text, times
 from roadpulse.operators import batching, detect, layout, mapping, metrics, parse
 from roadpulse.plans import settings as S
 from roadpulse.session import scratch_path
-from roadpulse.sinks import archive, dead_letter, tables
+from roadpulse.sinks import archive, commits, dead_letter, lookup, sizing, tables
 from roadpulse.sources.messages import read_messages, write_messages
 from roadpulse.sources.tables import (
     TOO_LONG_EVERY,
@@ -359,25 +359,21 @@ def archive_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def archive_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An archive of one file per task and date, rewritten to fewer, larger files."""
-    small = ArchiveConfig(scratch_path(spark, "small"))
+    """An archive of small files, and the files that are left once those are joined in place."""
+    config = ArchiveConfig(scratch_path(spark, "small"), roll=RollConfig(max_rows=S.SMALL_ROWS))
     rows = parse.typed_record(
         messages(spark, sf_dir, "event_id", "ts").withColumn("date", F.to_date("ts")),
-        keep=("date",),
-    )
-    batching.spread(rows, 4).write.partitionBy("date").parquet(small.path)
-    large = ArchiveConfig(scratch_path(spark, "large"))
-    archive.compact(spark, small.path, large)
-    before, after = (
-        archive.file_stats(archive.read_archive(spark, path), by=("date",))
-        .groupBy("date")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_rows").alias("messages"))
-        for path in (small.path, large.path)
-    )
-    joined = (F.col("files") < F.col("small_files")) | (F.col("files") == 1)
-    return after.join(before.selectExpr("date", "files AS small_files"), "date").select(
-        F.col("date").cast("string").alias("date"), joined.alias("joined"), "messages"
+        keep=("event_id", "ts", "date"),
     )
+    sizing.write_sized(rows, config, "ts", "event_id", by_age=False)
+    before = sizing.file_table(spark, config.path, "ts", by=("date",)).groupBy("date")
+    held = scratch_path(spark, "before")
+    before.agg(F.count(F.lit(1)).alias("small_files")).write.parquet(held)
+    sizing.compact_small(spark, config, config.roll.max_bytes, order=("ts", "event_id"))
+    after = sizing.file_table(spark, config.path, "ts", by=("date",)).groupBy("date")
+    files = after.agg(F.count(F.lit(1)).alias("files"), F.sum("file_rows").alias("messages"))
+    joined = files.join(spark.read.parquet(held), "date")
+    return joined.withColumn("date", F.col("date").cast("string"))
 
 
 @query
@@ -411,15 +407,26 @@ def events_table_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def events_lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events laid out for lookups by time and id, read back per policy."""
-    records = parse.typed_record(messages(spark, sf_dir))
-    path = scratch_path(spark, "lookup")
-    archive.write_lookup_files(tables.as_events_table(records), path)
-    stored = spark.read.parquet(path)
+    stored = commits.read(spark, lookup_files(spark, sf_dir))
     return stored.groupBy("policy_id").agg(
         F.count(F.lit(1)).alias("messages"), F.max("event_time").alias("last_event_time")
     )
 
 
+def lookup_files(spark: SparkSession, sf_dir: str) -> str:
+    records = parse.typed_record(messages(spark, sf_dir))
+    path = scratch_path(spark, "lookup")
+    lookup.write_lookup(tables.as_events_table(records), path, rows_per_file=S.LOOKUP_ROWS)
+    return path
+
+
+@query
+def events_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some vehicles and drivers in a stretch of time and force, from the files that can hold them."""
+    found = lookup.look_up(spark, lookup_files(spark, sf_dir), S.LOOKUP)
+    return found.select("event_time", "policy_id", "vehicle_id", "driver_id", "g_force", "vin")
+
+
 @query
 def schema_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select("event_id", "ts", F.col("ts").alias("event_time"))
@@ -493,20 +500,44 @@ def count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rolled_files(spark: SparkSession, sf_dir: str, roll: RollConfig, by_age: bool) -> DataFrame:
+    """One row per file that the archive holds, written under a date and writer within the limits.
+
+    The limit of bytes counts payload bytes here, so that files do not depend on the encoding.
+    """
+    config = ArchiveConfig(scratch_path(spark, "rolled"), ("date", "writer_id"), roll=roll)
+    rows = labelled(spark, sf_dir).select("event_id", "ts", "bytes", "writer_id", F.to_date("ts").alias("date"))
+    sizing.write_sized(rows, config, "ts", "event_id", size="bytes", by_age=by_age)
+    stored = commits.read(spark, config.path, files=True)
+    return stored.groupBy(F.col("date").cast("string").alias("date"), "writer_id", "file_path").agg(
+        F.count(F.lit(1)).alias("file_rows"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+        F.sum("bytes").alias("file_bytes"),
+        F.min(F.struct("ts", "event_id")).alias("_first"),
+    )
+
+
+def numbered_files(files: DataFrame, *keys: str) -> DataFrame:
+    """Numbers the files of a key by their first row; a row of ``files`` is a whole file."""
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - F.lit(1)
+    return files.withColumn("file_no", number.cast("bigint")).drop("_first", "file_path")
+
+
 @query
 def file_roll_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = batching.roll_by_age_and_rows(
-        labelled(spark, sf_dir), "ts", "event_id", S.ROLL, size="bytes"
-    )
-    return plan.withColumn("date", F.col("date").cast("string"))
+    """The files of an archive limited by age and rows, as written."""
+    files = rolled_files(spark, sf_dir, S.ROLL, by_age=True)
+    aged = files.withColumn("age_bucket", sizing.age_bucket("first_ts", S.ROLL))
+    numbered = numbered_files(aged, "date", "writer_id", "age_bucket")
+    return numbered.withColumn("too_small", F.col("file_rows") < S.ROLL.min_rows)
 
 
 @query
 def file_roll_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = batching.roll_by_size(
-        labelled(spark, sf_dir), "ts", "event_id", "bytes", S.FILE_BYTES
-    )
-    return plan.withColumn("date", F.col("date").cast("string"))
+    """The files of an archive limited by payload bytes, as written."""
+    files = rolled_files(spark, sf_dir, S.SIZE_ROLL, by_age=False)
+    return numbered_files(files.drop("first_ts", "last_ts"), "date", "writer_id")
 
 
 @query

@@ -10,6 +10,17 @@ BATCH_ROWS = 10
 IDLE_MICROS = 300_000_000
 ROLL = RollConfig(max_age_minutes=360, max_rows=20, min_rows=10)
 FILE_BYTES = 600
+SIZE_ROLL = RollConfig(max_rows=10**6, max_size_mb=FILE_BYTES / (1024 * 1024))
+SMALL_ROWS = 200
+REFUSED_EVERY = 3001
+LOOKUP_ROWS = 2_000
+# Least and greatest values of the columns; None leaves an end open.
+LOOKUP = {
+    "event_time": (1_704_672_000, 1_706_000_000),
+    "vehicle_id": (300_000, 300_400),
+    "driver_id": (400_010, None),
+    "g_force": (20.0, 180.0),
+}
 REASON_ROLL = RollConfig(max_age_minutes=1200, max_rows=90, max_size_mb=900 / (1024 * 1024))
 QUANTILES = (0.5, 0.95, 0.99)
 BUCKETS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)

@@ -15,7 +15,7 @@ from roadpulse.plans import settings as S
 from roadpulse.plans.queries import query, simple_text
 from roadpulse.schema import TABLE_TEXT_LENGTH
 from roadpulse.session import prepare, scratch_path
-from roadpulse.sinks.dead_letter import PARSE_ERROR, dead_letters
+from roadpulse.sinks.dead_letter import PARSE_ERROR, Ledger, dead_letters
 from roadpulse.sources.messages import stream_rows
 from roadpulse.sources.tables import (
     TOO_LONG_EVERY,
@@ -179,6 +179,43 @@ def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(rejected)
 
 
+@query
+def table_load_by_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader against a target that refuses a few messages: exactly those are parked.
+
+    The target raises while a part is written, as a table with a constraint does.
+    """
+    event_id = F.col("event_id")
+    value = F.when(event_id % UNPARSABLE_EVERY == 0, F.lit("not-json")).otherwise(simple_text())
+    messages = streamed_events(spark, sf_dir).select("event_id", value.alias("value"))
+    rows, letters, ledger, checkpoint = (scratch_path(spark, n) for n in ("rows", "letters", "ledger", "load-checkpoint"))
+    config = TableSinkConfig("vehicle_events", S.LOAD_COLUMNS)
+    refused = F.when(event_id % S.REFUSED_EVERY == 0, F.raise_error(F.lit("the table refuses this row")).cast("bigint"))
+    load = pipeline.message_loader(
+        write=pipeline.part_parquet(rows),
+        quarantine=pipeline.part_parquet(letters),
+        transform=lambda part: mapping.mapped(part, config.columns, keep=("event_id",)).withColumn(
+            "event_id", F.coalesce(refused, event_id)
+        ),
+        ledger=Ledger(spark, ledger),
+        config=config,
+    )
+    drained(pipeline.each_batch(messages, load, checkpoint).start())
+    loaded = spark.read.parquet(rows).groupBy(F.lit("loaded").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(F.col("policy").cast("bigint")).alias("policy_sum"),
+        F.lit(1).alias("attempts"),
+    )
+    policy = F.get_json_object("payload", "$.policy_id").cast("bigint")
+    known = F.when(F.col("error_class") != PARSE_ERROR, policy)
+    parked = spark.read.parquet(letters).groupBy(F.col("error_class").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(known).alias("policy_sum"),
+        F.max("attempts").alias("attempts"),
+    )
+    return loaded.unionByName(parked)
+
+
 @query
 def loader_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loader's own counters, added up over its batches."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.config import ArchiveConfig
 from roadpulse.operators.layout import balanced
 from roadpulse.schema import LOOKUP_COLUMNS
+from roadpulse.sinks import commits
 
 # Fixed value: the archive's compression.
 COMPRESSION = "snappy"
@@ -35,8 +36,8 @@ def write_archive(
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archive; filters on its partition columns skip whole folders."""
-    return spark.read.parquet(path)
+    """The archive with all changes that count; filters on its partition columns skip whole folders."""
+    return commits.read(spark, path) if commits.committed(spark, path) else spark.read.parquet(path)
 
 
 def with_file_columns(archive: DataFrame) -> DataFrame:

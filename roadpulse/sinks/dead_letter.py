@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_MAX_ATTEMPTS
+from roadpulse.operators.ordered import with_index
+from roadpulse.session import scratch_path
 
 # Error classes of rejected messages.
 PARSE_ERROR = "JsonParseException"
@@ -61,3 +64,103 @@ def deliver(
             if attempt == max_attempts:
                 quarantine(rows, type(error).__name__, attempt)
     return max_attempts
+
+
+@dataclass(frozen=True)
+class Part:
+    """Messages ``first`` to ``end`` (not included) of a batch, numbered in the order of their content."""
+
+    batch_id: int
+    first: int
+    end: int
+
+    @property
+    def name(self) -> str:
+        return f"{self.batch_id}-{self.first}-{self.end}"
+
+
+class Ledger:
+    """Which parts of which batches were written or parked, kept over restarts.
+
+    A part is an empty file of its own in a shared folder, made in one step after its write.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _file(self, part: Part, outcome: str):
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part.batch_id}/{outcome}-{part.name}")
+        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
+
+    def has(self, part: Part, outcome: str) -> bool:
+        system, found = self._file(part, outcome)
+        return system.exists(found)
+
+    def add(self, part: Part, outcome: str) -> None:
+        system, found = self._file(part, outcome)
+        system.create(found, True).close()
+
+
+# What became of a part.
+WRITTEN, SPLIT, PARKED = "written", "split", "parked"
+
+
+def deliver_each(
+    rows: DataFrame,
+    write: Callable[[DataFrame, Part], None],
+    quarantine: Callable[[DataFrame, str, int, Part], None],
+    ledger: Ledger,
+    batch_id: int,
+    max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+    most_parked: int | None = None,
+) -> int:
+    """Writes all messages that the target takes and parks the others one by one; returns how many.
+
+    The batch is numbered and written down once. A part whose write fails is halved, down to single
+    messages; only those are tried ``max_attempts`` times and then parked. So k bad messages among n
+    cost about 2 k log n writes. The ledger keeps what was done with each part: a batch that is delivered
+    again goes on where it stopped, and a part is written twice only if the job was lost between its write
+    and its entry, which a writer that replaces what it wrote under ``part.name`` makes good.
+
+    With more than ``most_parked`` messages refused the target itself is taken to be broken: the error
+    is raised, and the stream delivers the batch again later.
+    """
+    spark = rows.sparkSession
+    names = rows.columns
+    content = rows.withColumn("_content", F.xxhash64(*names)).withColumn("_text", F.to_json(F.struct(*names)))
+    path = scratch_path(spark, "delivery")
+    with_index(content, ("_content", "_text"), "_place").drop("_content", "_text").write.parquet(path)
+    held = spark.read.parquet(path)
+    parked = 0
+    todo = [Part(batch_id, 0, held.count())]
+    while todo:
+        part = todo.pop()
+        if part.first == part.end or ledger.has(part, WRITTEN):
+            continue
+        if ledger.has(part, PARKED):
+            parked += 1
+            continue
+        alone, middle = part.end - part.first == 1, (part.first + part.end) // 2
+        halves = [Part(batch_id, middle, part.end), Part(batch_id, part.first, middle)]
+        if ledger.has(part, SPLIT):
+            todo += halves
+            continue
+        own = held.where((F.col("_place") >= part.first) & (F.col("_place") < part.end)).select(*names)
+        for attempt in range(1, (max_attempts if alone else 1) + 1):
+            try:
+                write(own, part)
+                ledger.add(part, WRITTEN)
+                break
+            except Exception as error:
+                failure = error
+        else:
+            if not alone:
+                ledger.add(part, SPLIT)
+                todo += halves
+                continue
+            if most_parked is not None and parked >= most_parked:
+                raise failure
+            quarantine(own, type(failure).__name__, attempt, part)
+            ledger.add(part, PARKED)
+            parked += 1
+    return parked

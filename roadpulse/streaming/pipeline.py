@@ -26,12 +26,22 @@ from roadpulse.operators.mapping import message_frame, missing_count
 from roadpulse.operators.metrics import detector_aggregates, metric_rows
 from roadpulse.operators.parse import keep_where, lenient_record, with_validity
 from roadpulse.schema import ARCHIVE_TYPES
+from roadpulse.session import scratch_path
 from roadpulse.sinks.archive import COMPRESSION
-from roadpulse.sinks.dead_letter import MISFIT, dead_letters, deliver, error_class
+from roadpulse.sinks.dead_letter import (
+    MISFIT,
+    Ledger,
+    Part,
+    dead_letters,
+    deliver,
+    deliver_each,
+    error_class,
+)
 
 DRAIN = {"availableNow": True}
 
 BatchWriter = Callable[[DataFrame, int], None]
+PartWriter = Callable[[DataFrame, str], None]
 
 
 def every(seconds: int) -> dict:
@@ -263,6 +273,54 @@ def table_loader(
     return load
 
 
+def part_parquet(path: str) -> PartWriter:
+    """A writer of named parts that replaces what an earlier try of a part wrote."""
+
+    def write(rows: DataFrame, part: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/part={part}")
+
+    return write
+
+
+def message_loader(
+    write: PartWriter,
+    quarantine: PartWriter,
+    transform: Callable[[DataFrame], DataFrame],
+    ledger: Ledger,
+    config: TableSinkConfig = TableSinkConfig(),
+    value: str = "value",
+    most_parked: int | None = None,
+) -> BatchWriter:
+    """Loads a batch message by message where it must: only what can't be parsed or what the target
+    refuses is quarantined, whatever else is in the batch (see ``deliver_each``).
+
+    ``write`` and ``quarantine`` get rows and the name of their part of the batch.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        path = scratch_path(batch.sparkSession, "loaded-batch")
+        marked_for_table(batch, value).write.parquet(path)
+        marked, tries = batch.sparkSession.read.parquet(path), config.max_attempts
+        unreadable = marked.where("error_class is not null")
+        quarantine(dead_letters(unreadable, F.col("error_class"), value, tries), f"{batch_id}-unreadable")
+
+        def park(rows: DataFrame, failure: str, attempts: int, part: Part) -> None:
+            quarantine(dead_letters(rows, F.lit(failure), value, attempts), part.name)
+
+        accepted = marked.where("error_class is null").drop("error_class")
+        deliver_each(
+            accepted,
+            lambda rows, part: write(transform(rows), part.name),
+            park,
+            ledger,
+            batch_id,
+            tries,
+            most_parked,
+        )
+
+    return load
+
+
 def loader_metrics(
     marked: DataFrame, config: TableSinkConfig, failure: str | None, seconds: float, value: str
 ) -> DataFrame:

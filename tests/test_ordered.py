@@ -8,9 +8,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.config import RollConfig
+from roadpulse.config import ArchiveConfig, RollConfig
 from roadpulse.operators import batching
 from roadpulse.operators.ordered import SLICE, ordered, with_index, with_row_number, with_running
+from roadpulse.session import scratch_path
+from roadpulse.sinks import sizing
 
 START = datetime(2024, 1, 1)
 
@@ -144,12 +146,14 @@ def test_batches_without_idle_limit_stay_pending(frame, rows):
     assert {row.release for row in batches} == {"count", "pending"}
 
 
-def test_roll_plan_keeps_every_row(frame, rows):
-    roll = RollConfig(max_age_minutes=30, max_rows=40, min_rows=30)
-    files = batching.roll_by_age_and_rows(frame, "ts", "id", roll, writer="key").collect()
+def test_rolled_files_keep_every_row(spark, frame, rows):
+    roll = RollConfig(max_age_minutes=30, max_rows=40)
+    config = ArchiveConfig(scratch_path(spark, "rolled"), ("key",), roll=roll)
+    sizing.write_sized(frame, config, "ts", "id")
+    files = sizing.file_table(spark, config.path, "ts").collect()
     assert sum(row.file_rows for row in files) == len(rows)
     assert max(row.file_rows for row in files) == 40
-    assert {row.too_small for row in files if row.file_rows < 30} == {True}
+    assert all((row.last_ts - row.first_ts).total_seconds() <= 1800 for row in files)
 
 
 def test_roll_reason_prefers_size_then_rows_then_age(spark):
