@@ -520,7 +520,7 @@ SELECT 'loaded' AS outcome, count(*) AS messages, sum(user_id)::BIGINT AS policy
 FROM events WHERE event_id % 97 <> 0 AND event_id % {S.REFUSED_EVERY} <> 0
 UNION ALL SELECT 'JsonParseException', count(*), NULL, 3 FROM events WHERE event_id % 97 = 0
 UNION ALL SELECT 'SparkRuntimeException', count(*), sum(user_id)::BIGINT, 3
-FROM events WHERE event_id % 97 <> 0 AND event_id % {S.REFUSED_EVERY} = 0
+FROM events WHERE event_id % 97 <> 0 AND event_id % {S.REFUSED_EVERY} = 0 HAVING count(*) > 0
 """,
     "loader_metrics": """
 SELECT 'jdbc_consumer_messages_total' AS name, 'vehicle_events' AS "table",
