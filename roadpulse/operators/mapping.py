@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_TABLE
 from roadpulse.functions import json_fields as jf
+from roadpulse.operators.lenient import with_lenient
 
 # What ends an entry and what divides name and key (after the mark both are plain
 # characters), and the expression that stands for the whole message text.
@@ -188,10 +189,21 @@ def mapped_expressions(
     headers: str | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
+    """One column for each mapping expression (see ``expression_column``).
+
+    A composed expression that fails for a message (a text that is no number, an overflow, a division by
+    zero) gives NULL there, or what its own ``coalesce`` falls back to; it never fails the batch.
+    """
     pairs = column_map(columns) if isinstance(columns, str) else columns
     frame = _with_bare_names(message_frame(messages, value, headers), pairs.values())
-    return frame.select(
-        *keep, *[expression_column(text).alias(name) for name, text in pairs.items()]
+    composed = {
+        f"_composed_{i}": text
+        for i, text in enumerate(pairs.values())
+        if not is_plain(text) and text not in WHOLE_PAYLOAD
+    }
+    places = {text: F.col(place) for place, text in composed.items()}
+    return with_lenient(frame, composed).select(
+        *keep, *[(places[text] if text in places else expression_column(text)).alias(name) for name, text in pairs.items()]
     )
 
 

@@ -245,6 +245,16 @@ SELECT event_id, user_id::VARCHAR AS policy,
        CASE WHEN event_id % 2 = 1 THEN user_id || '-VIN-' || user_id END AS marked,
        NULL::VARCHAR AS absent, NULL::DOUBLE AS half, {SIMPLE_TEXT} AS message
 FROM events
+""",
+    "expression_faults": """
+SELECT event_id, NULL::INTEGER AS vin_number, -1.0::DOUBLE AS fallback,
+       CASE WHEN user_id * 10000000 BETWEEN -2147483648 AND 2147483647
+            THEN (user_id * 10000000)::INTEGER END AS large,
+       CASE WHEN user_id <= 126 THEN (user_id + 1)::TINYINT END AS small,
+       CASE WHEN user_id % 10 <> 0 THEN 100::DOUBLE / (user_id % 10) END AS share,
+       CASE WHEN len(string_split(event_type, 'r')) >= 3 THEN string_split(event_type, 'r')[3] END AS letter,
+       NULL::BOOLEAN AS above, NULL::DATE AS day, NULL::INTEGER AS again
+FROM events
 """,
     "null_parameters": """
 SELECT event_type, 'vehicle_events' AS table_name, count(*) AS messages, column_name,

@@ -230,6 +230,17 @@ def column_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def expression_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expressions over values that don't fit them: NULL or their fallback, and no failed batch."""
+    return mapping.mapped_expressions(
+        simple_messages(spark, sf_dir),
+        S.FAULTY_EXPRESSIONS,
+        headers="message_headers",
+        keep=("event_id",),
+    )
+
+
 @query
 def null_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.null_parameters(

@@ -42,6 +42,18 @@ EXPRESSIONS = {
     "half": "speed_ms / 2",
     "message": "payload.toString()",
 }
+# Expressions that fail for some messages: no number, too large, division by zero, out of an array.
+FAULTY_EXPRESSIONS = {
+    "vin_number": "cast(vin as int)",
+    "fallback": "coalesce(payload.vin * 2, -1)",
+    "large": "cast(policy_id as int) * 10000000",
+    "small": "cast(policy_id as tinyint) + cast(1 as tinyint)",
+    "share": "100 / (policy_id % 10)",
+    "letter": "element_at(split(headers.source, 'r'), 3)",
+    "above": "payload.vin > 5",
+    "day": "to_date(headers.source)",
+    "again": "cast(payload.vin as int) + 1",
+}
 # A gap longer than the idle limit: the session window's own gap is exclusive.
 IDLE_GAP = "300 seconds 1 microsecond"
 LOAD_COLUMNS = "policy:policy_id,vin,speed_ms"

@@ -92,3 +92,45 @@ def test_a_mapping_key_is_taken_as_written(texts):
     frame = texts('{"a.b":1,"it\'s":2,"a":{"b":3}}', '{"a":{"b":3}}')
     rows = mapping.mapped(frame, {"dotted": "a.b", "quoted": "it's", "whole": "a"}).collect()
     assert [tuple(row) for row in rows] == [("1", "2", '{"b":3}'), (None, None, '{"b":3}')]
+
+
+def test_a_value_that_fails_an_expression_gives_null(texts):
+    frame = texts(
+        '{"n":"x","big":"2147483647","zero":"0"}',
+        '{"n":"7","big":"1","zero":"2"}',
+        '{"n":null}',
+        "{}",
+    )
+    columns = {
+        "cast": "cast(n as int)",
+        "same_cast": "cast(n as int) + 1",
+        "implicit": "n + 1",
+        "compared": "n > 3",
+        "fallback": "coalesce(cast(n as int), -1)",
+        "overflow": "cast(big as int) + 1",
+        "negated": "-cast(big as int)",
+        "ratio": "10 / zero",
+        "rest": "10 % cast(zero as int)",
+        "item": "array(1, 2)[cast(n as int)]",
+        "listed": "transform(array(n), v -> cast(v as int))",
+        "date": "to_date(n, 'yyyy-MM-dd')",
+        "cased": "case when cast(n as int) > 5 then 'many' else 'few' end",
+    }
+    rows = [row.asDict() for row in mapping.mapped_expressions(frame, columns).collect()]
+    bad, good, null, gone = rows
+    assert bad == dict.fromkeys(columns) | {
+        "fallback": -1, "negated": -2147483647, "listed": [None], "cased": "few"
+    }
+    assert good == {
+        "cast": 7, "same_cast": 8, "implicit": 8.0, "compared": True, "fallback": 7, "overflow": 2,
+        "negated": -1, "ratio": 5.0, "rest": 0, "item": None, "listed": [7], "date": None, "cased": "many",
+    }
+    assert null == gone == dict.fromkeys(columns) | {"fallback": -1, "listed": [None], "cased": "few"}
+
+
+def test_expressions_leave_the_session_as_it_was(spark, texts):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    mapping.mapped_expressions(texts('{"n":"x"}'), {"x": "n * 2"}).collect()
+    with pytest.raises(Exception, match="nowhere_function"):
+        mapping.mapped_expressions(texts('{"n":"x"}'), {"x": "nowhere_function(n)"})
+    assert spark.conf.get("spark.sql.ansi.enabled") == before
