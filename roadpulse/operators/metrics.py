@@ -11,7 +11,7 @@ import math
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_THRESHOLD, RATE_WINDOW_SECONDS
@@ -287,6 +287,66 @@ def approximate_quantiles(
     )
 
 
+#: Leading bits that a duration's bucket keeps: its values differ by less than one part in 128.
+SKETCH_BITS = 7
+
+
+def _shift(value: Column, bits: int) -> Column:
+    return F.greatest(F.length(F.bin(value)) - F.lit(bits + 1), F.lit(0))
+
+
+def sketch_bucket(duration: Column, bits: int = SKETCH_BITS) -> Column:
+    """The least whole number that shares the leading ``bits`` + 1 binary digits of a duration.
+
+    Whole-number arithmetic only, so every engine and every order of merging gives the same bucket. A
+    duration below zero counts as zero.
+    """
+    value = F.greatest(duration.cast("bigint"), F.lit(0).cast("bigint"))
+    shift = _shift(value, bits)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
+
+
+def duration_sketch(
+    rows: DataFrame, ts: str, duration: str, by: tuple[str, ...], seconds: int, bits: int = SKETCH_BITS
+) -> DataFrame:
+    """Durations (whole numbers) per window and group as counts of their buckets.
+
+    A group has at most (65 - bits) * 2^bits buckets whatever the rows, and sketches merge by adding the
+    counts of equal buckets (``merged_sketch``). Rows without a time or duration are left out.
+    """
+    timed = rows.where(F.col(duration).isNotNull()).withColumn("bucket", sketch_bucket(F.col(duration), bits))
+    return _windowed(timed, ts, seconds, (*by, "bucket"), _count().alias("n"))
+
+
+def merged_sketch(sketch: DataFrame, by: tuple[str, ...], seconds: int) -> DataFrame:
+    """Sketches of the same or shorter windows as one per window of ``seconds`` and group."""
+    return _windowed(sketch, "window_start", seconds, (*by, "bucket"), F.sum("n").alias("n"))
+
+
+def sketch_quantiles(
+    sketch: DataFrame, quantiles: tuple[float, ...], by: tuple[str, ...], bits: int = SKETCH_BITS
+) -> DataFrame:
+    """Quantiles of each window and group of a merged sketch, and how many durations it holds.
+
+    A quantile is the middle of the bucket that holds the duration of rank ceil(q * n), so it is off
+    by less than one part in 2^(bits + 1) of that duration. The running sum goes over the buckets of one
+    group, whose number is bounded.
+    """
+    group = Window.partitionBy("window_start", *by)
+    upto = F.sum("n").over(group.orderBy("bucket"))
+    ranked = sketch.select("*", upto.alias("_upto"), F.sum("n").over(group).alias("_all"))
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), _shift(F.col("bucket"), bits))
+    middle = F.col("bucket") + (width - F.lit(1)) / F.lit(2.0)
+    found = ranked.groupBy("window_start", *by).agg(
+        F.max("_all").alias("n"),
+        *[
+            F.min(F.when(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all")), middle)).alias(quantile_name(q))
+            for q in quantiles
+        ],
+    )
+    return found
+
+
 def metric_rows(counters: DataFrame, tags: tuple[str, ...], prefix: str, at: Column) -> DataFrame:
     """Counter columns as one time-series row each: ts, name, tags, value."""
     names = [name for name in counters.columns if name not in tags]

@@ -179,6 +179,27 @@ BUCKET_COUNTS = ", ".join(
 QUANTILE_NAMES = {q: "p" + f"{q * 100:g}".replace(".", "_") for q in S.QUANTILES}
 
 
+def _sketch_quantiles(seconds: int) -> str:
+    """The middle of the bucket that holds rank ceil(q * n); a bucket keeps eight leading binary digits."""
+    picks = ", ".join(
+        f"min(CASE WHEN upto >= ceil({q}::DOUBLE * total) THEN middle END) AS {name}"
+        for q, name in QUANTILE_NAMES.items()
+    )
+    return f"""
+WITH timed AS (
+  SELECT {_window(seconds)} AS window_start, event_type, round(value * 1000)::BIGINT AS d FROM events
+),
+digits AS (SELECT *, greatest(length(bin(d)) - 8, 0) AS s FROM timed WHERE d IS NOT NULL),
+ranked AS (
+  SELECT window_start, event_type, ((d >> s) << s) + ((1::BIGINT << s) - 1) / 2.0::DOUBLE AS middle,
+         count(*) OVER (PARTITION BY window_start, event_type) AS total,
+         row_number() OVER (PARTITION BY window_start, event_type ORDER BY d) AS upto
+  FROM digits
+)
+SELECT window_start, event_type, max(total) AS n, {picks} FROM ranked GROUP BY ALL
+"""
+
+
 ORACLES: dict[str, str] = {
     "accident_filter": ACCIDENTS.format(threshold=S.THRESHOLD),
     "accident_filter_default": ACCIDENTS.format(threshold=5.0),
@@ -548,6 +569,16 @@ FROM events WHERE event_id % 97 <> 0 AND event_id % 89 = 0
     "stream_rate_5m": f"""
 SELECT {_window(300)} AS window_start, event_type, count(*) AS events, count(*) / 300.0 AS rate
 FROM events GROUP BY ALL
+""",
+    "stream_quantiles_5m": _sketch_quantiles(300),
+    "stream_quantiles_daily": _sketch_quantiles(86_400),
+    "stream_sink_counters": """
+SELECT 'messages_received' AS name, count(*) AS value FROM events
+UNION ALL SELECT 'messages_rejected', count(*) FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'messages_written', count(*) FROM events WHERE event_id % 97 <> 0
+UNION ALL SELECT 'batch_failures', 0
+UNION ALL SELECT 'rows of ' || ts::DATE::VARCHAR, count(*) FROM events WHERE event_id % 97 <> 0
+GROUP BY ALL
 """,
     "stream_session_batches": f"""
 WITH {SESSIONS},

@@ -49,10 +49,13 @@ def is_error() -> Column:
     return F.col("event_type") == "error"
 
 
+def with_duration(rows: DataFrame) -> DataFrame:
+    """Adds a whole-number duration, so that sums are exact."""
+    return rows.withColumn("duration_us", F.round(F.col("value") * 1000).cast("bigint"))
+
+
 def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with a whole-number duration, so that sums are exact."""
-    duration = F.round(F.col("value") * 1000).cast("bigint")
-    return events(spark, sf_dir).withColumn("duration_us", duration)
+    return with_duration(events(spark, sf_dir))
 
 
 def loaded_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
 from roadpulse.operators import detect, mapping, parse
 from roadpulse.plans import settings as S
-from roadpulse.plans.queries import query, simple_text
+from roadpulse.plans.queries import query, simple_text, with_duration
 from roadpulse.schema import TABLE_TEXT_LENGTH
 from roadpulse.session import prepare, scratch_path
+from roadpulse.sinks.archive import read_archive
 from roadpulse.sinks.dead_letter import PARSE_ERROR, Ledger, dead_letters
 from roadpulse.sources.messages import stream_rows
 from roadpulse.sources.tables import (
@@ -24,7 +25,13 @@ from roadpulse.sources.tables import (
     telemetry_messages,
 )
 from roadpulse.streaming import batching, pipeline
-from roadpulse.streaming.metrics import start_rate, stored_rate
+from roadpulse.streaming.counted import sink_totals, start_counted_archive
+from roadpulse.streaming.metrics import (
+    start_duration_sketches,
+    start_rate,
+    stored_quantiles,
+    stored_rate,
+)
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -235,6 +242,41 @@ def stream_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def _sketched(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
+    """Quantiles of the stream's 5-minute sketches, merged into windows of ``seconds``."""
+    path, checkpoint = scratch_path(spark, "sketches"), scratch_path(spark, "sketches-checkpoint")
+    rows = with_duration(streamed_events(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp"))
+    run = start_duration_sketches(
+        rows, "ts", "duration_us", ("event_type",), path, checkpoint, trigger=pipeline.DRAIN
+    )
+    drained(run)
+    found = stored_quantiles(spark, path, S.QUANTILES, ("event_type",), seconds)
+    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query
+def stream_quantiles_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sketched(spark, sf_dir, 300)
+
+
+@query
+def stream_quantiles_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sketched(spark, sf_dir, 86_400)
+
+
+@query
+def stream_sink_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archive's own counters say it did, beside what its files hold."""
+    config = ArchiveConfig(scratch_path(spark, "counted-archive"))
+    checkpoint = scratch_path(spark, "counted-archive-checkpoint")
+    drained(start_counted_archive(broken_stream(spark, sf_dir), config, checkpoint, pipeline.DRAIN))
+    names = ("messages_received", "messages_rejected", "messages_written", "batch_failures")
+    counters = F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in names])
+    totals = sink_totals(spark, config.path).select(F.inline(counters))
+    stored = read_archive(spark, config.path).groupBy(F.concat(F.lit("rows of "), "date").alias("name"))
+    return totals.unionByName(stored.agg(F.count(F.lit(1)).alias("value")))
+
+
 def closed(
     spark: SparkSession, sf_dir: str, batches: Callable[[DataFrame, str], DataFrame], label: str
 ) -> DataFrame:
