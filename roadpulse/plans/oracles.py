@@ -266,6 +266,12 @@ SELECT event_id, user_id::VARCHAR AS policy,
        CASE WHEN event_id % 2 = 1 THEN user_id || '-VIN-' || user_id END AS marked,
        NULL::VARCHAR AS absent, NULL::DOUBLE AS half, {SIMPLE_TEXT} AS message
 FROM events
+""",
+    "vehicle_totals": f"""
+SELECT CASE WHEN event_id % 3 = 0 THEN {S.HOT_VEHICLE} ELSE 300000 + user_id END::INTEGER AS vehicle_id,
+       count(*) AS events, sum(user_id % 13)::BIGINT AS satellites,
+       min(value::FLOAT) AS least_g_force, max(value::FLOAT) AS greatest_g_force
+FROM events GROUP BY 1
 """,
     "expression_faults": """
 SELECT event_id, NULL::INTEGER AS vin_number, -1.0::DOUBLE AS fallback,

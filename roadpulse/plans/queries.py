@@ -17,7 +17,7 @@ from roadpulse.functions import text, times
 from roadpulse.operators import batching, detect, layout, mapping, metrics, parse
 from roadpulse.plans import settings as S
 from roadpulse.session import scratch_path
-from roadpulse.sinks import archive, commits, dead_letter, lookup, sizing, tables
+from roadpulse.sinks import archive, commits, dead_letter, lookup, sizing, tables, vehicle_table
 from roadpulse.sources.messages import read_messages, write_messages
 from roadpulse.sources.tables import (
     TOO_LONG_EVERY,
@@ -418,6 +418,27 @@ def events_table_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(tables.as_events_table(kept, keep=("event_id", "kept_vehicle_id")))
 
 
+@query
+def vehicle_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of each vehicle from the table distributed by vehicle; every third event is of one vehicle."""
+    records = parse.typed_record(messages(spark, sf_dir), keep=("event_id",))
+    hot = F.when(F.col("event_id") % 3 == 0, S.HOT_VEHICLE).otherwise(F.col("vehicle_id"))
+    typed = tables.as_events_table(records.withColumn("vehicle_id", hot), keep=("event_id",))
+    path = scratch_path(spark, "vehicle-table")
+    name = "by_vehicle_" + path[-12:]
+    vehicle_table.save_by_vehicle(typed, name, path, S.BUCKET_ROWS)
+    return vehicle_table.per_vehicle(
+        spark,
+        name,
+        {
+            "events": ("count", "event_id"),
+            "satellites": ("sum", "gps_satellite_count"),
+            "least_g_force": ("min", "g_force"),
+            "greatest_g_force": ("max", "g_force"),
+        },
+    )
+
+
 @query
 def events_lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events laid out for lookups by time and id, read back per policy."""

@@ -14,6 +14,8 @@ SIZE_ROLL = RollConfig(max_rows=10**6, max_size_mb=FILE_BYTES / (1024 * 1024))
 SMALL_ROWS = 200
 REFUSED_EVERY = 3001
 LOOKUP_ROWS = 2_000
+BUCKET_ROWS = 1_000
+HOT_VEHICLE = 300_000
 # Least and greatest values of the columns; None leaves an end open.
 LOOKUP = {
     "event_time": (1_704_672_000, 1_706_000_000),
