@@ -115,11 +115,12 @@ loaded AS (
 
 FORM_NUMBER = "event_id % 10 IN (0, 1, 2)"
 
-SESSIONS = f"""
+def _sessions(source: str) -> str:
+    return f"""
 gaps AS (
   SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= {S.IDLE_MICROS}
                  THEN 0 ELSE 1 END AS opens
-  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+  FROM {source} WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
 ),
 sessions AS (
   SELECT *, sum(opens) OVER (PARTITION BY event_type ORDER BY ts, event_id
@@ -133,6 +134,9 @@ numbered AS (
 )"""
 
 
+SESSIONS = _sessions("events")
+
+
 def _batches(partial: str, source: str, session: str) -> str:
     return f"""
 SELECT event_type, {session} AS session, batch_no, count(*) AS batch_rows,
@@ -600,5 +604,34 @@ WITH {SESSIONS}
 SELECT event_type AS key, count(*) AS batch_rows, min(ts) AS first_ts, max(ts) AS last_ts,
        CASE WHEN count(*) = {S.BATCH_ROWS} THEN 'count' ELSE 'idle' END AS release
 FROM numbered GROUP BY event_type, session, batch_no
+""",
+    "stream_bounded_batches": f"""
+WITH arrivals AS (
+  SELECT *, least({S.ARRIVALS - 1},
+                  (epoch_us(ts) - min(epoch_us(ts)) OVER ()) * {S.ARRIVALS}
+                  // (max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER () + 1)
+                  + CASE WHEN event_id % {S.DELAYED_EVERY} = 0 THEN 1 ELSE 0 END) AS part
+  FROM events
+),
+newest AS (
+  SELECT part, max(max(epoch_us(ts)) // 1000) OVER (ORDER BY part) - {S.LATE_BY_HOURS} * 3600000 AS passed
+  FROM arrivals GROUP BY part
+),
+marked AS (
+  SELECT a.*, epoch_us(ts) <= coalesce((SELECT max(passed) FROM newest n WHERE n.part < a.part), 0) * 1000 AS late
+  FROM arrivals a
+),
+kept AS (SELECT * FROM marked WHERE NOT late),
+{_sessions("kept")}
+SELECT event_type AS key, count(*) AS batch_rows, min(ts) AS first_ts, max(ts) AS last_ts,
+       CASE WHEN count(*) = {S.BATCH_ROWS} THEN 'count' ELSE 'idle' END AS release,
+       NULL::BIGINT AS event_id
+FROM numbered GROUP BY event_type, session, batch_no
+UNION ALL SELECT event_type, 1, ts, ts, 'late', event_id FROM marked WHERE late
+""",
+    "stream_recent_events": """
+SELECT event_type AS key, count(*)::BIGINT AS events FROM events
+WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+GROUP BY event_type
 """,
 }

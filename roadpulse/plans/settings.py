@@ -58,4 +58,9 @@ FAULTY_EXPRESSIONS = {
 }
 # A gap longer than the idle limit: the session window's own gap is exclusive.
 IDLE_GAP = "300 seconds 1 microsecond"
+# The bounded stream: events arrive in this many parts of equal length in time, each 50th a part late.
+ARRIVALS = 3
+DELAYED_EVERY = 50
+LATE_BY_HOURS = 24
+BUCKET_SECONDS = 3600
 LOAD_COLUMNS = "policy:policy_id,vin,speed_ms"

@@ -24,7 +24,7 @@ from roadpulse.sources.tables import (
     events,
     telemetry_messages,
 )
-from roadpulse.streaming import batching, pipeline
+from roadpulse.streaming import batching, bounded, pipeline
 from roadpulse.streaming.counted import sink_totals, start_counted_archive
 from roadpulse.streaming.metrics import (
     start_duration_sketches,
@@ -32,6 +32,7 @@ from roadpulse.streaming.metrics import (
     stored_quantiles,
     stored_rate,
 )
+from roadpulse.streaming.recent import start_recent, stored_recent
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -277,6 +278,79 @@ def stream_sink_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.unionByName(stored.agg(F.count(F.lit(1)).alias("value")))
 
 
+def in_arrivals(
+    spark: SparkSession, sf_dir: str, label: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Lets the events arrive part by part, some of them a part late, and drains each part.
+
+    After the last part comes one row without a key or id that moves the watermark past everything.
+    """
+    rows = events(spark, sf_dir).select("event_id", F.col("event_type").alias("key"), "ts")
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    if last is None:
+        return
+    us, least = F.unix_micros(F.col("ts").cast("timestamp")), F.unix_micros(F.lit(first).cast("timestamp"))
+    span = F.unix_micros(F.lit(last).cast("timestamp")) - least + F.lit(1)
+    part = F.floor((us - least) * F.lit(S.ARRIVALS) / span) + (F.col("event_id") % S.DELAYED_EVERY == 0).cast("int")
+    path = scratch_path(spark, f"{label}-arrivals")
+    spark.createDataFrame([], rows.schema).write.parquet(path)
+    stream = stream_rows(spark, path, rows.schema)
+    for number in range(S.ARRIVALS):
+        arriving = rows.where(F.least(part, F.lit(S.ARRIVALS - 1)) == number)
+        arriving.write.mode("append").parquet(path)
+        drained(start(stream))
+    beyond = last + timedelta(hours=S.LATE_BY_HOURS, seconds=S.BUCKET_SECONDS, microseconds=2 * S.IDLE_MICROS)
+    spark.createDataFrame([(None, None, beyond)], rows.schema).write.mode("append").parquet(path)
+    drained(start(stream))
+
+
+@query
+def stream_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of what is in time, and each event that the watermark had passed; together all events."""
+    path, checkpoint = scratch_path(spark, "bounded"), scratch_path(spark, "bounded-checkpoint")
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        late_by, idle_ms = f"{S.LATE_BY_HOURS} hours", S.IDLE_MICROS // 1000
+        batches = bounded.bounded_batches(
+            rows, "key", "ts", S.BATCH_ROWS, idle_ms, late_by, F.col("event_id"), S.BUCKET_SECONDS
+        )
+        return bounded.start_bounded_batches(batches, path, checkpoint, pipeline.DRAIN)
+
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        in_arrivals(spark, sf_dir, "bounded", start)
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    one = F.lit(1).cast("bigint").alias("batch_rows")
+    late = bounded.late_rows(spark, path).select(
+        "key", one, F.col("ts").alias("first_ts"), F.col("ts").alias("last_ts"), "release", "row_id"
+    )
+    found = bounded.stored_batches(spark, path).drop("shard").unionByName(late, allowMissingColumns=True)
+    return found.select(
+        "key",
+        "batch_rows",
+        F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
+        F.col("last_ts").cast("timestamp_ntz").alias("last_ts"),
+        "release",
+        F.col("row_id").cast("bigint").alias("event_id"),
+    )
+
+
+@query
+def stream_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live count by type over the last day of the events, read when all parts have arrived."""
+    path, checkpoint = scratch_path(spark, "recent"), scratch_path(spark, "recent-checkpoint")
+    day = 86_400
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        known = rows.where("event_id is not null")
+        return start_recent(known, "ts", ("key",), path, checkpoint, day, S.BUCKET_SECONDS, pipeline.DRAIN)
+
+    in_arrivals(spark, sf_dir, "recent", start)
+    return stored_recent(spark, path, "key string", ("key",), day)
+
+
 def closed(
     spark: SparkSession, sf_dir: str, batches: Callable[[DataFrame, str], DataFrame], label: str
 ) -> DataFrame:
