@@ -23,6 +23,8 @@ RELEASED = (
 )
 OPEN_BATCH = "batch_rows bigint, first_us bigint, last_us bigint"
 WAITING = "us array<bigint>"
+#: Batch numbers of a session that are made at once.
+RUN = 4096
 
 # The processor travels with its query, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -172,9 +174,14 @@ def session_batches(
         .agg(F.count(F.lit(1)).alias("session_rows"), F.min("ts").alias("first_ts"))
     )
     last = F.floor((F.col("session_rows") - F.lit(1)) / F.lit(batch_size)).cast("bigint")
-    numbered = sessions.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("batch_no")
+    # Numbers come in runs, so that no array grows with a session's batches.
+    run = F.lit(RUN).cast("bigint")
+    runs = sessions.withColumn("_last", last).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_last") / run).cast("bigint"))).alias("_run")
     )
+    begin = F.col("_run") * run
+    end = F.least(begin + run - F.lit(1), F.col("_last"))
+    numbered = runs.select("*", F.explode(F.sequence(begin, end)).alias("batch_no"))
     size = F.least(
         F.lit(batch_size).cast("bigint"),
         F.col("session_rows") - F.col("batch_no") * F.lit(batch_size),

@@ -149,7 +149,8 @@ def bounded_batches(
     without a time with 'untimed'. A null key is a key. Batches of rows that are in time are the same for any
     micro-batches. Times before 1970 are late from the start, because watermarks begin there. The open batch of
     a quiet key goes out once the watermark is ``idle_ms`` past it. ``shards`` splits a busy key by
-    ``spread_by``; each shard batches by itself. Needs the RocksDB state store.
+    ``spread_by``; each shard batches by itself. A micro-batch writes again the buckets that it adds to, so
+    ``bucket_seconds`` should be near the time between two of them. Needs the RocksDB state store.
     """
     shard = F.pmod(F.hash(spread_by), F.lit(shards)) if spread_by and shards > 1 else F.lit(0)
     own = F.lit(None) if row_id is None else row_id

@@ -258,6 +258,30 @@ def test_released_batches_keep_every_row_over_batches(spark, place, shards):
         assert sorted(row.batch_rows for row in found) == [10] * 5
 
 
+def test_a_long_session_is_numbered_in_runs(spark, place, monkeypatch):
+    """Batch numbers are gapless where a session has more batches than a run, or exactly as many."""
+    monkeypatch.setattr(batching, "RUN", 4)
+    start = datetime(2024, 1, 1)
+    rows = [("long", start + timedelta(seconds=i)) for i in range(21)]
+    rows += [("even", start + timedelta(seconds=i)) for i in range(16)]
+    rows.append(("end", start + timedelta(days=1)))
+    spark.createDataFrame(rows, "key string, ts timestamp_ntz").coalesce(1).write.parquet(f"{place}/in")
+    stream = stream_rows(spark, f"{place}/in", spark.read.parquet(f"{place}/in").schema)
+    batches = batching.session_batches(stream, "key", "ts", 2, "1 minute", "1 second")
+    run = (
+        batches.writeStream.format("parquet")
+        .option("path", f"{place}/out")
+        .option("checkpointLocation", f"{place}/checkpoint")
+        .trigger(**pipeline.DRAIN)
+        .start()
+    )
+    run.awaitTermination()
+    found = spark.read.schema(batches.schema).parquet(f"{place}/out").collect()
+    assert sorted((r.key, r.batch_no, r.batch_rows) for r in found) == sorted(
+        [("long", i, 2 if i < 10 else 1) for i in range(11)] + [("even", i, 2) for i in range(8)]
+    )
+
+
 def interleaved(spark, sf_dir, place):
     """The events in four files whose times overlap, read one file a micro-batch."""
     whole = spark.read.parquet(f"{sf_dir}/events.parquet")
