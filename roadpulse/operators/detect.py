@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import DEFAULT_THRESHOLD, DetectorConfig
 from roadpulse.functions import json_fields as jf
-from roadpulse.operators.parse import keep_where
+from roadpulse.operators.parse import keep_where, lenient_record
+from roadpulse.schema import ARCHIVE_TYPES
 
 HASH_SPACE = 1 << 32
 
@@ -56,6 +57,26 @@ def detected(
     )
 
 
+def detected_record(
+    messages: DataFrame, threshold: float = DEFAULT_THRESHOLD, value: str = "value"
+) -> DataFrame:
+    """Adds ``is_valid``, ``is_accident`` and the typed ``record``, all from one parse of the message.
+
+    For routes that need both the flags and the fields. A message that is not valid has a record of
+    empty fields. The messages' own columns may have names of record fields.
+    """
+    rows = messages.select(F.struct("*").alias("_source"), F.col(value))
+    typed = lenient_record(rows, ARCHIVE_TYPES, value, keep=("_source",), valid="_valid")
+    valid = F.coalesce("_valid", F.lit(False))
+    number = F.coalesce("g_force", F.lit(0.0))
+    return typed.select(
+        "_source.*",
+        valid.alias("is_valid"),
+        (valid & exceeds(number, threshold)).alias("is_accident"),
+        F.struct(*ARCHIVE_TYPES).alias("record"),
+    )
+
+
 def hash_fraction(key: Column) -> Column:
     """A repeatable number in [0, 1) drawn from the key."""
     head = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.config import ArchiveConfig, DetectorConfig, TableSinkConfig
-from roadpulse.operators import detect, mapping, parse
+from roadpulse.operators import detect, mapping
 from roadpulse.plans import settings as S
 from roadpulse.plans.queries import query, simple_text, with_duration
 from roadpulse.schema import TABLE_TEXT_LENGTH
@@ -104,7 +104,7 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One read of the source, four routes: archive, accidents, their log tap, quarantine."""
+    """One read and one parse of the source, four routes: archive, accidents, their log tap, quarantine."""
     paths = {
         name: scratch_path(spark, f"route-{name}")
         for name in ("archive", "accidents", "log", "quarantine")
@@ -112,8 +112,7 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = {name: pipeline.repeatable_parquet(path) for name, path in paths.items()}
 
     def archive(batch: DataFrame, batch_id: int) -> None:
-        accepted = batch.where("is_valid")
-        stores["archive"](parse.typed_record(accepted, keep=("event_id",)), batch_id)
+        stores["archive"](batch.where("is_valid").select("event_id", "record.*"), batch_id)
 
     def accidents(batch: DataFrame, batch_id: int) -> None:
         stores["accidents"](batch.where("is_accident").select("event_id", "value"), batch_id)
@@ -129,7 +128,7 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_path(spark, "fanout-checkpoint")
     started = pipeline.each_batch(
         broken_stream(spark, sf_dir),
-        pipeline.fan_out(routes, lambda batch: detect.detected(batch, S.THRESHOLD)),
+        pipeline.fan_out(routes, lambda batch: detect.detected_record(batch, S.THRESHOLD)),
         checkpoint,
     ).start()
     drained(started)

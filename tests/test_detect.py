@@ -46,6 +46,17 @@ def test_marks_agree_with_the_filter(texts):
     assert {row.value: (row.is_valid, row.is_accident) for row in rows} == MESSAGES
 
 
+def test_one_parse_gives_the_same_marks_and_record(texts):
+    """Beside a column of the messages that is named like a record field."""
+    named = texts(*MESSAGES, None).withColumn("vin", F.lit("own"))
+    rows = detect.detected_record(named).collect()
+    assert {r.value: (r.is_valid, r.is_accident) for r in rows} == MESSAGES | {None: (False, False)}
+    assert {r.vin for r in rows} == {"own"}
+    typed = parse.typed_record(texts(*MESSAGES, None), keep=("value",)).collect()
+    alone = {r.value: str(tuple(r)[1:]) for r in typed}
+    assert {r.value: str(tuple(r.record)) for r in rows} == alone
+
+
 def test_negative_threshold_takes_valid_messages_only(texts):
     kept = detect.accident_filter(texts(*MESSAGES), DetectorConfig(threshold=-1.0)).collect()
     nan = '{"g_force":"NaN"}'

@@ -8,7 +8,7 @@ import random
 import re
 from decimal import Decimal
 
-from roadpulse.operators.detect import accident_filter, detected
+from roadpulse.operators.detect import accident_filter, detected, detected_record
 from roadpulse.operators.parse import lenient_record
 
 KINDS = {"i": "int", "l": "bigint", "d": "double", "s": "string", "b": "boolean"}
@@ -157,6 +157,7 @@ def test_damaged_messages_are_told_from_good_ones(spark):
         texts.append(text)
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
     read = {row.n: (row.is_valid, row.is_accident) for row in detected(frame).collect()}
+    assert read == {row.n: (row.is_valid, row.is_accident) for row in detected_record(frame).collect()}
     kept = {row.n for row in accident_filter(frame).collect()}
     wrong = []
     for n, text in enumerate(texts):
