@@ -3,8 +3,9 @@
 The records are ranged by (keys, age bucket, time) into slices and written once. What a row takes when
 encoded is measured there: a slice file's bytes, shared out by the raw length of its rows. Prefix sums along
 each key then cut the rows into files where either limit is reached; a file never reaches over
-two age buckets. Every file is written by one task of its own. Whether all files keep the byte limit is read
-from the written files before they count; otherwise they are cut anew, finer by what they were over.
+two age buckets. A task writes many files, each in a folder of its own there, so that tasks are far fewer than
+small files. Whether all files keep the byte limit is read from the written files before they count; otherwise
+they are cut anew, finer by what they were over.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import ArchiveConfig, RollConfig
 from roadpulse.operators.ordered import SLICE, Ordered, ordered, with_index, with_running
-from roadpulse.session import scratch_path
+from roadpulse.session import default_slices, scratch_path
 from roadpulse.sinks import commits
 
 # Fixed value: the archive's compression.
@@ -24,7 +25,11 @@ COMPRESSION = "snappy"
 #: Share of the byte limit that a cut aims at, as encoding varies from file to file.
 FILL = 0.9
 MOST_ATTEMPTS = 5
-FILE, FILE_NO, BUCKET = "_file", "_file_no", "_age_bucket"
+#: Files that one task writes one after another, where folders are many enough.
+FILES_PER_TASK = 100
+# Fixed value: each task moves its files into place, not the driver all of them; no reader sees them before the commit.
+TASKS_COMMIT = ("mapreduce.fileoutputcommitter.algorithm.version", 2)
+TASK, FILE_NO, BUCKET = "_task_no", "_file_no", "_age_bucket"
 
 
 def age_bucket(ts: str, roll: RollConfig) -> Column:
@@ -62,25 +67,45 @@ def cut(data: Ordered, roll: RollConfig, size: str, share: float = 1.0) -> DataF
     return filled.withColumn(FILE_NO, number.cast("bigint")).drop("_fill", "_filled")
 
 
-def write_files(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], partitions: tuple[str, ...], path: str, drop: tuple[str, ...] = ()) -> None:
-    """One file for each (keys, file number), each written by a task of its own."""
+def dealt_files(rows: DataFrame, keys: tuple[str, ...], partitions: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """(the task of each (keys, file number), number of tasks), dealt so that no task has two files of one folder.
+
+    So a task's files are kept apart by their folders. The files are numbered folder by folder and dealt in
+    turn to at least as many tasks as the fullest folder has files.
+    """
     spark = rows.sparkSession
     named = (*keys, FILE_NO)
-    files = with_index(rows.select(*named).distinct(), named, FILE)
+    # NULL and the empty text are one folder.
+    folders = {f"_d{i}": F.nullif(F.col(name).cast("string"), F.lit("")) for i, name in enumerate(partitions)}
+    files = rows.select(*named).distinct().withColumns(folders)
+    numbered = with_index(files, (*folders, *named), "_at")
     held = scratch_path(spark, "files")
-    files.write.parquet(held)
-    files = spark.read.schema(files.schema).parquet(held)
+    numbered.write.parquet(held)
+    numbered = spark.read.schema(numbered.schema).parquet(held)
+    in_folder = numbered.groupBy(*folders).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = in_folder.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    tasks = max(most, -(-total // FILES_PER_TASK), min(total, default_slices(spark)))
+    return numbered.select(*named, (F.col("_at") % F.lit(max(tasks, 1))).cast("int").alias(TASK)), tasks
+
+
+def write_files(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], partitions: tuple[str, ...], path: str, drop: tuple[str, ...] = ()) -> int:
+    """One file for each (keys, file number); returns the number of tasks that wrote them."""
+    named = (*keys, FILE_NO)
+    files, tasks = dealt_files(rows, keys, partitions)
+    renamed = files.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(named)], TASK)
     same = [F.col(f"_k{i}").eqNullSafe(F.col(c)) for i, c in enumerate(named)]
-    placed = rows.join(files.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(named)], FILE), same)
-    placed = placed.drop(*[f"_k{i}" for i in range(len(named))], FILE_NO)
+    placed = rows.join(renamed, same).drop(*[f"_k{i}" for i in range(len(named))], FILE_NO)
     (
-        placed.repartitionById(max(files.count(), 1), F.col(FILE).cast("int"))
-        .sortWithinPartitions(FILE, *order)
-        .drop(FILE, *drop)
+        placed.repartitionById(max(tasks, 1), F.col(TASK))
+        .sortWithinPartitions(*partitions, *order)
+        .drop(TASK, *drop)
         .write.option("compression", COMPRESSION)
+        .option("maxRecordsPerFile", 0)
+        .option(*TASKS_COMMIT)
         .partitionBy(*partitions)
         .parquet(path)
     )
+    return tasks
 
 
 def write_sized(
@@ -107,12 +132,14 @@ def write_sized(
         change = commits.new_change()
         folder = commits.data_folder(config.path, change)
         rows = cut(data, roll, size or "_bytes", share).drop("_raw", *([] if size else ["_bytes"]))
-        write_files(rows, keys, (ts, tie_breaker), partitions, folder, (BUCKET,))
+        if not write_files(rows, keys, (ts, tie_breaker), partitions, folder, (BUCKET,)):
+            return None
+        if size:
+            commits.commit(spark, config.path, change)
+            return change
         written = spark.read.schema(f"`{ts}` {records.schema[ts].dataType.simpleString()}").parquet(folder)
         largest = written.agg(F.max("_metadata.file_size")).first()[0]
-        if largest is None:
-            return None
-        if size or largest <= roll.max_bytes:
+        if largest <= roll.max_bytes:
             commits.commit(spark, config.path, change)
             return change
         share *= 0.95 * roll.max_bytes / largest

@@ -64,6 +64,21 @@ def test_a_row_above_the_limit_has_a_file_of_its_own(spark, folder):
     assert sorted(r.ids for r in found.collect()) == [[0, 1], [2, 3, 4, 5]]
 
 
+def test_a_task_writes_many_files(spark, folder, monkeypatch):
+    ran = []
+    write = sizing.write_files
+    monkeypatch.setattr(sizing, "write_files", lambda *args: ran.append(write(*args)) or ran[-1])
+    place = F.element_at(F.array(F.lit("a b"), F.lit(""), F.lit(None), F.lit("x/y")), (F.col("id") % 4 + 1).cast("int"))
+    rows = spark.range(2400).select("id", place.alias("place"), (F.col("id") % 3).alias("part"), F.timestamp_seconds("id").alias("ts"))
+    config = ArchiveConfig(folder, ("part", "place"), roll=RollConfig(max_rows=20))
+    sizing.write_sized(rows, config, "ts", "id", size="id", by_age=False, slices=4)
+    files = commits.read(spark, folder, files=True).groupBy("part", "place", "file_path").agg(F.count("id").alias("n")).collect()
+    # NULL and the empty text are one folder with twice the files
+    assert len(files) == 120 and all(f.n == 20 for f in files) and ran == [20]
+    back = commits.read(spark, folder).select("id", "part").collect()
+    assert sorted(map(tuple, back)) == [(i, i % 3) for i in range(2400)]
+
+
 def test_nothing_to_write(spark, folder):
     config = ArchiveConfig(folder)
     assert sizing.write_sized(records(spark, 0), config, "ts", "id") is None
