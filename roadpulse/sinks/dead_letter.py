@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.config import DEFAULT_MAX_ATTEMPTS
 from roadpulse.operators.ordered import with_index
@@ -82,7 +84,8 @@ class Part:
 class Ledger:
     """Which parts of which batches were written or parked, kept over restarts.
 
-    A part is an empty file of its own in a shared folder, made in one step after its write.
+    A part is a file of its own in a shared folder, made after its write; it holds how many of the part's
+    messages the target refused, or nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -96,19 +99,74 @@ class Ledger:
         system, found = self._file(part, outcome)
         return system.exists(found)
 
-    def add(self, part: Part, outcome: str) -> None:
+    def add(self, part: Part, outcome: str, refused: int = 0) -> None:
         system, found = self._file(part, outcome)
-        system.create(found, True).close()
+        out = system.create(found, True)
+        if refused:
+            out.writeBytes(str(refused))
+        out.close()
+
+    def refused(self, part: Part, outcome: str) -> int:
+        system, found = self._file(part, outcome)
+        length = system.getFileStatus(found).getLen()
+        if not length:
+            return 0
+        held = system.open(found)
+        digits = "".join(chr(held.readByte()) for _ in range(length))
+        held.close()
+        return int(digits)
 
 
 # What became of a part.
 WRITTEN, SPLIT, PARKED = "written", "split", "parked"
 
 
+#: Gives rows to a target; raises if it does not take all of them.
+Insert = Callable[[pa.RecordBatch], None]
+
+
+def refusals(rows: pa.RecordBatch, insert: Insert, max_attempts: int) -> list[str | None]:
+    """The error class of each row that the target does not take; rows whose insert fails are halved."""
+    found: list[str | None] = [None] * rows.num_rows
+    todo = [(0, rows.num_rows)]
+    while todo:
+        first, end = todo.pop()
+        alone, middle = end - first == 1, (first + end) // 2
+        for _ in range(max_attempts if alone else 1):
+            try:
+                if end > first:
+                    insert(rows.slice(first, end - first))
+                break
+            except Exception as error:
+                failure = type(error).__name__
+        else:
+            if alone:
+                found[first] = failure
+            else:
+                todo += [(middle, end), (first, middle)]
+    return found
+
+
+def insert_each(rows: DataFrame, insert: Insert, max_attempts: int = DEFAULT_MAX_ATTEMPTS) -> DataFrame:
+    """The rows with ``error_class``: why the target refused a row, NULL where it took it.
+
+    Every task gives its own rows to the target, so refused rows cost no jobs of their own. A single row
+    that fails is tried ``max_attempts`` times. A task may run again, so inserts must be safe to repeat.
+    """
+
+    def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array(refusals(batch, insert, max_attempts), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "error_class"])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("error_class", T.StringType())])
+    return rows.mapInArrow(tried, schema)
+
+
 def deliver_each(
     rows: DataFrame,
-    write: Callable[[DataFrame, Part], None],
-    quarantine: Callable[[DataFrame, str, int, Part], None],
+    write: Callable[[DataFrame, Part], DataFrame | None],
+    quarantine: Callable[[DataFrame, str | Column, int, Part], None],
     ledger: Ledger,
     batch_id: int,
     max_attempts: int = DEFAULT_MAX_ATTEMPTS,
@@ -122,6 +180,10 @@ def deliver_each(
     again goes on where it stopped, and a part is written twice only if the job was lost between its write
     and its entry, which a writer that replaces what it wrote under ``part.name`` makes good.
 
+    A ``write`` that finds the refused messages itself (with ``insert_each``, after ``max_attempts`` tries of
+    each) returns them with their ``error_class``: those are parked together, and a batch costs one write,
+    however many they are.
+
     With more than ``most_parked`` messages refused the target itself is taken to be broken: the error
     is raised, and the stream delivers the batch again later.
     """
@@ -135,7 +197,10 @@ def deliver_each(
     todo = [Part(batch_id, 0, held.count())]
     while todo:
         part = todo.pop()
-        if part.first == part.end or ledger.has(part, WRITTEN):
+        if part.first == part.end:
+            continue
+        if ledger.has(part, WRITTEN):
+            parked += ledger.refused(part, WRITTEN)
             continue
         if ledger.has(part, PARKED):
             parked += 1
@@ -148,8 +213,7 @@ def deliver_each(
         own = held.where((F.col("_place") >= part.first) & (F.col("_place") < part.end)).select(*names)
         for attempt in range(1, (max_attempts if alone else 1) + 1):
             try:
-                write(own, part)
-                ledger.add(part, WRITTEN)
+                refused = write(own, part)
                 break
             except Exception as error:
                 failure = error
@@ -163,4 +227,12 @@ def deliver_each(
             quarantine(own, type(failure).__name__, attempt, part)
             ledger.add(part, PARKED)
             parked += 1
+            continue
+        several = 0 if refused is None else refused.count()
+        if most_parked is not None and parked + several > most_parked:
+            raise RuntimeError(f"the target refused {parked + several} messages")
+        if several:
+            quarantine(refused, F.col("error_class"), max_attempts, part)
+        ledger.add(part, WRITTEN, several)
+        parked += several
     return parked
