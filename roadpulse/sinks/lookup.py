@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.schema import LOOKUP_COLUMNS
+from roadpulse.session import scratch_path
 from roadpulse.sinks import commits
 
 # Fixed value: the archive's compression.
@@ -48,8 +49,14 @@ def write_lookup(
     rows_per_file: int = ROWS_PER_FILE,
     bits: int = BITS,
 ) -> None:
-    """Adds the events to the lookup files and their ranges to the table of files."""
+    """Adds the events to the lookup files and their ranges to the table of files.
+
+    The events are computed once and held, as they are read for their number, their cuts and their places.
+    """
     spark = events.sparkSession
+    held = scratch_path(spark, "lookup-rows")
+    events.write.parquet(held)
+    events = spark.read.schema(events.schema).parquet(held)
     rows = events.count()
     if not rows:
         return
@@ -62,6 +69,8 @@ def write_lookup(
     for name in columns:
         if name.endswith("_id"):
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+            # without it every filter takes the most bytes allowed, however few rows the file has
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{name}", min(rows, rows_per_file))
     writer.parquet(folder)
     ends = [f(c).alias(f"{end}_{c}") for c in columns for f, end in ((F.min, "least"), (F.max, "greatest"))]
     written = spark.read.parquet(folder)

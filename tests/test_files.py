@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import random
 import uuid
@@ -191,6 +192,21 @@ def test_lookups_read_few_files(spark, folder, conditions, most):
     assert len(read) <= len(files)
 
 
+def test_lookup_files_are_no_larger_than_their_rows_need(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = telemetry(spark, 600)
+    lookup.write_lookup(rows.mapInArrow(counted, rows.schema), folder, rows_per_file=100)
+    sizes = [r.size for r in commits.read(spark, folder, files=True).select("file_path", F.col("file_size").alias("size")).distinct().collect()]
+    assert len(sizes) >= 5 and max(sizes) < 100_000
+    assert seen.value == 600
+
+
 class Target:
     """Keeps rows by part; refuses parts with a bad row, and single writes while it is down."""
 
@@ -266,6 +282,46 @@ def test_single_messages_are_tried_again(spark, texts, folder):
     assert target.rows == ["a"] and target.writes == 3
 
 
+def refuses_sevens(batch) -> None:
+    if any(json.loads(value)["a"] % 7 == 0 for value in batch["value"].to_pylist()):
+        raise ValueError("refused")
+
+
+def test_many_refused_messages_cost_one_write(spark, folder, texts):
+    writes, letters = [], {}
+    rows = f"{folder}/rows"
+    store = pipeline.row_parquet(rows, refuses_sevens, max_attempts=2)
+
+    def write(part, name):
+        writes.append(name)
+        return store(part, name)
+
+    def quarantine(part, name):
+        letters[name] = [(r.payload, r.error_class, r.attempts) for r in part.collect()]
+
+    def load(ledger, batch_id, most=None):
+        loader = pipeline.message_loader(
+            write=write,
+            quarantine=quarantine,
+            transform=lambda part: part.select("value", F.get_json_object("value", "$.a").cast("int").alias("a")),
+            ledger=Ledger(spark, ledger),
+            config=TableSinkConfig(max_attempts=2),
+            most_parked=most,
+        )
+        loader(texts(*[f'{{"a":{i}}}' for i in range(500)], "no json"), batch_id)
+
+    load(f"{folder}/ledger", 1)
+    assert len(writes) == 1
+    stored = spark.read.parquet(rows)
+    assert sorted(r.a for r in stored.select("a").collect()) == [i for i in range(500) if i % 7] and "value" not in stored.columns
+    refused = [(f'{{"a":{i}}}', "ValueError", 2) for i in range(0, 500, 7)]
+    assert sorted(x for part in letters.values() for x in part) == sorted([*refused, ("no json", "JsonParseException", 2)])
+    load(f"{folder}/ledger", 1)
+    assert len(writes) == 1 and Ledger(spark, f"{folder}/ledger").refused(Part(1, 0, 500), "written") == 72
+    with pytest.raises(RuntimeError, match="refused 72"):
+        load(f"{folder}/other", 2, most=71)
+
+
 def test_message_loader_parks_unreadable_and_refused(spark, texts, folder):
     letters = {}
     target = Target({"7"})
