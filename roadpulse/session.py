@@ -33,13 +33,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{app_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove one intermediate table that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def clean_up(spark: SparkSession) -> bool:
     """Remove all that this application has written as intermediate tables.
 
     Call it when the results have been consumed: they may still read those tables until then.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(app_folder(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return remove(spark, app_folder(spark))
 
 
 def default_slices(spark: SparkSession) -> int:

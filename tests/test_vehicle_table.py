@@ -60,6 +60,35 @@ def test_a_hot_vehicle_lies_in_several_files(spark, saved, hot):
     assert result(spark, name) == plain(rows)
 
 
+def test_buckets_follow_the_volume_in_small_steps(spark, saved):
+    rows = events(spark, 4_000, F.col("id") % 97)
+    buckets, name, _ = saved(rows)
+    assert buckets == 48 and result(spark, name) == plain(rows)
+    files = spark.table(name).select(F.col("_metadata.file_path")).distinct().count()
+    assert files <= buckets and vehicle_table.writing_tasks(48, 100) == 3
+    assert vehicle_table.writing_tasks(48, vehicle_table.BUCKET_ROWS) == 48
+
+
+def test_totals_with_a_hot_vehicle_scan_the_table_once(spark, saved):
+    rows = events(spark, 3_000, F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 97))
+    _, name, _ = saved(rows)
+    plan = vehicle_table.per_vehicle(spark, name, TOTALS)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_the_events_are_computed_once(spark, saved):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = events(spark, 500, F.col("id") % 7)
+    saved(rows.mapInArrow(counted, rows.schema))
+    assert seen.value == 500
+
+
 def test_empty_and_repeated_rows(spark, saved):
     buckets, name, _ = saved(events(spark, 0, F.col("id")))
     assert buckets == 1 and result(spark, name) == []
