@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.config import (
+    DEFAULT_MAX_ATTEMPTS,
     DEFAULT_TRIGGER_SECONDS,
     ArchiveConfig,
     DetectorConfig,
@@ -26,22 +27,24 @@ from roadpulse.operators.mapping import message_frame, missing_count
 from roadpulse.operators.metrics import detector_aggregates, metric_rows
 from roadpulse.operators.parse import keep_where, lenient_record, with_validity
 from roadpulse.schema import ARCHIVE_TYPES
-from roadpulse.session import scratch_path
+from roadpulse.session import remove, scratch_path
 from roadpulse.sinks.archive import COMPRESSION
 from roadpulse.sinks.dead_letter import (
     MISFIT,
+    Insert,
     Ledger,
     Part,
     dead_letters,
     deliver,
     deliver_each,
     error_class,
+    insert_each,
 )
 
 DRAIN = {"availableNow": True}
 
 BatchWriter = Callable[[DataFrame, int], None]
-PartWriter = Callable[[DataFrame, str], None]
+PartWriter = Callable[[DataFrame, str], DataFrame | None]
 
 
 def every(seconds: int) -> dict:
@@ -186,17 +189,21 @@ def fan_out(
     """One batch to several writers, read from the source once.
 
     ``prepare`` does the work the routes share (such as parsing) before the batch is kept for
-    them. An empty batch is skipped.
+    them. It is kept in files, which tasks read in parts of bounded size and only the columns that a route
+    needs, however much of the batch one task wrote. An empty batch is skipped.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = (prepare(batch) if prepare else batch).persist()
+        spark, rows = batch.sparkSession, prepare(batch) if prepare else batch
+        path = scratch_path(spark, "fan-out")
         try:
+            rows.write.parquet(path)
+            kept = spark.read.schema(rows.schema).parquet(path)
             if not kept.isEmpty():
                 for route in routes.values():
                     route(kept, batch_id)
         finally:
-            kept.unpersist()
+            remove(spark, path)
 
     return write
 
@@ -282,6 +289,22 @@ def part_parquet(path: str) -> PartWriter:
     return write
 
 
+def row_parquet(path: str, insert: Insert, value: str = "value", max_attempts: int = DEFAULT_MAX_ATTEMPTS) -> PartWriter:
+    """The same for a target that can refuse single rows (see ``insert_each``); returns the refused rows with
+    their ``error_class``. ``value``, the message itself, is not stored."""
+
+    def write(rows: DataFrame, part: str) -> DataFrame:
+        spark, held = rows.sparkSession, scratch_path(rows.sparkSession, "tried")
+        tried = insert_each(rows, insert, max_attempts)
+        tried.write.parquet(held)
+        kept = spark.read.schema(tried.schema).parquet(held)
+        taken = kept.where("error_class is null").drop("error_class", value)
+        taken.write.mode("overwrite").parquet(f"{path}/part={part}")
+        return kept.where("error_class is not null")
+
+    return write
+
+
 def message_loader(
     write: PartWriter,
     quarantine: PartWriter,
@@ -294,7 +317,8 @@ def message_loader(
     """Loads a batch message by message where it must: only what can't be parsed or what the target
     refuses is quarantined, whatever else is in the batch (see ``deliver_each``).
 
-    ``write`` and ``quarantine`` get rows and the name of their part of the batch.
+    ``write`` and ``quarantine`` get rows and the name of their part of the batch. Where ``write`` returns the
+    rows that it refused (as ``row_parquet`` does), ``transform`` has to keep ``value``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -304,7 +328,7 @@ def message_loader(
         unreadable = marked.where("error_class is not null")
         quarantine(dead_letters(unreadable, F.col("error_class"), value, tries), f"{batch_id}-unreadable")
 
-        def park(rows: DataFrame, failure: str, attempts: int, part: Part) -> None:
+        def park(rows: DataFrame, failure: str | Column, attempts: int, part: Part) -> None:
             quarantine(dead_letters(rows, F.lit(failure), value, attempts), part.name)
 
         accepted = marked.where("error_class is null").drop("error_class")

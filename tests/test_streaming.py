@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -79,6 +80,17 @@ def test_archive_by_date_and_driver(spark, place):
     assert 1 <= len(files) <= config.splits
 
 
+def test_fan_out_keeps_a_batch_in_files_while_it_is_routed(spark):
+    held = []
+
+    def route(batch, _):
+        held.extend(batch.inputFiles())
+        assert batch.count() == 40
+
+    pipeline.fan_out({"a": route, "b": route})(spark.range(40), 1)
+    assert held and not any(os.path.exists(path.removeprefix("file://")) for path in held)
+
+
 def test_fan_out_feeds_every_route_and_skips_empty_batches(spark):
     seen = []
     routes = {
