@@ -27,8 +27,6 @@ FILL = 0.9
 MOST_ATTEMPTS = 5
 #: Files that one task writes one after another, where folders are many enough.
 FILES_PER_TASK = 100
-# Fixed value: each task moves its files into place, not the driver all of them; no reader sees them before the commit.
-TASKS_COMMIT = ("mapreduce.fileoutputcommitter.algorithm.version", 2)
 TASK, FILE_NO, BUCKET = "_task_no", "_file_no", "_age_bucket"
 
 
@@ -101,7 +99,6 @@ def write_files(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
         .drop(TASK, *drop)
         .write.option("compression", COMPRESSION)
         .option("maxRecordsPerFile", 0)
-        .option(*TASKS_COMMIT)
         .partitionBy(*partitions)
         .parquet(path)
     )
