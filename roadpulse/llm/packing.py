@@ -27,7 +27,7 @@ from roadpulse.llm.shared import arrow_rows, by_batch, stored
 WINDOW = 2048
 SEPARATOR = 1
 PAD = 0
-#: Distinct pieces that a worker remembers; beyond it the memory starts anew.
+#: Distinct pieces that a worker remembers; beyond it only those met again are kept, half of it at most.
 MEMORY_WORDS = 600_000
 _AT_ONCE = 500
 _SLOT_BITS = 22
@@ -37,6 +37,22 @@ _LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _marked(size: int, *places: np.ndarray) -> np.ndarray:
+    """True at the given places, of 0 to ``size``."""
+    mask = np.zeros(size + 1, bool)
+    for at in places:
+        mask[at] = True
+    return mask
+
+
+def _appended(held: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``held`` with ``new`` after its first ``used`` values, in twice the room where it is too short."""
+    if used + len(new) > len(held):
+        held = np.concatenate((held[:used], np.zeros(max(used, len(new)), held.dtype)))
+    held[used : used + len(new)] = new
+    return held
+
+
 class WordEncoder:
     """Token ids of texts by way of their distinct pieces, for a tokenizer that drops white space,
     lower-cases, and never joins letters with anything else but in endings after an apostrophe.
@@ -45,6 +61,8 @@ class WordEncoder:
     once. A piece is a word, or a run of letters or of other characters in a word that holds only
     ASCII and Latin-1 letters and no apostrophe. The tokenizer's added tokens are cut out of words first,
     as the tokenizer does, and are pieces of their own; other case is other text for them.
+
+    All sets of places are masks over a slice's bytes, so a slice takes time in proportion to its bytes.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -63,15 +81,40 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.zeros(1, np.uint64)  # the first stands for an unknown piece
+        self.count, self.filled = 1, 0  # the first piece stands for an unknown one
+        self.known = np.zeros(1, np.uint64)
         self.begin = np.zeros(1, np.int64)
         self.size = np.zeros(1, np.int32)
+        self.met = np.zeros(1, bool)
         self.ids = np.zeros(0, self.kind)
         self.slot = np.zeros(1 << _SLOT_BITS, np.int32)
 
-    def pieces(self, data: np.ndarray, bounds: np.ndarray) -> tokens.Words:
-        start, end = tokens.spans(tokens.WHITE[data], bounds)
-        if len(data):
+    def _keep_met(self) -> None:
+        """Forget the pieces that were not met after they were learnt."""
+        keep = 1 + np.flatnonzero(self.met[1 : self.count])[: MEMORY_WORDS // 2]
+        hashes, begin, size = self.known[keep], self.begin[keep], self.size[keep]
+        ids = self.ids[np.repeat(begin, size) + tokens.ranges(size)]
+        self._forget()
+        self._add(hashes, size, ids)
+
+    def _add(self, hashes: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Remember new pieces; ``ids`` holds theirs one after another."""
+        held, begin = self.count, self.filled + np.cumsum(size) - size
+        self.known = _appended(self.known, held, hashes)
+        self.begin = _appended(self.begin, held, begin)
+        self.size = _appended(self.size, held, size)
+        self.met = _appended(self.met, held, np.zeros(len(hashes), bool))
+        self.ids = _appended(self.ids, self.filled, ids)
+        self.count, self.filled = held + len(hashes), self.filled + len(ids)
+        self._insert(hashes, np.arange(held, self.count, dtype=np.int32))
+
+    def pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[tokens.Words, np.ndarray]:
+        """The pieces of all texts, and which of them are runs of letters."""
+        inside = tokens.WHITE[data]
+        start, end = tokens.spans(inside, bounds)
+        plain = np.zeros(len(start), bool)
+        first = start[:0]
+        if len(start):
             letter = _LETTER[data]
             latin = data == 0xC3
             tail = np.zeros(len(data), bool)
@@ -80,26 +123,28 @@ class WordEncoder:
             odd = (data == 0x27) | ((data >= 0x80) & ~latin & ~tail)
             odd[:-1] |= latin[:-1] & ~tail[1:]
             odd[-1] |= latin[-1]
-            breaks = np.flatnonzero(letter[1:] != letter[:-1]) + 1
+            breaks = np.flatnonzero((letter[1:] != letter[:-1]) & inside[1:] & inside[:-1]) + 1
             word = np.searchsorted(start, breaks, "right") - 1
-            fits = (word >= 0) & (breaks < end[word]) & (breaks > start[word]) if len(start) else np.zeros(len(breaks), bool)
-            breaks, word = breaks[fits], word[fits]
             strange = np.concatenate(([0], np.cumsum(odd)))
-            breaks = breaks[strange[end[word]] == strange[start[word]]]
+            # a break at a word's start lies between two texts
+            breaks = breaks[(breaks > start[word]) & (strange[end[word]] == strange[start[word]])]
             first, last = self._added(data, start, end)
             if len(first):
                 at = np.searchsorted(first, breaks, "right") - 1
                 breaks = breaks[(at < 0) | (breaks >= last[at])]
-                begins, stops = np.concatenate((first, last)), np.concatenate((last, first))
-                start, end = np.union1d(start, np.setdiff1d(begins, end)), np.union1d(end, np.setdiff1d(stops, start))
-            start, end = np.union1d(start, breaks), np.union1d(end, breaks)
-        else:
-            first = start[:0]
+            starts, ends = _marked(len(data), start), _marked(len(data), end)
+            edges = np.concatenate((first, last))
+            begins, stops = edges[~ends[edges]], edges[~starts[edges]]
+            starts[begins] = ends[stops] = True
+            starts[breaks] = ends[breaks] = True
+            start, end = np.flatnonzero(starts), np.flatnonzero(ends)
+            other = np.concatenate(([0], np.cumsum(~letter | odd)))
+            plain = other[end] == other[start]
         counts = np.diff(np.searchsorted(start, bounds))
         hashes = tokens.hash_spans(data, start, end, tokens.LOWER)
         if len(first):
             hashes[np.searchsorted(start, first)] ^= _ADDED
-        return tokens.Words(counts, start, end - start, hashes)
+        return tokens.Words(counts, start, end - start, hashes), plain
 
     def _added(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where added tokens stand within words, in order."""
@@ -119,38 +164,36 @@ class WordEncoder:
         coded = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         return np.array([i for x in coded for i in x], np.int64), np.array([len(x) for x in coded], np.int64)
 
-    def _learn(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, hashes: np.ndarray) -> None:
+    def _learn(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, hashes: np.ndarray, plain: np.ndarray) -> None:
         raw = data.tobytes()
-        new = [raw[s : s + n].decode() for s, n in zip(start.tolist(), length.tolist(), strict=True)]
-        pure = [x.isascii() and x.isalpha() for x in new]
-        joined, rest = [x for x, p in zip(new, pure, strict=True) if p], [x for x, p in zip(new, pure, strict=True) if not p]
         # runs of letters are one token run each, whose last token says so: encode many at once
-        ids, _ = self._encode([" ".join(joined[i : i + _AT_ONCE]) for i in range(0, len(joined), _AT_ONCE)])
+        own, stop = length[plain], np.cumsum(length[plain] + 1)
+        joined = np.full(stop[-1] if len(stop) else 0, 0x20, np.uint8)
+        step = tokens.ranges(own)
+        joined[np.repeat(stop - own - 1, own) + step] = data[np.repeat(start[plain], own) + step]
+        cuts = [0, *stop[_AT_ONCE - 1 : -1 : _AT_ONCE].tolist(), len(joined)]
+        ids, _ = self._encode([joined[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:], strict=False)])
         ends = np.flatnonzero(self.last[ids]) + 1
         size = np.diff(ends, prepend=0)
-        if len(size) != len(joined):
-            ids, size = self._encode(joined)
+        if len(size) != len(own):
+            ids, size = self._encode(joined.tobytes().decode().split())
+        rest = [raw[s : s + n].decode() for s, n in zip(start[~plain].tolist(), length[~plain].tolist(), strict=True)]
         other, other_size = self._encode(rest)
-        hashes = hashes[np.argsort(~np.array(pure, bool), kind="stable")]
-        size = np.concatenate((size, other_size))
-        begin = len(self.ids) + np.cumsum(size) - size
-        self._insert(hashes, np.arange(len(self.known), len(self.known) + len(hashes), dtype=np.int32))
-        self.ids = np.concatenate((self.ids, ids.astype(self.kind), other.astype(self.kind)))
-        self.known = np.concatenate((self.known, hashes))
-        self.begin = np.concatenate((self.begin, begin))
-        self.size = np.concatenate((self.size, size.astype(np.int32)))
+        hashes = np.concatenate((hashes[plain], hashes[~plain]))
+        self._add(hashes, np.concatenate((size, other_size)), np.concatenate((ids, other)))
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each text has."""
-        found = self.pieces(data, bounds)
-        if len(self.known) > MEMORY_WORDS:
-            self._forget()
+        found, plain = self.pieces(data, bounds)
+        if self.count > MEMORY_WORDS:
+            self._keep_met()
         place = self._place(found.hash)
+        self.met[place] = True
         rest = np.flatnonzero(place == 0)
         if len(rest):
             kinds, first, kind = np.unique(found.hash[rest], return_index=True, return_inverse=True)
             new = rest[first]
-            self._learn(data, found.start[new], found.length[new], kinds)
+            self._learn(data, found.start[new], found.length[new], kinds, plain[new])
             place[rest] = self._place(kinds)[kind]
         size = self.size[place]
         shift = self.begin[place] - (np.cumsum(size) - size)

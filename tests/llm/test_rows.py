@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from roadpulse.llm import decontamination, language_id, ngram_join, packing, quality_classifier, substring_dedup, url_filter, warc_bundles
+from roadpulse.llm import decontamination, language_id, ngram_join, packing, quality_classifier, substring_dedup, tokens, url_filter, warc_bundles
 from roadpulse.llm.features import Rows
 from roadpulse.llm.queries import tokenizer_path
 from tests.llm.test_operators import prose
@@ -40,6 +40,55 @@ def test_packing_encodes_added_tokens_as_the_tokenizer_does(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == [*coder.encode(texts[r.doc_id], add_special_tokens=False).ids, 1], texts[r.doc_id]
 
 
+def encoded(coder: packing.WordEncoder, texts: list[str]) -> list[list[int]]:
+    ids, counts = coder.encode(*data_of(texts))
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_cutting_texts_into_pieces_costs_little_more_than_finding_words():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrsté.,", k=rng.randrange(2, 9))) for _ in range(300)) for _ in range(150)]
+    data, bounds = data_of(texts)
+    coder = packing.WordEncoder(tokenizer_path())
+
+    def least(function) -> float:
+        took = []
+        for _ in range(9):
+            began = time.process_time()
+            function(data, bounds)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(coder.pieces) < 6 * least(tokens.words)  # about 2; 12 with numpy's set functions
+
+
+def test_runs_of_letters_with_accents_reach_the_tokenizer_together(monkeypatch):
+    coder, given = packing.WordEncoder(tokenizer_path()), []
+    whole = coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda new: given.extend(new) or whole(new))
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcÀÉéñßÿ", k=rng.randrange(1, 12))) for _ in range(1200)]
+    texts = [" ".join(words), "Ñu1ñu×é÷ª étéœ d'été", "", "É"]
+    found = encoded(coder, texts)
+    assert found == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(given) < 20
+
+
+def test_a_full_memory_keeps_the_pieces_that_were_met_again(monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY_WORDS", 400)
+    coder, given = packing.WordEncoder(tokenizer_path()), []
+    whole = coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda new: given.extend(" ".join(new).split()) or whole(new))
+    letters = "abcdefghij"
+    rare = ["x" + "".join(letters[int(d)] for d in str(n)) for n in range(3000)]
+    often = ["the", "été", "42", "don't", "!?"]
+    for n in range(0, 3000, 100):
+        text = " ".join(often + rare[n : n + 100])
+        assert encoded(coder, [text]) == [coder.tokenizer.encode(text, add_special_tokens=False).ids]
+    assert all(given.count(x) == 1 for x in often)
+    assert coder.count <= 400 + 200
+
+
 def test_captures_that_repeat_an_id_or_have_none_are_rows(spark):
     entries = spark.sql("SELECT 'l' AS list, 'block' AS kind, 'a.com' AS key, 'add' AS action, DATE '2024-01-01' AS on_day")
     rows = [(1, "http://a.com"), (1, "http://a.com"), (None, "http://a.com"), (None, "http://b.com"), (2, "http://b.com"), (2, "http://a.com"), (3, None), (None, None)]
