@@ -543,7 +543,7 @@ def rolled_files(spark: SparkSession, sf_dir: str, roll: RollConfig, by_age: boo
     config = ArchiveConfig(scratch_path(spark, "rolled"), ("date", "writer_id"), roll=roll)
     rows = labelled(spark, sf_dir).select("event_id", "ts", "bytes", "writer_id", F.to_date("ts").alias("date"))
     sizing.write_sized(rows, config, "ts", "event_id", size="bytes", by_age=by_age)
-    stored = commits.read(spark, config.path, files=True)
+    stored = commits.read_files(spark, config.path, rows.schema)
     return stored.groupBy(F.col("date").cast("string").alias("date"), "writer_id", "file_path").agg(
         F.count(F.lit(1)).alias("file_rows"),
         F.min("ts").alias("first_ts"),

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from roadpulse.sinks.small_files import read_small
+
 FOLDER = "_commits"
 FILE_COLUMNS = ("file_path", "file_size")
 _CHANGE = "_change"
@@ -45,6 +47,11 @@ def _replaced_folder(path: str, change: str) -> str:
     return f"{path}/{FOLDER}/replaced/{change}"
 
 
+def list_folder(path: str, change: str) -> str:
+    """Where the files of a change are listed, if its tasks wrote them by themselves."""
+    return f"{path}/{FOLDER}/files/{change}"
+
+
 def commit(spark: SparkSession, path: str, change: str, replaced: DataFrame | None = None) -> None:
     """Makes a change count. ``replaced`` has the ``file_path`` of each file that it stands for."""
     if replaced is not None:
@@ -86,6 +93,23 @@ def read(spark: SparkSession, path: str, files: bool = False) -> DataFrame:
     return rows if files else rows.drop(*FILE_COLUMNS)
 
 
+def read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` of ``read`` with ``files``, partition columns in the types named there.
+
+    Where all changes have lists of their files, tasks open those and the driver needs no list of its own.
+    """
+    changes = committed(spark, path)
+    own = any(not name.startswith(("_", ".")) for name in _names(spark, path))
+    if not changes or own or set(changes) - set(_names(spark, f"{path}/{FOLDER}/files")):
+        rows = read(spark, path, files=True)
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *FILE_COLUMNS)
+    files = spark.read.parquet(*[list_folder(path, change) for change in changes])
+    gone = _replaced(spark, path, changes)
+    if gone is not None:
+        files = files.join(gone, "file_path", "left_anti").select(files.columns)
+    return read_small(files, files.count(), schema)
+
+
 def vacuum(spark: SparkSession, path: str) -> int:
     """Removes replaced files and what unfinished changes have left; returns how many files or folders."""
     changes, removed = committed(spark, path), 0
@@ -93,7 +117,9 @@ def vacuum(spark: SparkSession, path: str) -> int:
     for row in gone.toLocalIterator() if gone is not None else ():
         system, found = _path(spark, unquote(row.file_path))
         removed += system.delete(found, False)
-    for kind, names in (("data", [f"{_CHANGE}={c}" for c in changes]), ("replaced", [])):
+    # What lists removed files goes before the tables that tell which are removed.
+    lists = changes if gone is None else []
+    for kind, names in (("data", [f"{_CHANGE}={c}" for c in changes]), ("files", lists), ("replaced", [])):
         for name in _names(spark, f"{path}/{FOLDER}/{kind}"):
             if name not in names:
                 system, found = _path(spark, f"{path}/{FOLDER}/{kind}/{name}")

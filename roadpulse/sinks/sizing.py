@@ -3,9 +3,9 @@
 The records are ranged by (keys, age bucket, time) into slices and written once. What a row takes when
 encoded is measured there: a slice file's bytes, shared out by the raw length of its rows. Prefix sums along
 each key then cut the rows into files where either limit is reached; a file never reaches over
-two age buckets. A task writes many files, each in a folder of its own there, so that tasks are far fewer than
-small files. Whether all files keep the byte limit is read from the written files before they count; otherwise
-they are cut anew, finer by what they were over.
+two age buckets. A task writes many files, each in a folder of its own there (or by itself, see ``small_files``,
+where a given size binds), so that tasks are far fewer than small files. Whether all files keep the byte limit is
+read from the written files before they count; otherwise they are cut anew, finer by what they were over.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.config import ArchiveConfig, RollConfig
+from roadpulse.operators.layout import balanced
 from roadpulse.operators.ordered import SLICE, Ordered, ordered, with_index, with_running
 from roadpulse.session import default_slices, scratch_path
-from roadpulse.sinks import commits
+from roadpulse.sinks import commits, small_files
 
 # Fixed value: the archive's compression.
 COMPRESSION = "snappy"
@@ -27,6 +28,8 @@ FILL = 0.9
 MOST_ATTEMPTS = 5
 #: Files that one task writes one after another, where folders are many enough.
 FILES_PER_TASK = 100
+#: The same where tasks write files by themselves, which needs no folders of their own and takes about a millisecond a file.
+SMALL_FILES_PER_TASK = 1000
 TASK, FILE_NO, BUCKET = "_task_no", "_file_no", "_age_bucket"
 
 
@@ -65,6 +68,19 @@ def cut(data: Ordered, roll: RollConfig, size: str, share: float = 1.0) -> DataF
     return filled.withColumn(FILE_NO, number.cast("bigint")).drop("_fill", "_filled")
 
 
+def in_folders(rows: DataFrame, named: tuple[str, ...], partitions: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """(the files, a row for each value of ``named``, with the columns of their folders; those columns)."""
+    # NULL and the empty text are one folder.
+    folders = {f"_d{i}": F.nullif(F.col(name).cast("string"), F.lit("")) for i, name in enumerate(partitions)}
+    return rows.select(*named).distinct().withColumns(folders), [*folders]
+
+
+def file_counts(files: DataFrame, folders: list[str]) -> tuple[int, int]:
+    """(all files, files of the fullest folder)."""
+    in_folder = files.groupBy(*folders).agg(F.count(F.lit(1)).alias("_n"))
+    return tuple(in_folder.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first())
+
+
 def dealt_files(rows: DataFrame, keys: tuple[str, ...], partitions: tuple[str, ...]) -> tuple[DataFrame, int]:
     """(the task of each (keys, file number), number of tasks), dealt so that no task has two files of one folder.
 
@@ -73,22 +89,31 @@ def dealt_files(rows: DataFrame, keys: tuple[str, ...], partitions: tuple[str, .
     """
     spark = rows.sparkSession
     named = (*keys, FILE_NO)
-    # NULL and the empty text are one folder.
-    folders = {f"_d{i}": F.nullif(F.col(name).cast("string"), F.lit("")) for i, name in enumerate(partitions)}
-    files = rows.select(*named).distinct().withColumns(folders)
+    files, folders = in_folders(rows, named, partitions)
     numbered = with_index(files, (*folders, *named), "_at")
     held = scratch_path(spark, "files")
     numbered.write.parquet(held)
     numbered = spark.read.schema(numbered.schema).parquet(held)
-    in_folder = numbered.groupBy(*folders).agg(F.count(F.lit(1)).alias("_n"))
-    total, most = in_folder.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    total, most = file_counts(numbered, folders)
     tasks = max(most, -(-total // FILES_PER_TASK), min(total, default_slices(spark)))
     return numbered.select(*named, (F.col("_at") % F.lit(max(tasks, 1))).cast("int").alias(TASK)), tasks
 
 
-def write_files(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], partitions: tuple[str, ...], path: str, drop: tuple[str, ...] = ()) -> int:
-    """One file for each (keys, file number); returns the number of tasks that wrote them."""
+def write_files(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], partitions: tuple[str, ...], path: str, drop: tuple[str, ...] = (), listed: str | None = None) -> int:
+    """One file for each (keys, file number); returns the number of tasks that wrote them.
+
+    With ``listed`` the tasks write the files by themselves, where they can, and list them there.
+    """
     named = (*keys, FILE_NO)
+    folder = small_files.local_folder(rows.sparkSession, path) if listed else None
+    if folder and small_files.plain(rows, named):
+        total, most = file_counts(*in_folders(rows, named, partitions))
+        slices = default_slices(rows.sparkSession)
+        tasks = max(min(most, 4 * slices), -(-total // SMALL_FILES_PER_TASK), min(total, slices))
+        if tasks:
+            written = small_files.write_small(rows, named, order, partitions, folder, (*drop, FILE_NO), COMPRESSION, tasks)
+            balanced(written).write.parquet(listed)
+        return tasks
     files, tasks = dealt_files(rows, keys, partitions)
     renamed = files.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(named)], TASK)
     same = [F.col(f"_k{i}").eqNullSafe(F.col(c)) for i, c in enumerate(named)]
@@ -129,7 +154,9 @@ def write_sized(
         change = commits.new_change()
         folder = commits.data_folder(config.path, change)
         rows = cut(data, roll, size or "_bytes", share).drop("_raw", *([] if size else ["_bytes"]))
-        if not write_files(rows, keys, (ts, tie_breaker), partitions, folder, (BUCKET,)):
+        # Limits of encoded bytes are held by the encoder that the slices were measured with.
+        listed = commits.list_folder(config.path, change) if size else None
+        if not write_files(rows, keys, (ts, tie_breaker), partitions, folder, (BUCKET,), listed):
             return None
         if size:
             commits.commit(spark, config.path, change)
