@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.config import ArchiveConfig, RollConfig
+from roadpulse.plans.queries import CATALOGUE
 from roadpulse.session import shared_folder
 from roadpulse.sinks import commits, sizing, small_files
 
@@ -107,3 +108,18 @@ def test_lists_follow_compaction_and_vacuum(spark, folder):
     assert commits.read_files(spark, folder, rows.schema).select("file_path").distinct().count() == 1
     sizing.write_sized(rows.where("id < 20"), config, "ts", "id", size="size", by_age=False)
     assert commits.read_files(spark, folder, rows.schema).count() == 320
+
+
+def test_labels_of_files_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    ran = []
+    write = sizing.write_files
+    monkeypatch.setattr(sizing, "write_files", lambda *args: ran.append(write(*args)) or ran[-1])
+    moment = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 3_000).cast("timestamp_ntz")
+    events = spark.range(4_800).select(F.col("id").alias("event_id"), moment.alias("ts"), F.lit('{"k": 1}').alias("props"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    files = CATALOGUE["archive_file_labels"](spark, str(tmp_path)).collect()
+    # 4,800 rows of one age bucket, dealt to writers in turn by batches of 500: 1,603, 1,603 and 1,594 rows
+    assert sorted((f.writer_id, f.file_no) for f in files) == [(f"writer-{w}", i) for w, n in zip("ABC", (81, 81, 80), strict=True) for i in range(n)]
+    first = [f.file_label for f in files if f.file_no == 0]
+    assert sorted(first) == [f"telemetry-20240101_00000{s}-instance-0-writer-{w}-170406720{s}000.parquet" for w, s in (("A", 0), ("B", 0), ("C", 1))]
+    assert ran[0] < 81  # a task for each file of the fullest folder before
